@@ -40,7 +40,8 @@ def build_session(master: str | None = None, app: str = "plume",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Session for tests, the bench and command-line use."""
-    builder = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    builder = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
