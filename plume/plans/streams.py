@@ -1,3 +1,118 @@
-"""Streaming twins of the views (filled in by plume.streaming)."""
-STREAM = {}
-STREAM_ORACLE = {}
+"""Streaming twins of the views for ``queries()``.
+
+Each twin writes the fixture's raw events as JSON-lines files under the
+session's checkpoint folder, runs the *streaming* query over them
+(``availableNow``) into a fresh sink there, and returns the sink read back
+as a batch DataFrame.  The fixture is ordered by time and read in one
+micro-batch, so no row is behind the watermark: each twin must equal its
+batch oracle.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import reconcile as X
+from ..session import prepare, scratch_path
+from ..sources import fixtures as FX
+from ..sources import readers as RD
+from ..streaming.restart import land_with_restart
+from ..streaming.views import SpikeView, event_stream, start_posts_flat, start_view
+
+_SOURCES: dict[tuple, str] = {}
+TIMEOUT_S = 600
+
+
+def json_source(spark: SparkSession, sf_dir: str, clock: str, files: int = 8) -> str:
+    """Folder of JSON-lines files holding the fixture's raw events, written
+    once per (application, tables, clock), in time order across files."""
+    key = (spark.sparkContext.applicationId, sf_dir, clock, files)
+    if key not in _SOURCES:
+        path = scratch_path(spark, f"raw-json-{clock}")
+        (FX.raw_json(spark, sf_dir, clock)
+           .repartitionByRange(files, "time_us")
+           .sortWithinPartitions("time_us")
+           .select("value")
+           .write.mode("overwrite").text(path))
+        _SOURCES[key] = path
+    return _SOURCES[key]
+
+
+def _events(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
+    return event_stream(RD.read_raw_stream(spark, fmt="files",
+                                           path=json_source(spark, sf_dir, clock)))
+
+
+def _await(q) -> None:
+    q.awaitTermination(TIMEOUT_S)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("streaming twin did not finish")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def stream_view(name: str):
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        ev = _events(spark, sf_dir, "fast")
+        q, sink = start_view(name, ev, scratch_path(spark, f"view-{name}"),
+                             scratch_path(spark, f"ckpt-{name}"), trigger="availableNow")
+        _await(q)
+        return sink.read(spark)
+    return build
+
+
+def stream_posts_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    ev = _events(spark, sf_dir, "slow")
+    out = scratch_path(spark, "posts")
+    q = start_posts_flat(ev, out, scratch_path(spark, "ckpt-posts"), trigger="availableNow")
+    _await(q)
+    return RD.scan_posts(spark, out)
+
+
+def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    ev = _events(spark, sf_dir, "fast")
+    view = SpikeView(scratch_path(spark, "rates"), scratch_path(spark, "spikes"))
+    q = view.start(ev, scratch_path(spark, "ckpt-spikes"), trigger="availableNow")
+    _await(q)
+    return view.read(spark).select("minute_bucket", "lang", "posts_in_minute",
+                                   "rolling_hr_avg", "is_spiking")
+
+
+def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the posts with a mid-stream stop and restart, then reconcile."""
+    prepare(spark)
+    src = json_source(spark, sf_dir, "slow")
+    landed = land_with_restart(spark, src, scratch_path(spark, "posts-restart"),
+                               scratch_path(spark, "ckpt-restart"), files_per_batch=1,
+                               stop_after_batches=2, timeout_s=TIMEOUT_S)
+    rec = X.reconcile(FX.expected_markers(spark, sf_dir), X.marker_counts(landed))
+    return X.reconcile_report(rec)
+
+
+STREAM = {
+    "stream_posts_flat": stream_posts_flat,
+    "stream_posts_per_minute_by_lang": stream_view("posts_per_minute_by_lang"),
+    "stream_posts_per_second": stream_view("posts_per_second"),
+    "stream_lang_post_rate_1m": stream_view("lang_post_rate_1m"),
+    "stream_trending_hashtags_5m": stream_view("trending_hashtags_5m"),
+    "stream_trending_hashtags_1h_hop": stream_view("trending_hashtags_1h_hop"),
+    "stream_lang_spike_detector": stream_spikes,
+    "stream_exactly_once": stream_exactly_once,
+}
+
+# Stream twin -> batch oracle with the same answer.
+STREAM_ORACLE = {
+    "stream_posts_flat": "posts_flat",
+    "stream_posts_per_minute_by_lang": "posts_per_minute_by_lang",
+    "stream_posts_per_second": "posts_per_second",
+    "stream_lang_post_rate_1m": "lang_post_rate_1m",
+    "stream_trending_hashtags_5m": "trending_hashtags_5m",
+    "stream_trending_hashtags_1h_hop": "trending_hashtags_1h_hop",
+    "stream_lang_spike_detector": "lang_spike_detector",
+    "stream_exactly_once": "reconcile_report",
+}
