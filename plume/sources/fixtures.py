@@ -64,7 +64,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id"),
         F.col("lang").alias("d_lang"),
         F.col("source").alias("d_source"),
-        F.get(F.split(F.col("text"), " "), 0).alias("d_first_word"),
+        F.substring_index(F.col("text"), " ", 1).alias("d_first_word"),
         F.substring(F.col("text"), 1, MAX_TEXT_CHARS).alias("d_text"),
     )
 
