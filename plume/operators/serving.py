@@ -8,7 +8,7 @@ passes through Python and there is no join.  The only driver round trip is
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,5 +86,14 @@ def volume_last_30m(ppm: DataFrame, as_of: Column, minutes: int = 30,
     return pivot_by_lang(recent, "minute", "post_count", k)
 
 
-def hours_ago(as_of: datetime, hours: float) -> datetime:
-    return as_of - timedelta(hours=hours)
+# Column titles of the dashboard tables (fixed values).
+DISPLAY_NAMES = {
+    "history": {"hour": "Hour", "lang": "Language", "posts": "Posts"},
+    "hashtags": {"hashtag": "Hashtag", "mentions": "Mentions"},
+}
+
+
+def for_display(df: DataFrame, kind: str) -> DataFrame:
+    """Rename columns for presentation (select only the renamed ones)."""
+    names = DISPLAY_NAMES[kind]
+    return df.select(*[F.col(k).alias(v) for k, v in names.items()])

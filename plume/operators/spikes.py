@@ -90,6 +90,11 @@ def top_spikes(rate: DataFrame, n: int = 20) -> DataFrame:
                    .limit(n))
 
 
+def spiking_only(spikes: DataFrame) -> DataFrame:
+    """Rows flagged as spiking (is_spiking = true)."""
+    return spikes.filter(F.col("is_spiking"))
+
+
 def active_spikes(spikes: DataFrame) -> DataFrame:
     """COUNT(*) WHERE is_spiking, as a one-row frame."""
     return spikes.agg(F.count_if(F.col("is_spiking")).alias("n"))

@@ -156,4 +156,11 @@ BATCH: dict[str, Builder] = {
     "recent_events": _recent,
     "row_counts": _row_counts,
     "ingest_stats": lambda s, d: ST.ingest_stats(FX.raw_json(s, d, "slow")),
+    "land_raw": lambda s, d: RD.land_raw(FX.raw_json(s, d, "slow")).select("value"),
+    "top_language_rows": lambda s, d: V.restrict_to_top(M.history_hourly(posts(s, d)), "posts"),
+    "history_display": lambda s, d: V.for_display(M.history_hourly(posts(s, d)), "history"),
+    "top_hashtags_display": lambda s, d: V.for_display(
+        H.top_hashtags_latest(H.trending_hashtags_5m(fast(s, d))), "hashtags"),
+    "spiking_minutes": lambda s, d: K.spiking_only(
+        K.lang_spike_detector(R.lang_post_rate_1m(fast(s, d)))),
 }

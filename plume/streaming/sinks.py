@@ -88,3 +88,26 @@ class UpsertSink:
         latest = (df.groupBy(*self.keys)
                     .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v")))
         return latest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])
+
+
+def write_expected(ids: DataFrame, path: str) -> None:
+    """Ground-truth file, one id per line, from the *committed* marker ids
+    (e.g. ``reconcile.expected_from_landed``), written by the executors."""
+    ids.select(F.col(ids.columns[0]).cast("string").alias("value")) \
+       .write.mode("overwrite").text(path)
+
+
+def materialize(df: DataFrame, name: str, kind: str = "table",
+                path: str | None = None) -> DataFrame:
+    """Staging models become views, marts become tables (full refresh)."""
+    spark = df.sparkSession
+    if kind == "view":
+        df.createOrReplaceTempView(name)
+        return spark.table(name)
+    if kind == "table":
+        w = df.write.mode("overwrite").format("parquet")
+        if path:
+            w = w.option("path", path)
+        w.saveAsTable(name)
+        return spark.table(name)
+    raise ValueError(f"unknown materialization {kind!r}")
