@@ -45,10 +45,18 @@ def ensure_posts_table(spark: SparkSession, name: str, location: str | None = No
 
 def sink_posts(flat: DataFrame, path: str, checkpoint: str, trigger: str | None = COMMIT_INTERVAL,
                fmt: str = "parquet", table: str | None = None,
-               query_name: str | None = None) -> StreamingQuery:
-    """Append posts_flat rows to a Parquet path (or an existing table)."""
+               query_name: str | None = None, partition_by_day: bool = False) -> StreamingQuery:
+    """Append posts_flat rows to a Parquet path (or an existing table).
+
+    ``partition_by_day`` adds ``event_date`` and partitions the files by it,
+    so date-bounded marts read only the days they need.
+    """
+    if partition_by_day:
+        flat = flat.withColumn("event_date", F.to_date("event_time"))
     w = (flat.writeStream.outputMode("append").format(fmt)
              .option("checkpointLocation", checkpoint))
+    if partition_by_day:
+        w = w.partitionBy("event_date")
     if query_name:
         w = w.queryName(query_name)
     w = _trigger(w, trigger)
@@ -58,36 +66,87 @@ def sink_posts(flat: DataFrame, path: str, checkpoint: str, trigger: str | None
 
 
 class UpsertSink:
-    """Idempotent keyed sink for ``update`` mode (see module docstring)."""
+    """Idempotent keyed sink for ``update`` mode (see module docstring).
+
+    Layout: ``<path>/batch_id=N/`` holds the rows a micro-batch changed;
+    ``<path>/_snapshots/upto=N/`` holds the latest version of every key as of
+    batch N (written by ``compact``; the leading underscore keeps it out of
+    partition discovery of ``<path>``).  A reader takes the newest snapshot
+    plus the batch folders after it, so read cost stays bounded by the
+    snapshot and the batches since, however long the stream has run.
+    """
 
     def __init__(self, path: str, keys: list[str]):
         self.path = path.rstrip("/")
         self.keys = keys
 
+    @property
+    def snapshot_root(self) -> str:
+        return f"{self.path}/_snapshots"
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def start(self, view: DataFrame, checkpoint: str, trigger: str | None = None,
-              query_name: str | None = None) -> StreamingQuery:
+              query_name: str | None = None, compact_every: int | None = None) -> StreamingQuery:
+        def write(df: DataFrame, batch_id: int) -> None:
+            self.write_batch(df, batch_id)
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                self.compact(df.sparkSession, batch_id)
+
         w = (view.writeStream.outputMode("update")
                  .option("checkpointLocation", checkpoint)
-                 .foreachBatch(self.write_batch))
+                 .foreachBatch(write))
         if query_name:
             w = w.queryName(query_name)
         return _trigger(w, trigger).start()
 
+    def _latest_snapshot(self, spark: SparkSession) -> int | None:
+        try:
+            snaps = spark.read.parquet(self.snapshot_root)
+        except Exception:
+            return None
+        # one number (partition values come from the folder listing)
+        return snaps.select(F.max("upto")).first()[0]
+
+    def _versions(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        batches = spark.read.parquet(self.path)
+        snap = self._latest_snapshot(spark)
+        if snap is not None:
+            batches = batches.filter(F.col("batch_id") > snap)
+            base = (spark.read.parquet(f"{self.snapshot_root}/upto={snap}")
+                         .withColumn("batch_id", F.lit(snap)))
+            batches = base.unionByName(batches.select(*base.columns))
+        if upto is not None:
+            batches = batches.filter(F.col("batch_id") <= upto)
+        return batches
+
+    def _latest(self, versions: DataFrame) -> DataFrame:
+        values = [c for c in versions.columns if c not in self.keys and c != "batch_id"]
+        latest = (versions.groupBy(*self.keys)
+                          .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v")))
+        return latest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])
+
     def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
         """Latest version of every key (max batch_id wins)."""
         try:
-            df = spark.read.parquet(self.path)
+            versions = self._versions(spark)
         except Exception:
             if schema is None:
                 raise
             return spark.createDataFrame([], schema)
-        values = [c for c in df.columns if c not in self.keys and c != "batch_id"]
-        latest = (df.groupBy(*self.keys)
-                    .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v")))
-        return latest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])
+        return self._latest(versions)
+
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Fold every version up to batch ``upto`` into ``_snapshots/upto=N``.
+
+        Idempotent (overwrite of the same folder); readers switch to it once
+        it is complete because a snapshot is only listed after its write
+        commits.  Older batch folders are no longer read and can be removed
+        by the storage lifecycle.
+        """
+        folded = self._latest(self._versions(spark, upto))
+        folded.write.mode("overwrite").parquet(f"{self.snapshot_root}/upto={upto}")
 
 
 def write_expected(ids: DataFrame, path: str) -> None:

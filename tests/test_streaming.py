@@ -97,3 +97,41 @@ def test_dedupe_within_watermark_drops_replays(spark):
     q = start_posts_flat(events, out, scratch_path(spark, "dedupe-ck"), trigger="availableNow")
     q.awaitTermination(120)
     assert RD.scan_posts(spark, out).count() == 5
+
+
+def test_upsert_sink_compaction_keeps_latest(spark):
+    path = scratch_path(spark, "upsert-compact")
+    sink = UpsertSink(path, ["k"])
+    sink.write_batch(spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long"), 0)
+    sink.write_batch(spark.createDataFrame([("a", 2)], "k string, n long"), 1)
+    sink.compact(spark, 1)
+    sink.compact(spark, 1)          # idempotent
+    sink.write_batch(spark.createDataFrame([("b", 5), ("c", 1)], "k string, n long"), 2)
+    got = {r.k: r.n for r in sink.read(spark).collect()}
+    assert got == {"a": 2, "b": 5, "c": 1}
+    sink.compact(spark, 2)
+    assert {r.k: r.n for r in sink.read(spark).collect()} == got
+
+
+def test_posts_sink_partitioned_by_day(spark):
+    src = scratch_path(spark, "day-src")
+    sec = 1_000_000
+    _write(src.replace("file:", ""), "a.json",
+           [_event(B + i * 36_000 * sec, "x", f"k{i}") for i in range(6)])   # 10 h apart
+    events = event_stream(RD.read_raw_stream(spark, fmt="files", path=src))
+    out = scratch_path(spark, "day-out")
+    from plume.streaming.sinks import sink_posts
+    q = sink_posts(P.posts_flat(events), out, scratch_path(spark, "day-ck"),
+                   trigger="availableNow", partition_by_day=True)
+    q.awaitTermination(120)
+    landed = spark.read.parquet(out)
+    assert landed.count() == 6
+    assert landed.select("event_date").distinct().count() == 3
+    one_day = landed.filter(F.col("event_date") == "2024-01-02")
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        one_day.explain()
+    assert "PartitionFilters: [isnotnull(event_date" in buf.getvalue()
+    assert one_day.count() == 2
