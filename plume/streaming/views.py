@@ -121,3 +121,52 @@ class SpikeView:
 
     def read(self, spark: SparkSession) -> DataFrame:
         return self.spikes.read(spark)
+
+
+# --- the self-join form of the spike view (append mode) ---------------------
+
+RATE_SCHEMA = "minute_bucket timestamp, lang string, posts_in_minute long"
+JOIN_DELAY = "2 minutes"
+
+
+def spikes_interval_join(a: DataFrame, b: DataFrame, delay: str = JOIN_DELAY) -> DataFrame:
+    """Stream-stream inner self-join of closed per-minute rates, then the
+    trailing-hour aggregate, in append mode.
+
+    ``a`` and ``b`` must come from two separate ``readStream`` calls (reusing
+    one streaming DataFrame on both sides is not a self-join in Spark).  The
+    time-range condition lets Spark drop join state older than an hour plus
+    the watermark delay; a minute's row is emitted once the watermark passes
+    it, so the newest hour is held back (append semantics).
+    """
+    a = a.withWatermark("minute_bucket", delay)
+    b = (b.withWatermark("minute_bucket", delay)
+          .select(F.col("lang").alias("b_lang"), F.col("minute_bucket").alias("b_minute"),
+                  F.col("posts_in_minute").alias("b_posts")))
+    hour = F.expr(f"INTERVAL {K.LOOKBACK_MIN} MINUTES")
+    minute = F.expr("INTERVAL 1 MINUTE")
+    joined = a.join(b, (a["lang"] == b["b_lang"])
+                    & (b["b_minute"] >= a["minute_bucket"] - hour)
+                    & (b["b_minute"] <= a["minute_bucket"] - minute), "inner")
+    stats = (joined.groupBy("minute_bucket", "lang", "posts_in_minute")
+                   .agg(F.sum("b_posts").alias("hr_sum"), F.count(F.lit(1)).alias("hr_cnt")))
+    return K._finish(stats)
+
+
+def start_spike_join_pipeline(events: DataFrame, rate_path: str, spike_path: str,
+                              rate_checkpoint: str, spike_checkpoint: str,
+                              trigger: str | None = None) -> tuple[StreamingQuery, callable]:
+    """Query 1: lang_post_rate_1m in append mode (closed minutes) -> Parquet.
+    Returns it and a starter for query 2, which reads that folder twice and
+    appends the joined spike rows to ``spike_path``."""
+    q1 = start_view("lang_post_rate_1m", events, rate_path, rate_checkpoint, trigger, mode="append")[0]
+
+    def start_second() -> StreamingQuery:
+        spark = events.sparkSession
+        a = spark.readStream.schema(RATE_SCHEMA).parquet(rate_path)
+        b = spark.readStream.schema(RATE_SCHEMA).parquet(rate_path)
+        w = (spikes_interval_join(a, b).writeStream.outputMode("append").format("parquet")
+               .option("path", spike_path).option("checkpointLocation", spike_checkpoint))
+        return _trigger(w, trigger).start()
+
+    return q1, start_second
