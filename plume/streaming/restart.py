@@ -51,3 +51,28 @@ def land_with_restart(spark: SparkSession, source_dir: str, out_path: str, check
         q2.stop()
         raise TimeoutError("restart run did not drain its input")
     return RD.scan_posts(spark, out_path)
+
+
+def exactly_once_run(spark: SparkSession, n: int, files: int = 10, stop_after_batches: int = 3,
+                     timeout_s: float = 600.0) -> DataFrame:
+    """The reference's end-to-end check at its own scale: n marker events are
+    delivered to the source folder as ``files`` JSON-lines files, landed with
+    a mid-stream stop and a restart, and reconciled against the delivered ids.
+    Returns the one-row report (PASS iff no duplicate and no missing).
+    """
+    from pyspark.sql import functions as F
+
+    from ..operators import reconcile as X
+    from ..session import scratch_path
+
+    markers = X.make_markers(spark, n)
+    src = scratch_path(spark, "markers-src")
+    (markers.select(F.to_json(F.struct(*markers.columns)).alias("value"), "time_us")
+            .repartitionByRange(files, "time_us").sortWithinPartitions("time_us")
+            .select("value").write.mode("overwrite").text(src))
+    delivered = X.expected_from_landed(
+        RD.decode_events(spark.read.text(src)).select("did"))
+    landed = land_with_restart(spark, src, scratch_path(spark, "markers-landed"),
+                               scratch_path(spark, "markers-ckpt"), files_per_batch=1,
+                               stop_after_batches=stop_after_batches, timeout_s=timeout_s)
+    return X.reconcile_report(X.reconcile(delivered, X.marker_counts(landed)))

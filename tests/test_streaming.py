@@ -156,3 +156,10 @@ def test_spike_self_join_stream_matches_batch_on_closed_minutes(spark):
     newest = got.agg(F.max("minute_bucket")).first()[0]
     older = batch.filter(F.col("minute_bucket") <= F.lit(newest))
     assert older.exceptAll(got).count() == 0           # nothing closed is missing
+
+
+def test_exactly_once_markers_with_restart(spark):
+    from plume.streaming.restart import exactly_once_run
+    rep = exactly_once_run(spark, 2_000, files=6, stop_after_batches=2).first()
+    assert (rep.expected, rep.distinct_found, rep.duplicates, rep.missing, rep.unexpected,
+            rep.verdict) == (2_000, 2_000, 0, 0, 0, "PASS")
