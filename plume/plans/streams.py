@@ -11,7 +11,6 @@ batch oracle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import reconcile as X
 from ..session import prepare, scratch_path

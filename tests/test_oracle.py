@@ -3,7 +3,6 @@ DuckDB oracle on the smallest tables."""
 import os
 import sys
 
-import pytest
 
 from conftest import ROOT, SF_SMALL
 

@@ -1,5 +1,4 @@
 """Reconciliation verdicts and data-quality checks."""
-from pyspark.sql import functions as F
 
 from plume.operators import quality as Q
 from plume.operators import reconcile as X
@@ -39,7 +38,7 @@ def test_a19_unexpected_is_ignored(spark):
 
 def test_markers_roundtrip_through_make_markers(spark):
     from plume.operators.posts import posts_flat
-    m = make = X.make_markers(spark, 100)
+    m = X.make_markers(spark, 100)
     flat = posts_flat(m)
     exp = X.expected_from_landed(flat)
     rep = X.reconcile_report(X.reconcile(exp, X.marker_counts(flat))).first()

@@ -5,9 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import B, SF_SMALL
-from plume.operators import hashtags as H
 from plume.operators import posts as P
-from plume.operators import reconcile as X
 from plume.session import scratch_path
 from plume.sources import readers as RD
 from plume.streaming.sinks import UpsertSink
