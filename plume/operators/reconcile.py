@@ -114,14 +114,18 @@ def fault_summary(log: DataFrame) -> DataFrame:
 
 
 def same_multiset(a: DataFrame, b: DataFrame) -> DataFrame:
-    """One row: sizes of both sides and whether they are equal as multisets
-    (a - b and b - a, with duplicates, both empty)."""
-    extra_a = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_a"))
-    extra_b = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_b"))
-    na = a.agg(F.count(F.lit(1)).alias("sent"))
-    nb = b.agg(F.count(F.lit(1)).alias("received"))
-    return na.select(
-        "sent",
-        nb.select("received").scalar().alias("received"),
-        ((extra_a.select("only_a").scalar() == 0)
-         & (extra_b.select("only_b").scalar() == 0)).alias("match"))
+    """One row: sizes of both sides and whether they are equal as multisets.
+
+    Rows are tagged by side, unioned and grouped on every column: one
+    shuffle with map-side partial sums, so a value repeated in a third of
+    all rows reaches its reducer as one row per map task, and no rows are
+    replicated (``exceptAll`` both ways would shuffle twice and re-expand
+    duplicates).
+    """
+    cols = a.columns
+    tagged = (a.select(*cols, F.lit(1).alias("_in_a"), F.lit(0).alias("_in_b"))
+               .unionByName(b.select(*cols, F.lit(0).alias("_in_a"), F.lit(1).alias("_in_b"))))
+    per_row = tagged.groupBy(*cols).agg(F.sum("_in_a").alias("na"), F.sum("_in_b").alias("nb"))
+    return per_row.agg(F.coalesce(F.sum("na"), F.lit(0)).cast("long").alias("sent"),
+                       F.coalesce(F.sum("nb"), F.lit(0)).cast("long").alias("received"),
+                       (F.count_if(F.col("na") != F.col("nb")) == 0).alias("match"))
