@@ -63,18 +63,20 @@ def history_kpis(hist: DataFrame) -> DataFrame:
     """One row: total posts, languages, hours of data, dominant language.
 
     The dominant language is the largest total, ties to the smaller code.
-    Two small aggregates: per-language totals (one row per language) feed
-    the arg-max; the distinct hours come from the hourly rows.
+    One pass over the hourly rows: GROUPING SETS ((lang), (hour)) yields one
+    row per language (with its total) and one row per hour, and a final
+    one-row aggregate reads both (languages and hours are small sets).
     """
-    per_lang = hist.groupBy("lang").agg(F.sum("posts").alias("lang_posts"))
-    lang_part = per_lang.agg(
-        F.sum("lang_posts").cast("long").alias("total_posts"),
-        F.count(F.lit(1)).alias("languages"),
-        F.min_by("lang", F.struct(-F.col("lang_posts"), F.col("lang"))).alias("dominant_language"))
-    hours = hist.agg(F.countDistinct("hour").alias("hours"))
-    return lang_part.select(
-        "total_posts", "languages", F.lit(hours.select("hours").scalar()).alias("hours"),
-        "dominant_language")
+    sets = (hist.groupingSets([["lang"], ["hour"]], "lang", "hour")
+                .agg(F.sum("posts").alias("p"), F.grouping_id().alias("g")))
+    by_lang = F.col("g") == 1          # hour rolled up
+    by_hour = F.col("g") == 2          # lang rolled up
+    return sets.agg(
+        F.sum(F.when(by_lang, F.col("p"))).cast("long").alias("total_posts"),
+        F.count_if(by_lang).alias("languages"),
+        F.count_if(by_hour).alias("hours"),
+        F.min_by(F.when(by_lang, F.col("lang")),
+                 F.when(by_lang, F.struct(-F.col("p"), F.col("lang")))).alias("dominant_language"))
 
 
 def history_pivot(hist: DataFrame, k: int = TOP_LANGS) -> DataFrame:
