@@ -33,19 +33,34 @@ from .streaming import sinks as SK
 from .streaming import views as V
 
 
-def _raw_stream(spark: SparkSession, source: str, max_files: int | None = None) -> DataFrame:
+def _raw_stream(spark: SparkSession, source: str, max_files: int | None = None,
+                max_offsets: int | None = None) -> DataFrame:
     kind, _, where = source.partition(":")
     if kind == "kafka":
         servers, _, topic = where.partition("/")
-        return RD.read_raw_stream(spark, fmt="kafka", options={
-            "kafka.bootstrap.servers": servers, "subscribe": topic or RD.KAFKA_TOPIC})
+        return RD.read_raw_stream(spark, fmt="kafka", max_offsets_per_trigger=max_offsets,
+                                  options={"kafka.bootstrap.servers": servers,
+                                           "subscribe": topic or RD.KAFKA_TOPIC})
     return RD.read_raw_stream(spark, fmt="files", path=where, max_files_per_trigger=max_files)
 
 
 def cmd_stream(spark: SparkSession, a) -> int:
-    events = V.event_stream(_raw_stream(spark, a.source, a.max_files), dedupe=a.dedupe)
-    queries = [V.start_posts_flat(events, f"{a.out}/posts", f"{a.checkpoint}/posts",
-                                  trigger=a.commit_interval)]
+    queries = []
+    if a.bronze:
+        # parse JSON once; the views stream the typed, pruned bronze files
+        queries.append(V.start_bronze(_raw_stream(spark, a.source, a.max_files, a.max_offsets),
+                                      f"{a.out}/bronze", f"{a.checkpoint}/bronze",
+                                      trigger=a.view_interval))
+        if a.trigger_available_now:
+            queries[0].awaitTermination()
+        events = V.bronze_events(spark, f"{a.out}/bronze")
+        if a.dedupe:
+            events = P.dedupe_posts(events, streaming=True)
+    else:
+        events = V.event_stream(_raw_stream(spark, a.source, a.max_files, a.max_offsets),
+                                dedupe=a.dedupe)
+    queries.append(SK.sink_posts(P.posts_flat(events), f"{a.out}/posts", f"{a.checkpoint}/posts",
+                                 trigger=a.commit_interval, partition_by_day=a.partition_by_day))
     for name in V.VIEWS:
         q, _ = V.start_view(name, events, f"{a.out}/{name}", f"{a.checkpoint}/{name}",
                             trigger=a.view_interval)
@@ -118,6 +133,9 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--commit-interval", default=SK.COMMIT_INTERVAL)
     s.add_argument("--view-interval", default="5 seconds")
     s.add_argument("--max-files", type=int, default=None)
+    s.add_argument("--max-offsets", type=int, default=None)
+    s.add_argument("--bronze", action="store_true", help="decode JSON once into typed Parquet")
+    s.add_argument("--partition-by-day", action="store_true")
     s.add_argument("--dedupe", action="store_true")
     s.add_argument("--trigger-available-now", action="store_true")
     m = sub.add_parser("marts")

@@ -13,11 +13,15 @@ KAFKA_TOPIC = "bsky.posts"
 
 def read_raw_stream(spark: SparkSession, *, fmt: str = "files", path: str | None = None,
                     starting_offsets: str = "latest", options: dict | None = None,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None,
+                    max_offsets_per_trigger: int | None = None,
+                    min_partitions: int | None = None) -> DataFrame:
     """Subscribe to the raw JSON post stream; returns column ``value`` (string).
 
     ``fmt='kafka'`` reads a Kafka-API topic (needs the Kafka connector on the
     classpath; ``startingOffsets`` is ignored once a checkpoint exists).
+    ``max_offsets_per_trigger`` bounds a micro-batch after downtime, and
+    ``min_partitions`` splits large topic partitions over more tasks.
     ``fmt='files'`` tails a folder of JSON-lines files, one event per line.
     """
     opts = dict(options or {})
@@ -25,6 +29,10 @@ def read_raw_stream(spark: SparkSession, *, fmt: str = "files", path: str | None
         reader = (spark.readStream.format("kafka")
                   .option("subscribe", opts.pop("subscribe", KAFKA_TOPIC))
                   .option("startingOffsets", starting_offsets))
+        if max_offsets_per_trigger:
+            reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+        if min_partitions:
+            reader = reader.option("minPartitions", min_partitions)
         for k, v in opts.items():
             reader = reader.option(k, v)
         return reader.load().select(

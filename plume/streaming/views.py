@@ -59,6 +59,37 @@ def event_stream(values: DataFrame, watermark: bool = True, dedupe: bool = False
     return ev
 
 
+def start_bronze(values: DataFrame, path: str, checkpoint: str,
+                 trigger: str | None = None) -> StreamingQuery:
+    """Decode the JSON once into typed Parquet partitioned by day (bronze).
+
+    Every view can then stream from the bronze folder (``bronze_events``):
+    JSON is parsed once instead of once per view, and each view reads only
+    the columns it uses.  Append-only and exactly once like the posts sink.
+    """
+    ev = (RD.with_event_time(RD.decode_events(values))
+            .withColumn("event_date", F.to_date("event_time")))
+    w = (ev.writeStream.outputMode("append").format("parquet")
+           .option("path", path).option("checkpointLocation", checkpoint)
+           .partitionBy("event_date"))
+    return _trigger(w, trigger).start()
+
+
+def bronze_events(spark: SparkSession, path: str, max_files: int | None = None,
+                  watermark: bool = True) -> DataFrame:
+    """Stream of decoded events from the bronze folder, with the watermark."""
+    from pyspark.sql import types as T
+
+    from ..schema import RAW_SCHEMA
+    schema = T.StructType(RAW_SCHEMA.fields + [T.StructField("event_time", T.TimestampType()),
+                                               T.StructField("event_date", T.DateType())])
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    ev = reader.parquet(path)
+    return RD.with_watermark(ev) if watermark else ev
+
+
 def start_view(name: str, events: DataFrame, out_path: str, checkpoint: str,
                trigger: str | None = None, mode: str = "update") -> tuple[StreamingQuery, UpsertSink | None]:
     """Start one view.  ``update``: UpsertSink at out_path; ``append``: closed

@@ -29,3 +29,19 @@ def test_cli_pipeline(spark, capsys):
     assert app.main(["lateness", "--source", f"files:{src}", "--as-of", newest]) == 0
     pct = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()[-3:]]
     assert [p["percentile"] for p in pct] == [50, 95, 99]
+
+
+def test_cli_stream_through_bronze(spark):
+    src = json_source(spark, SF_SMALL, "fast")
+    out, ck = scratch_path(spark, "app-bronze"), scratch_path(spark, "app-bronze-ck")
+    assert app.main(["stream", "--source", f"files:{src}", "--out", out, "--checkpoint", ck,
+                     "--bronze", "--partition-by-day", "--trigger-available-now"]) == 0
+    import __spark_entry__ as E
+    from plume.streaming.sinks import UpsertSink
+    tags = UpsertSink(f"{out}/trending_hashtags_5m", ["bucket_start", "hashtag"]).read(spark)
+    batch = E.queries()["trending_hashtags_5m"](spark, SF_SMALL)
+    assert tags.count() == batch.count() > 0
+    assert tags.exceptAll(batch).count() == 0
+    assert spark.read.parquet(f"{out}/posts").count() == 746
+    from plume.schema import RAW_SCHEMA
+    assert RAW_SCHEMA.names == ["did", "time_us", "kind", "commit"]   # shared schema untouched
