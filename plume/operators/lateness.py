@@ -23,6 +23,9 @@ def event_age_hist(raw: DataFrame, as_of: Column, minutes: int = RECENT_MINUTES)
     (event_time > as_of - 10 min, strict); FLOOR goes down for negatives."""
     as_of_us = F.unix_micros(as_of)
     lo = as_of_us - F.lit(minutes * 60 * C.MICROS_PER_SECOND)
+    if "event_date" in raw.columns:
+        # day-partitioned input (bronze / landed table): prune to the days in range
+        raw = raw.filter(F.col("event_date") >= F.to_date(F.timestamp_micros(lo)))
     return (raw.filter(F.col("time_us") > lo)
                .groupBy(C.age_seconds(as_of_us, "time_us").alias("lateness_seconds"))
                .agg(F.count(F.lit(1)).alias("event_count")))

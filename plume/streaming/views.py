@@ -35,6 +35,14 @@ class View:
     keys: tuple[str, ...]
 
 
+def dim_languages_stream(events: DataFrame) -> DataFrame:
+    """dim_languages on a stream: exact COUNT(DISTINCT) is refused in
+    streams, so distinct users use HyperLogLog++ (R12)."""
+    from ..operators import marts as M
+    flat = P.posts_flat(events).withColumn("text_length", F.length("text"))
+    return M.dim_languages(P.stg_posts(flat), approx=True)
+
+
 VIEWS: dict[str, View] = {
     "posts_per_minute_by_lang": View(R.posts_per_minute_by_lang, ("minute_bucket", "lang")),
     "posts_per_second": View(R.posts_per_second, ("second_bucket",)),
@@ -42,6 +50,7 @@ VIEWS: dict[str, View] = {
     "trending_hashtags_5m": View(H.trending_hashtags_5m, ("bucket_start", "hashtag")),
     "trending_hashtags_1h_hop": View(lambda r: H.trending_hashtags_1h_hop(r, direct=True),
                                      ("window_start", "window_end", "hashtag")),
+    "dim_languages": View(dim_languages_stream, ("lang_code",)),
 }
 
 
@@ -125,13 +134,17 @@ class SpikeView:
 
     KEYS = ["minute_bucket", "lang"]
 
-    def __init__(self, rate_path: str, spike_path: str):
+    def __init__(self, rate_path: str, spike_path: str, compact_every: int | None = 100):
         self.rates = UpsertSink(rate_path, self.KEYS)
         self.spikes = UpsertSink(spike_path, self.KEYS)
+        self.compact_every = compact_every
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        self.rates.write_batch(batch, batch_id)
         spark = batch.sparkSession
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            self.rates.compact(spark, batch_id - 1)
+            self.spikes.compact(spark, batch_id - 1)
+        self.rates.write_batch(batch, batch_id)
         written = spark.read.parquet(f"{self.rates.path}/batch_id={batch_id}")
         # Changed range as scalar subqueries: no value passes through Python.
         lo = written.select(F.min("minute_bucket")).scalar()

@@ -161,3 +161,44 @@ def test_exactly_once_markers_with_restart(spark):
     rep = exactly_once_run(spark, 2_000, files=6, stop_after_batches=2).first()
     assert (rep.expected, rep.distinct_found, rep.duplicates, rep.missing, rep.unexpected,
             rep.verdict) == (2_000, 2_000, 0, 0, 0, "PASS")
+
+
+def test_dim_languages_stream_approx_distinct(spark):
+    import __spark_entry__ as E
+    from plume.plans.streams import _events
+    ev = _events(spark, SF_SMALL, "slow")
+    q, sink = start_view("dim_languages", ev, scratch_path(spark, "dim-out"),
+                         scratch_path(spark, "dim-ck"), trigger="availableNow")
+    q.awaitTermination(300)
+    got = {r.lang_code: r for r in sink.read(spark).collect()}
+    exp = {r.lang_code: r for r in E.queries()["dim_languages"](spark, SF_SMALL).collect()}
+    assert set(got) == set(exp)
+    for k, e in exp.items():
+        g = got[k]
+        assert (g.total_posts, g.first_seen, g.last_seen) == (e.total_posts, e.first_seen, e.last_seen)
+        assert abs(g.distinct_users - e.distinct_users) <= max(1, 0.1 * e.distinct_users)
+
+
+def test_spike_view_with_compaction_equals_batch(spark):
+    import __spark_entry__ as E
+    from plume.plans.streams import json_source
+    from plume.streaming.views import SpikeView
+    # The file source replays files by modification time: write the time
+    # slices one job after another so that arrival order is time order
+    # (otherwise later batches hold rows behind the watermark, which Spark
+    # rightly drops).
+    whole = json_source(spark, SF_SMALL, "fast")
+    parts = sorted(f for f in os.listdir(whole.replace("file:", "")) if f.startswith("part-"))
+    src = scratch_path(spark, "cs-src")
+    for f in parts:
+        spark.read.text(f"{whole}/{f}").coalesce(1).write.mode("append").text(src)
+    ev = event_stream(RD.read_raw_stream(spark, fmt="files", path=src, max_files_per_trigger=1))
+    view = SpikeView(scratch_path(spark, "cs-rates"), scratch_path(spark, "cs-spikes"),
+                     compact_every=3)
+    q = view.start(ev, scratch_path(spark, "cs-ck"), trigger="availableNow")
+    q.awaitTermination(300)
+    got = view.read(spark).select("minute_bucket", "lang", "posts_in_minute",
+                                  "rolling_hr_avg", "is_spiking")
+    batch = E.queries()["lang_spike_detector"](spark, SF_SMALL)
+    assert got.count() == batch.count()
+    assert got.exceptAll(batch).count() == 0
