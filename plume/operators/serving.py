@@ -86,6 +86,13 @@ def volume_last_30m(ppm: DataFrame, as_of: Column, minutes: int = 30,
     return pivot_by_lang(recent, "minute", "post_count", k)
 
 
+def ordered_series(df: DataFrame, *cols: str) -> DataFrame:
+    """A series in time order for presentation (minute, hour or lateness
+    rows).  A global sort is a range-partitioned shuffle; use it on
+    aggregated series, whose size is bounded by the number of buckets."""
+    return df.orderBy(*cols)
+
+
 # Column titles of the dashboard tables (fixed values).
 DISPLAY_NAMES = {
     "history": {"hour": "Hour", "lang": "Language", "posts": "Posts"},
