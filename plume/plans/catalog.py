@@ -72,6 +72,13 @@ def _dq_checks(spark, sf_dir):
             .unionByName(Q.unique(dim, "dim_languages", "lang_code")))
 
 
+def _dq_not_null(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    return (Q.not_null(s, "stg_posts", ["did", "text", "event_time"])
+            .unionByName(Q.not_null(M.fct_posts_hourly(s), "fct_posts_hourly", ["hour_bucket"]))
+            .unionByName(Q.not_null(M.dim_languages(s), "dim_languages", ["lang_code"])))
+
+
 def _roundtrip(spark, sf_dir):
     r = raw(spark, sf_dir, "slow")
     sent = r.select(F.to_json(F.struct(*r.columns), {"ignoreNullFields": "false"}).alias("value"))
@@ -131,6 +138,10 @@ BATCH: dict[str, Builder] = {
     "reconcile_report": lambda s, d: X.reconcile_report(_rec(s, d)),
     "first_unexpected": lambda s, d: X.first_anomalies(_rec(s, d), "unexpected"),
     "dq_checks": _dq_checks,
+    "dq_not_null": _dq_not_null,
+    "dq_unique": lambda s, d: Q.unique(M.dim_languages(stg(s, d)), "dim_languages", "lang_code"),
+    "dq_expression": lambda s, d: Q.expression_is_true(M.fct_posts_hourly(stg(s, d)),
+                                                       "fct_posts_hourly", "post_count", ">= 0"),
     "dedupe_posts": _dedupe,
     "sample_events": lambda s, d: RD.sample_events(raw(s, d, "slow")),
     "roundtrip_multiset": _roundtrip,
