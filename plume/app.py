@@ -79,11 +79,26 @@ def cmd_stream(spark: SparkSession, a) -> int:
 def cmd_marts(spark: SparkSession, a) -> int:
     posts = RD.scan_posts(spark, a.posts)
     stg = SK.materialize(P.stg_posts(posts), "stg_posts", "view")
-    fct = M.fct_posts_hourly(stg)
+    fct_path = f"{a.out}/fct_posts_hourly"
+    if a.since:
+        # Incremental: only days >= since are recomputed and overwritten.  The
+        # previous mart's tail (<= 23 rows per language) is staged first, so
+        # the job never reads the partitions it overwrites.
+        from .session import scratch_path
+        tail_path = scratch_path(spark, "fct-tail")
+        prev = spark.read.parquet(fct_path).drop("event_date")
+        prev.filter(F.col("hour_bucket") < F.lit(a.since).cast("timestamp")) \
+            .write.mode("overwrite").parquet(tail_path)
+        fct = M.fct_posts_hourly_incremental(stg, spark.read.parquet(tail_path), a.since)
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    else:
+        fct = M.fct_posts_hourly(stg)
+    (fct.withColumn("event_date", F.to_date("hour_bucket"))
+        .write.mode("overwrite").partitionBy("event_date").parquet(fct_path))
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     dim = M.dim_languages(stg)
-    fct.write.mode("overwrite").parquet(f"{a.out}/fct_posts_hourly")
     dim.write.mode("overwrite").parquet(f"{a.out}/dim_languages")
-    fct_t = spark.read.parquet(f"{a.out}/fct_posts_hourly")
+    fct_t = spark.read.parquet(fct_path)
     dim_t = spark.read.parquet(f"{a.out}/dim_languages")
     checks = (Q.not_null(stg, "stg_posts", ["did", "text", "event_time"])
               .unionByName(Q.not_null(fct_t, "fct_posts_hourly", ["hour_bucket"]))
@@ -141,6 +156,7 @@ def main(argv: list[str] | None = None) -> int:
     m = sub.add_parser("marts")
     m.add_argument("--posts", required=True)
     m.add_argument("--out", required=True)
+    m.add_argument("--since", default=None, help="YYYY-MM-DD: refresh only days >= since")
     v = sub.add_parser("verify")
     v.add_argument("--expected", required=True)
     v.add_argument("--posts", required=True)

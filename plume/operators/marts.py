@@ -35,6 +35,34 @@ def fct_posts_hourly(stg: DataFrame) -> DataFrame:
     return hourly(stg).withColumn("rolling_24h_count", F.sum("post_count").over(w).cast("long"))
 
 
+def fct_posts_hourly_incremental(stg: DataFrame, fct_prev: DataFrame, since) -> DataFrame:
+    """Rows of fct_posts_hourly for hours >= ``since`` (a date), exactly as a
+    full refresh would give them, without re-reading older history.
+
+    * hourly aggregates are recomputed only for staged rows on or after
+      ``since`` (a day-partitioned landed table prunes to those days);
+    * the rolling sum needs the 23 previous *present* rows of each language:
+      they are the last 23 rows before ``since`` of the previous mart
+      (at most 23 rows per language, taken with a per-language rank over the
+      previous mart's hourly rows);
+    * the 24-row window runs over that tail plus the new rows, and only the
+      new rows are returned, ready for a dynamic partition overwrite.
+    """
+    since_ts = F.to_timestamp(F.lit(str(since)))
+    new = hourly(stg.filter(F.col("event_time") >= since_ts)).withColumn("_new", F.lit(True))
+    rank = Window.partitionBy("primary_lang").orderBy(F.col("hour_bucket").desc())
+    tail = (fct_prev.filter(F.col("hour_bucket") < since_ts)
+                    .withColumn("_r", F.row_number().over(rank))
+                    .filter(F.col("_r") < ROLLING_ROWS)
+                    .select("hour_bucket", "primary_lang", "post_count", "avg_text_length",
+                            "long_posts", F.lit(False).alias("_new")))
+    w = (Window.partitionBy("primary_lang").orderBy("hour_bucket")
+               .rowsBetween(-(ROLLING_ROWS - 1), Window.currentRow))
+    both = new.unionByName(tail)
+    return (both.withColumn("rolling_24h_count", F.sum("post_count").over(w).cast("long"))
+                .filter(F.col("_new")).drop("_new"))
+
+
 def dim_languages(stg: DataFrame, approx: bool = False) -> DataFrame:
     """First/last seen, total posts and distinct users per language.
 

@@ -79,6 +79,15 @@ def _dq_not_null(spark, sf_dir):
             .unionByName(Q.not_null(M.dim_languages(s), "dim_languages", ["lang_code"])))
 
 
+def _fct_incremental(spark, sf_dir):
+    """Full mart = (mart built before the middle day) + (incremental from it)."""
+    s = stg(spark, sf_dir)
+    bounds = s.agg(F.min("event_time"), F.max("event_time")).first()   # two scalars
+    since = (bounds[0] + (bounds[1] - bounds[0]) / 2).date()
+    before = M.fct_posts_hourly(s.filter(F.col("event_time") < F.lit(str(since)).cast("timestamp")))
+    return before.unionByName(M.fct_posts_hourly_incremental(s, before, since))
+
+
 def _roundtrip(spark, sf_dir):
     r = raw(spark, sf_dir, "slow")
     sent = r.select(F.to_json(F.struct(*r.columns), {"ignoreNullFields": "false"}).alias("value"))
@@ -124,6 +133,7 @@ BATCH: dict[str, Builder] = {
     "stg_posts": stg,
     "fct_posts_hourly": lambda s, d: M.fct_posts_hourly(stg(s, d)),
     "dim_languages": lambda s, d: M.dim_languages(stg(s, d)),
+    "fct_posts_hourly_incremental": _fct_incremental,
     "history_hourly": lambda s, d: M.history_hourly(posts(s, d)),
     "history_kpis": lambda s, d: M.history_kpis(M.history_hourly(posts(s, d))),
     "history_pivot": lambda s, d: M.history_pivot(M.history_hourly(posts(s, d))),

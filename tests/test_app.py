@@ -16,7 +16,15 @@ def test_cli_pipeline(spark, capsys):
                      "--checkpoint", ck, "--trigger-available-now"]) == 0
     assert spark.read.parquet(f"{out}/posts").count() == 746          # FIXTURES: sf0.001 posts_flat
     assert app.main(["marts", "--posts", f"{out}/posts", "--out", f"{out}/marts"]) == 0
-    assert spark.read.parquet(f"{out}/marts/fct_posts_hourly").count() == 582
+    full = spark.read.parquet(f"{out}/marts/fct_posts_hourly").drop("event_date")
+    assert full.count() == 582                                      # FIXTURES: sf0.001 fct rows
+    copy = scratch_path(spark, "app-fct-full")
+    full.write.mode("overwrite").parquet(copy)        # keep the full build before overwriting
+    full = spark.read.parquet(copy)
+    assert app.main(["marts", "--posts", f"{out}/posts", "--out", f"{out}/marts",
+                     "--since", "2024-01-15"]) == 0
+    inc = spark.read.parquet(f"{out}/marts/fct_posts_hourly").drop("event_date")
+    assert inc.count() == 582 and inc.exceptAll(full).count() == 0
     exp = scratch_path(spark, "app-exp")
     write_expected(FX.expected_markers(spark, SF_SMALL), exp)
     capsys.readouterr()
