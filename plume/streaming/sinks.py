@@ -84,6 +84,10 @@ class UpsertSink:
     def snapshot_root(self) -> str:
         return f"{self.path}/_snapshots"
 
+    @property
+    def commit_root(self) -> str:
+        return f"{self.path}/_snapshot_commits"
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
@@ -102,12 +106,15 @@ class UpsertSink:
         return _trigger(w, trigger).start()
 
     def _latest_snapshot(self, spark: SparkSession) -> int | None:
+        """Newest *committed* snapshot: a snapshot counts only once its commit
+        marker exists, and the marker is written after the snapshot's write
+        job has finished, so a snapshot cut short by a failure is ignored."""
         try:
-            snaps = spark.read.parquet(self.snapshot_root)
+            commits = spark.read.parquet(self.commit_root)
         except Exception:
             return None
         # one number (partition values come from the folder listing)
-        return snaps.select(F.max("upto")).first()[0]
+        return commits.select(F.max("upto")).first()[0]
 
     def _versions(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         batches = spark.read.parquet(self.path)
@@ -140,13 +147,16 @@ class UpsertSink:
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Fold every version up to batch ``upto`` into ``_snapshots/upto=N``.
 
-        Idempotent (overwrite of the same folder); readers switch to it once
-        it is complete because a snapshot is only listed after its write
-        commits.  Older batch folders are no longer read and can be removed
-        by the storage lifecycle.
+        Two steps, both idempotent overwrites: the folded rows, then a commit
+        marker.  Readers switch to the snapshot only when its marker exists,
+        so a compaction interrupted by a failure is invisible and is simply
+        redone.  Older batch folders are no longer read and can be removed by
+        the storage lifecycle.
         """
         folded = self._latest(self._versions(spark, upto))
         folded.write.mode("overwrite").parquet(f"{self.snapshot_root}/upto={upto}")
+        spark.range(1).select(F.lit(True).alias("committed")) \
+             .write.mode("overwrite").parquet(f"{self.commit_root}/upto={upto}")
 
 
 def write_expected(ids: DataFrame, path: str) -> None:
