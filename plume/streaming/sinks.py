@@ -68,7 +68,8 @@ def sink_posts(flat: DataFrame, path: str, checkpoint: str, trigger: str | None
 class UpsertSink:
     """Idempotent keyed sink for ``update`` mode (see module docstring).
 
-    Layout: ``<path>/batch_id=N/`` holds the rows a micro-batch changed;
+    Layout: ``<path>/batch_id=N/`` holds the rows a micro-batch changed and
+    ``<path>/_batch_commits/batch_id=N/`` marks it complete;
     ``<path>/_snapshots/upto=N/`` holds the latest version of every key as of
     batch N (written by ``compact``; the leading underscore keeps it out of
     partition discovery of ``<path>``).  A reader takes the newest snapshot
@@ -88,8 +89,23 @@ class UpsertSink:
     def commit_root(self) -> str:
         return f"{self.path}/_snapshot_commits"
 
+    @property
+    def batch_commit_root(self) -> str:
+        return f"{self.path}/_batch_commits"
+
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
+        """Rows of one micro-batch, then its commit marker (both idempotent
+        overwrites, so a replayed batch rewrites both)."""
         df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        df.sparkSession.range(1).select(F.lit(True).alias("committed")) \
+          .write.mode("overwrite").parquet(f"{self.batch_commit_root}/batch_id={batch_id}")
+
+    def _last_committed_batch(self, spark: SparkSession) -> int | None:
+        try:
+            return spark.read.parquet(self.batch_commit_root) \
+                        .select(F.max("batch_id")).first()[0]
+        except Exception:
+            return None
 
     def start(self, view: DataFrame, checkpoint: str, trigger: str | None = None,
               query_name: str | None = None, compact_every: int | None = None) -> StreamingQuery:
@@ -117,6 +133,12 @@ class UpsertSink:
         return commits.select(F.max("upto")).first()[0]
 
     def _versions(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
+        # micro-batches run one after another, so every batch up to the last
+        # committed one is complete; a batch still being written is skipped
+        last = self._last_committed_batch(spark)
+        if last is None:
+            raise FileNotFoundError(self.path)
+        upto = last if upto is None else min(upto, last)
         batches = spark.read.parquet(self.path)
         snap = self._latest_snapshot(spark)
         if snap is not None:

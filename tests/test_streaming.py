@@ -60,6 +60,10 @@ def test_upsert_sink_replay_is_idempotent(spark):
     sink.write_batch(v2, 1)  # replay of batch 1
     got = {r.k: r.n for r in sink.read(spark).collect()}
     assert got == {"a": 3, "b": 1}
+    # rows of a batch whose write has not committed yet are not read
+    spark.createDataFrame([("a", 50)], "k string, n long").write.mode("overwrite") \
+         .parquet(f"{path}/batch_id=2")
+    assert {r.k: r.n for r in sink.read(spark).collect()} == got
 
 
 def test_hop_stream_direct_equals_batch_rollup(spark):
