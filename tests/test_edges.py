@@ -141,3 +141,13 @@ def test_json_decode_is_tolerant(spark):
     assert rows[None].time_us is None            # broken line: all-NULL row
     assert rows["a"].time_us is None             # wrongly typed field: NULL
     assert rows["b"].time_us == 5                # unknown key ignored
+
+
+def test_spike_join_form_equals_window_form_on_fixture(spark):
+    from conftest import SF_SMALL
+    from plume.plans import catalog as CAT
+    rate = R.lang_post_rate_1m(CAT.fast(spark, SF_SMALL))
+    w = K.lang_spike_detector(rate)
+    j = K.spike_detector_join(rate)
+    assert w.count() == j.count() > 0
+    assert w.exceptAll(j).count() == 0
