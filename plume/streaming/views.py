@@ -39,8 +39,7 @@ def dim_languages_stream(events: DataFrame) -> DataFrame:
     """dim_languages on a stream: exact COUNT(DISTINCT) is refused in
     streams, so distinct users use HyperLogLog++ (R12)."""
     from ..operators import marts as M
-    flat = P.posts_flat(events).withColumn("text_length", F.length("text"))
-    return M.dim_languages(P.stg_posts(flat), approx=True)
+    return M.dim_languages(P.stg_posts(P.posts_flat(events)), approx=True)
 
 
 VIEWS: dict[str, View] = {
