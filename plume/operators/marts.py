@@ -78,6 +78,36 @@ def dim_languages(stg: DataFrame, approx: bool = False) -> DataFrame:
                     users.alias("distinct_users")))
 
 
+def lang_user_days(stg: DataFrame) -> DataFrame:
+    """Per (day, language, did): first and last post time and post count.
+
+    The incremental state of dim_languages: it can be rebuilt day by day
+    (dynamic partition overwrite on event_date), and it keeps the distinct
+    count exact because dids are kept per day.  Its size is the number of
+    user-days, not the number of posts.
+    """
+    return (stg.filter(F.col("primary_lang").isNotNull())
+               .groupBy(F.to_date("event_time").alias("event_date"),
+                        F.col("primary_lang").alias("lang_code"), "did")
+               .agg(F.min("event_time").alias("first_seen"),
+                    F.max("event_time").alias("last_seen"),
+                    F.count(F.lit(1)).alias("posts")))
+
+
+def dim_from_user_days(user_days: DataFrame) -> DataFrame:
+    """dim_languages from the per-day user state: two partial-then-final
+    aggregates, (language, did) then language."""
+    per_user = (user_days.groupBy("lang_code", "did")
+                         .agg(F.min("first_seen").alias("first_seen"),
+                              F.max("last_seen").alias("last_seen"),
+                              F.sum("posts").alias("posts")))
+    return (per_user.groupBy("lang_code")
+                    .agg(F.min("first_seen").alias("first_seen"),
+                         F.max("last_seen").alias("last_seen"),
+                         F.sum("posts").cast("long").alias("total_posts"),
+                         F.count(F.lit(1)).alias("distinct_users")))
+
+
 def history_hourly(posts: DataFrame) -> DataFrame:
     """COUNT per (hour, language) of the landed table; non-empty language,
     no test markers; NULL text is kept."""

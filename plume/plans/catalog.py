@@ -88,6 +88,16 @@ def _fct_incremental(spark, sf_dir):
     return before.unionByName(M.fct_posts_hourly_incremental(s, before, since))
 
 
+def _dim_incremental(spark, sf_dir):
+    """dim_languages from per-day user state built in two separate halves."""
+    s = stg(spark, sf_dir)
+    bounds = s.agg(F.min("event_time"), F.max("event_time")).first()   # two scalars
+    since = F.lit(str((bounds[0] + (bounds[1] - bounds[0]) / 2).date())).cast("timestamp")
+    days = (M.lang_user_days(s.filter(F.col("event_time") < since))
+             .unionByName(M.lang_user_days(s.filter(F.col("event_time") >= since))))
+    return M.dim_from_user_days(days)
+
+
 def _roundtrip(spark, sf_dir):
     r = raw(spark, sf_dir, "slow")
     sent = r.select(F.to_json(F.struct(*r.columns), {"ignoreNullFields": "false"}).alias("value"))
@@ -134,6 +144,7 @@ BATCH: dict[str, Builder] = {
     "fct_posts_hourly": lambda s, d: M.fct_posts_hourly(stg(s, d)),
     "dim_languages": lambda s, d: M.dim_languages(stg(s, d)),
     "fct_posts_hourly_incremental": _fct_incremental,
+    "dim_languages_incremental": _dim_incremental,
     "history_hourly": lambda s, d: M.history_hourly(posts(s, d)),
     "history_kpis": lambda s, d: M.history_kpis(M.history_hourly(posts(s, d))),
     "history_pivot": lambda s, d: M.history_pivot(M.history_hourly(posts(s, d))),

@@ -1,6 +1,7 @@
 """The command line end to end: stream -> marts -> verify -> lateness."""
 import json
 
+import __spark_entry__ as E
 from conftest import SF_SMALL
 from plume import app
 from plume.plans.streams import json_source
@@ -21,10 +22,16 @@ def test_cli_pipeline(spark, capsys):
     copy = scratch_path(spark, "app-fct-full")
     full.write.mode("overwrite").parquet(copy)        # keep the full build before overwriting
     full = spark.read.parquet(copy)
+    dim_copy = scratch_path(spark, "app-dim-full")
+    spark.read.parquet(f"{out}/marts/dim_languages").write.mode("overwrite").parquet(dim_copy)
+    dim_full = spark.read.parquet(dim_copy)
+    assert dim_full.exceptAll(E.queries()["dim_languages"](spark, SF_SMALL)).count() == 0
     assert app.main(["marts", "--posts", f"{out}/posts", "--out", f"{out}/marts",
                      "--since", "2024-01-15"]) == 0
     inc = spark.read.parquet(f"{out}/marts/fct_posts_hourly").drop("event_date")
     assert inc.count() == 582 and inc.exceptAll(full).count() == 0
+    dim_inc = spark.read.parquet(f"{out}/marts/dim_languages")
+    assert dim_inc.count() == dim_full.count() and dim_inc.exceptAll(dim_full).count() == 0
     exp = scratch_path(spark, "app-exp")
     write_expected(FX.expected_markers(spark, SF_SMALL), exp)
     capsys.readouterr()
