@@ -75,7 +75,10 @@ def start_bronze(values: DataFrame, path: str, checkpoint: str,
     JSON is parsed once instead of once per view, and each view reads only
     the columns it uses.  Append-only and exactly once like the posts sink.
     """
-    ev = (RD.with_event_time(RD.decode_events(values))
+    from ..operators.stats import observe_ingest
+    # ingest statistics (events, payload bytes) per micro-batch in the query
+    # progress: lastProgress["observedMetrics"]["ingest"]
+    ev = (RD.with_event_time(RD.decode_events(observe_ingest(values)))
             .withColumn("event_date", F.to_date("event_time")))
     w = (ev.writeStream.outputMode("append").format("parquet")
            .option("path", path).option("checkpointLocation", checkpoint)

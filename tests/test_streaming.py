@@ -210,3 +210,17 @@ def test_spike_view_with_compaction_equals_batch(spark):
     batch = E.queries()["lang_spike_detector"](spark, SF_SMALL)
     assert got.count() == batch.count()
     assert got.exceptAll(batch).count() == 0
+
+
+def test_bronze_reports_ingest_metrics(spark):
+    from plume.plans.streams import json_source
+    from plume.streaming.views import bronze_events, start_bronze
+    src = json_source(spark, SF_SMALL, "fast")
+    out = scratch_path(spark, "bronze")
+    q = start_bronze(RD.read_raw_stream(spark, fmt="files", path=src), out,
+                     scratch_path(spark, "bronze-ck"), trigger="availableNow")
+    q.awaitTermination(300)
+    metrics = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["events"] for m in metrics) == spark.read.text(src).count()
+    assert spark.read.parquet(out).count() == spark.read.text(src).count()
+    assert bronze_events(spark, out).isStreaming
