@@ -3,7 +3,7 @@
 The reference's input is a live firehose of JSON post events.  The test
 tables hold no such stream, so every registered query derives its raw events
 from ``events`` joined to ``documents`` with a deterministic rule that the
-SQL oracle repeats verbatim (see ``plume.plans.oracle.RAW_CTE``).
+SQL oracle repeats verbatim (see ``plume.plans.oracle.raw_cte``).
 
 Row class, first match wins:
   marker    event_id % 50 = 7
