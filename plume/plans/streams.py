@@ -11,6 +11,7 @@ batch oracle.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import reconcile as X
 from ..session import prepare, scratch_path
@@ -38,6 +39,23 @@ def json_source(spark: SparkSession, sf_dir: str, clock: str, files: int = 8) ->
     return _SOURCES[key]
 
 
+def ordered_json_source(spark: SparkSession, sf_dir: str, clock: str, files: int = 8) -> str:
+    """The same events, but each time slice written by its own job, one after
+    another: the file source replays files by modification time, so this
+    makes arrival order equal time order across micro-batches."""
+    key = ("ordered", spark.sparkContext.applicationId, sf_dir, clock, files)
+    if key not in _SOURCES:
+        whole = json_source(spark, sf_dir, clock, files)
+        slices = (spark.read.text(whole)
+                       .select(F.input_file_name().alias("f")).distinct()
+                       .orderBy("f").collect())          # one row per file (<= files)
+        path = scratch_path(spark, f"raw-json-ordered-{clock}")
+        for row in slices:
+            spark.read.text(row.f).write.mode("append").text(path)
+        _SOURCES[key] = path
+    return _SOURCES[key]
+
+
 def _events(spark: SparkSession, sf_dir: str, clock: str) -> DataFrame:
     return event_stream(RD.read_raw_stream(spark, fmt="files",
                                            path=json_source(spark, sf_dir, clock)))
@@ -63,6 +81,37 @@ def stream_view(name: str):
     return build
 
 
+def _batched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_stream(RD.read_raw_stream(spark, fmt="files",
+                                           path=ordered_json_source(spark, sf_dir, "fast"),
+                                           max_files_per_trigger=1))
+
+
+def stream_view_batches(name: str):
+    """The view over 8 micro-batches (one file each): state carried across
+    batches, upserts of the same keys in later batches."""
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        q, sink = start_view(name, _batched_events(spark, sf_dir),
+                             scratch_path(spark, f"viewb-{name}"),
+                             scratch_path(spark, f"ckptb-{name}"), trigger="availableNow")
+        _await(q)
+        return sink.read(spark)
+    return build
+
+
+def stream_spikes_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stacked spike view over 8 micro-batches with compaction every 3."""
+    prepare(spark)
+    view = SpikeView(scratch_path(spark, "ratesb"), scratch_path(spark, "spikesb"),
+                     compact_every=3)
+    q = view.start(_batched_events(spark, sf_dir), scratch_path(spark, "ckptb-spikes"),
+                   trigger="availableNow")
+    _await(q)
+    return view.read(spark).select("minute_bucket", "lang", "posts_in_minute",
+                                   "rolling_hr_avg", "is_spiking")
+
+
 def stream_posts_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     ev = _events(spark, sf_dir, "slow")
@@ -102,6 +151,8 @@ STREAM = {
     "stream_trending_hashtags_1h_hop": stream_view("trending_hashtags_1h_hop"),
     "stream_lang_spike_detector": stream_spikes,
     "stream_exactly_once": stream_exactly_once,
+    "stream_trending_hashtags_5m_batches": stream_view_batches("trending_hashtags_5m"),
+    "stream_lang_spike_detector_batches": stream_spikes_batches,
 }
 
 # Stream twin -> batch oracle with the same answer.
@@ -114,4 +165,6 @@ STREAM_ORACLE = {
     "stream_trending_hashtags_1h_hop": "trending_hashtags_1h_hop",
     "stream_lang_spike_detector": "lang_spike_detector",
     "stream_exactly_once": "reconcile_report",
+    "stream_trending_hashtags_5m_batches": "trending_hashtags_5m",
+    "stream_lang_spike_detector_batches": "lang_spike_detector",
 }
