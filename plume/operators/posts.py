@@ -9,7 +9,7 @@ from ..functions import columns as C
 
 
 def posts_flat(raw: DataFrame) -> DataFrame:
-    """Created posts flattened to the 6 lakehouse columns.
+    """Created posts flattened to the 6 columns of the landed table.
 
     event_time is whole seconds (integer division of the micros); the first
     declared language, or 'unknown'.  Stateless: in a stream, rows behind the

@@ -28,7 +28,7 @@ RAW_SCHEMA = T.StructType([
     T.StructField("commit", COMMIT_SCHEMA),
 ])
 
-# The append-only lakehouse table (all columns nullable).
+# The append-only landed posts table (all columns nullable).
 POSTS_SCHEMA = T.StructType([
     T.StructField("did", S),
     T.StructField("time_us", T.LongType()),

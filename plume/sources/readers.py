@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..schema import FAULT_LOG_SCHEMA, POSTS_SCHEMA, RAW_SCHEMA
 
-KAFKA_TOPIC = "bsky.posts"
+KAFKA_TOPIC = "posts"
 
 
 def read_raw_stream(spark: SparkSession, *, fmt: str = "files", path: str | None = None,

@@ -1,6 +1,6 @@
 """Streaming sinks.
 
-* ``sink_posts``: append-only sink of posts_flat into the lakehouse table.
+* ``sink_posts``: append-only sink of posts_flat into the landed posts table.
   Exactly once: the file sink commits each micro-batch in its own log,
   keyed by the batch id, and the checkpoint binds that id to the source
   offsets, so a restart neither loses nor repeats a batch.

@@ -119,7 +119,7 @@ def start_view(name: str, events: DataFrame, out_path: str, checkpoint: str,
 
 def start_posts_flat(events: DataFrame, out_path: str, checkpoint: str,
                      trigger: str | None = "60 seconds", table: str | None = None) -> StreamingQuery:
-    """posts_flat -> append-only lakehouse sink (about one commit a minute)."""
+    """posts_flat -> append-only landed-table sink (about one commit a minute)."""
     return sink_posts(P.posts_flat(events), out_path, checkpoint, trigger, table=table)
 
 
