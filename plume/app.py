@@ -145,6 +145,8 @@ def cmd_lateness(spark: SparkSession, a) -> int:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="plume")
     ap.add_argument("--master", default=None)
+    ap.add_argument("--input-bytes", type=int, default=None,
+                    help="size the shuffle and scan partitions for this much input")
     sub = ap.add_subparsers(dest="cmd", required=True)
     s = sub.add_parser("stream")
     s.add_argument("--source", required=True, help="files:/dir or kafka:host:port/topic")
@@ -174,6 +176,10 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "stream" and a.trigger_available_now:
         a.commit_interval = a.view_interval = "availableNow"
     spark = prepare(build_session(a.master, app=f"plume-{a.cmd}"))
+    if a.input_bytes:
+        from .session import scale_conf
+        for k, v in scale_conf(a.input_bytes).items():
+            spark.conf.set(k, v)
     return {"stream": cmd_stream, "marts": cmd_marts, "verify": cmd_verify,
             "lateness": cmd_lateness}[a.cmd](spark, a)
 

@@ -27,6 +27,29 @@ SQL_CONF = {
 }
 
 
+MB = 1024 * 1024
+
+
+def scale_conf(input_bytes: int, target_partition_mb: int = 128) -> dict[str, str]:
+    """Shuffle and scan sizing from the input size.
+
+    ``spark.sql.shuffle.partitions`` is the *upper* bound of reduce tasks:
+    about one per ``target_partition_mb`` of input, so a wide stage's
+    partitions fit in executor memory without spilling.  AQE then coalesces
+    the small aggregated stages down toward the advisory size and splits
+    skewed partitions.  Scans read 256 MB splits.  At 100 TB this is about
+    800k shuffle partitions before coalescing.
+    """
+    parts = max(8, -(-int(input_bytes) // (target_partition_mb * MB)))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 * MB),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_mb * MB),
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(16 * MB),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_mb * MB),
+    }
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; cheap and idempotent."""
     for key, value in SQL_CONF.items():

@@ -97,3 +97,10 @@ def test_ingest_stats(spark):
     df = spark.createDataFrame([("ab", B), ("é", B + 2_000_000)], "value string, time_us long")
     r = ST.ingest_stats(df).first()
     assert (r.events, r.bytes, r.events_per_sec) == (2, 4, 1.0)
+
+
+def test_scale_conf_sizes_partitions():
+    from plume.session import scale_conf
+    c = scale_conf(100 * 1024 ** 4)                     # 100 TB
+    assert int(c["spark.sql.shuffle.partitions"]) == 819_200
+    assert int(scale_conf(10)["spark.sql.shuffle.partitions"]) == 8
