@@ -47,6 +47,9 @@ def _raw_stream(spark: SparkSession, source: str, max_files: int | None = None,
 def cmd_stream(spark: SparkSession, a) -> int:
     queries = []
     if a.bronze:
+        from .operators.stats import IngestListener
+        # running "events | events/s | MB" line every 1,000 events (fixed value)
+        spark.streams.addListener(IngestListener(log_every=1000).listener)
         # parse JSON once; the views stream the typed, pruned bronze files
         queries.append(V.start_bronze(_raw_stream(spark, a.source, a.max_files, a.max_offsets),
                                       f"{a.out}/bronze", f"{a.checkpoint}/bronze",

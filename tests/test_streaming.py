@@ -213,13 +213,24 @@ def test_spike_view_with_compaction_equals_batch(spark):
 
 
 def test_bronze_reports_ingest_metrics(spark):
+    import time
+    from plume.operators.stats import IngestListener
     from plume.plans.streams import json_source
     from plume.streaming.views import bronze_events, start_bronze
     src = json_source(spark, SF_SMALL, "fast")
     out = scratch_path(spark, "bronze")
-    q = start_bronze(RD.read_raw_stream(spark, fmt="files", path=src), out,
+    totals = IngestListener()
+    spark.streams.addListener(totals.listener)
+    q = start_bronze(RD.read_raw_stream(spark, fmt="files", path=src, max_files_per_trigger=3), out,
                      scratch_path(spark, "bronze-ck"), trigger="availableNow")
     q.awaitTermination(300)
+    deadline = time.time() + 30          # listener events arrive asynchronously
+    n_lines = spark.read.text(src).count()
+    while totals.events < n_lines and time.time() < deadline:
+        time.sleep(0.2)
+    spark.streams.removeListener(totals.listener)
+    assert totals.events == n_lines and totals.bytes > 0
+    assert totals.line().startswith(f"Processed {n_lines} events")
     metrics = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(m["events"] for m in metrics) == spark.read.text(src).count()
     assert spark.read.parquet(out).count() == spark.read.text(src).count()
