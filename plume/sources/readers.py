@@ -100,10 +100,12 @@ def land_raw(stream: DataFrame, collections: tuple[str, ...] = (C.POST_COLLECTIO
 def sample_events(raw: DataFrame, n: int = 10) -> DataFrame:
     """Peek n events: time, did[:20], text[:80] with newlines -> spaces.
 
-    Ordered by (time_us, did) so the sample is deterministic.
+    An event without a record (identity, account) previews as ''.  Ordered
+    by (time_us, did) so the sample is deterministic.
     """
     return (raw.orderBy(F.col("time_us").asc_nulls_last(), F.col("did").asc_nulls_last())
                .limit(n)
                .select(C.event_time_micros("time_us").alias("event_time"),
                        F.substring(F.col("did"), 1, 20).alias("did"),
-                       C.preview(F.col("commit.record.text"), 80).alias("text")))
+                       C.preview(F.coalesce(F.col("commit.record.text"), F.lit("")), 80)
+                        .alias("text")))
