@@ -3,7 +3,7 @@
     python -m plume.app stream   --source files:/in --out /lake --checkpoint /ckpt
     python -m plume.app marts    --posts /lake/posts --out /lake/marts
     python -m plume.app verify   --expected ids.txt --posts /lake/posts [--fault-log log.jsonl]
-    python -m plume.app lateness --source files:/in --out /lake/lateness.csv [--as-of ISO]
+    python -m plume.app lateness --source files:/in --out /lake/event_age_csv [--as-of ISO]
 
 ``stream`` starts the posts sink, every view and the stacked spike view on one
 raw stream and blocks; ``marts`` builds staging, fact and dimension, runs the
