@@ -3,6 +3,7 @@
     python -m plume.app stream   --source files:/in --out /lake --checkpoint /ckpt
     python -m plume.app marts    --posts /lake/posts --out /lake/marts
     python -m plume.app verify   --expected ids.txt --posts /lake/posts [--fault-log log.jsonl]
+    python -m plume.app dashboard --out /lake [--as-of ISO]
     python -m plume.app lateness --source files:/in --out /lake/event_age_csv [--as-of ISO]
 
 ``stream`` starts the posts sink, every view and the stacked spike view on one
@@ -133,6 +134,49 @@ def cmd_verify(spark: SparkSession, a) -> int:
     return 0 if report["verdict"] == "PASS" else 1
 
 
+def dashboard_panels(spark: SparkSession, out: str, as_of=None) -> dict[str, DataFrame]:
+    """Every dashboard figure, read from the sinks the ``stream`` job keeps
+    (event -> streaming view -> serving query).  All are small frames."""
+    from .operators import hashtags as H
+    from .operators import rates as R
+    from .operators import serving as S
+    from .operators import spikes as K
+
+    def view(name: str) -> DataFrame:
+        return SK.UpsertSink(f"{out}/{name}", list(V.VIEWS[name].keys)).read(spark)
+
+    posts = RD.scan_posts(spark, f"{out}/posts")
+    ppm = view("posts_per_minute_by_lang")
+    rates = SK.UpsertSink(f"{out}/lang_post_rate_1m_state", V.SpikeView.KEYS).read(spark)
+    spikes = SK.UpsertSink(f"{out}/lang_spike_detector", V.SpikeView.KEYS).read(spark)
+    t5 = view("trending_hashtags_5m")
+    hist = M.history_hourly(posts)
+    pps = view("posts_per_second")
+    # now(): a given time, else the newest second seen by the stream
+    now = (F.lit(as_of).cast("timestamp") if as_of
+           else pps.select(F.max("second_bucket")).scalar())
+    return {
+        "current_rate": R.current_rate(pps),
+        "total_posts": S.total_posts(posts),
+        "active_languages": S.active_languages(ppm),
+        "active_spikes": K.active_spikes(spikes),
+        "volume_last_30m": S.volume_last_30m(ppm, now),
+        "top_spikes": K.top_spikes(rates),
+        "top_hashtags": H.top_hashtags_latest(t5),
+        "hashtag_card": H.latest_hashtag_card(t5),
+        "top_hop": H.top_hop_latest(view("trending_hashtags_1h_hop")),
+        "history_kpis": M.history_kpis(hist),
+        "history_pivot": M.history_pivot(hist),
+    }
+
+
+def cmd_dashboard(spark: SparkSession, a) -> int:
+    for name, df in dashboard_panels(spark, a.out, a.as_of).items():
+        rows = [r.asDict() for r in df.limit(a.max_rows).collect()]   # bounded
+        print(json.dumps({"panel": name, "rows": rows}, default=str))
+    return 0
+
+
 def cmd_lateness(spark: SparkSession, a) -> int:
     kind, _, where = a.source.partition(":")
     raw = RD.with_event_time(RD.decode_events(spark.read.text(where)))
@@ -171,6 +215,10 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("--expected", required=True)
     v.add_argument("--posts", required=True)
     v.add_argument("--fault-log", default=None)
+    d = sub.add_parser("dashboard")
+    d.add_argument("--out", required=True, help="the --out folder of the stream job")
+    d.add_argument("--as-of", default=None)
+    d.add_argument("--max-rows", type=int, default=1000)
     lt = sub.add_parser("lateness")
     lt.add_argument("--source", required=True, help="files:/dir of raw JSON events")
     lt.add_argument("--out", default=None)
@@ -184,7 +232,7 @@ def main(argv: list[str] | None = None) -> int:
         for k, v in scale_conf(a.input_bytes).items():
             spark.conf.set(k, v)
     return {"stream": cmd_stream, "marts": cmd_marts, "verify": cmd_verify,
-            "lateness": cmd_lateness}[a.cmd](spark, a)
+            "dashboard": cmd_dashboard, "lateness": cmd_lateness}[a.cmd](spark, a)
 
 
 if __name__ == "__main__":

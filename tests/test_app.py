@@ -58,5 +58,17 @@ def test_cli_stream_through_bronze(spark):
     assert tags.count() == batch.count() > 0
     assert tags.exceptAll(batch).count() == 0
     assert spark.read.parquet(f"{out}/posts").count() == 746
+    # dashboard panels from the running views' sinks equal the batch queries
+    from pyspark.sql import functions as F
+    newest = FX.raw_events(spark, SF_SMALL, "fast").agg(
+        F.date_format(F.timestamp_micros(F.max("time_us")), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
+    panels = app.dashboard_panels(spark, out, as_of=newest)
+    qs = E.queries()
+    for panel, key in [("current_rate", "current_rate"), ("active_languages", "active_languages"),
+                       ("active_spikes", "active_spikes"), ("volume_last_30m", "volume_last_30m"),
+                       ("top_spikes", "top_spikes"), ("top_hashtags", "top_hashtags_latest"),
+                       ("hashtag_card", "latest_hashtag_card"), ("top_hop", "top_hop_latest")]:
+        got, exp = panels[panel], qs[key](spark, SF_SMALL)
+        assert got.count() == exp.count() and got.exceptAll(exp).count() == 0, panel
     from plume.schema import RAW_SCHEMA
     assert RAW_SCHEMA.names == ["did", "time_us", "kind", "commit"]   # shared schema untouched
