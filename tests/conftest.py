@@ -17,7 +17,8 @@ def spark():
     extra = {}
     if not os.environ.get("SPARK_CHECKPOINT_DIR"):
         extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="plume-test-ckpt-")
-    s = build_session("local[4]", app="plume-tests", shuffle_partitions=4, extra=extra)
+    # local[4,2]: up to 2 attempts per task, so injected task failures are retried
+    s = build_session("local[4,2]", app="plume-tests", shuffle_partitions=4, extra=extra)
     yield s
     s.stop()
 
