@@ -15,36 +15,45 @@ from ..sources import readers as RD
 from .views import event_stream, start_posts_flat
 
 
-def _run_until_progress(q: StreamingQuery, batches: int, timeout_s: float) -> None:
+def _run_until_progress(q: StreamingQuery, batches: int, timeout_s: float,
+                        idle_s: float = 5.0) -> None:
+    """Wait until ``q`` has run ``batches`` micro-batches with data, or has
+    had no new data for ``idle_s`` seconds (input drained), or timed out."""
     import time
-    deadline = time.time() + timeout_s
-    while time.time() < deadline and q.isActive:
-        prog = q.recentProgress
-        if len([p for p in prog if p.get("numInputRows", 0) > 0]) >= batches:
+    start = time.time()
+    last_seen, last_change = 0, start
+    while time.time() < start + timeout_s and q.isActive:
+        done = len([p for p in q.recentProgress if p.get("numInputRows", 0) > 0])
+        if done >= batches:
+            return
+        if done != last_seen:
+            last_seen, last_change = done, time.time()
+        elif time.time() - last_change > idle_s:
             return
         time.sleep(0.2)
 
 
 def land_with_restart(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str,
                       files_per_batch: int = 1, stop_after_batches: int = 1,
-                      timeout_s: float = 300.0) -> DataFrame:
-    """Land posts_flat from ``source_dir`` with one mid-stream stop.
+                      timeout_s: float = 300.0, stops: int = 1) -> DataFrame:
+    """Land posts_flat from ``source_dir`` with ``stops`` mid-stream stops.
 
-    First run: a processing-time trigger reading ``files_per_batch`` files
-    per batch, stopped after ``stop_after_batches`` batches with data (the
-    stop interrupts whatever batch is running).  Second run: same
-    checkpoint, ``availableNow`` to drain the rest.  Returns the landed
-    table read through the sink's commit log.
+    Each round runs a processing-time trigger reading ``files_per_batch``
+    files per batch and is stopped after ``stop_after_batches`` more batches
+    with data (the stop interrupts whatever batch is running); the next round
+    restarts on the same checkpoint.  A final ``availableNow`` run drains the
+    rest.  Returns the landed table read through the sink's commit log.
     """
     def stream():
         return event_stream(RD.read_raw_stream(spark, fmt="files", path=source_dir,
                                                max_files_per_trigger=files_per_batch))
 
-    q1 = start_posts_flat(stream(), out_path, checkpoint, trigger="0 seconds")
-    try:
-        _run_until_progress(q1, stop_after_batches, timeout_s)
-    finally:
-        q1.stop()
+    for _ in range(stops):
+        q = start_posts_flat(stream(), out_path, checkpoint, trigger="0 seconds")
+        try:
+            _run_until_progress(q, stop_after_batches, timeout_s)
+        finally:
+            q.stop()
     q2 = start_posts_flat(stream(), out_path, checkpoint, trigger="availableNow")
     q2.awaitTermination(timeout_s)
     if q2.isActive:
@@ -53,12 +62,14 @@ def land_with_restart(spark: SparkSession, source_dir: str, out_path: str, check
     return RD.scan_posts(spark, out_path)
 
 
-def exactly_once_run(spark: SparkSession, n: int, files: int = 10, stop_after_batches: int = 3,
-                     timeout_s: float = 600.0) -> DataFrame:
+def exactly_once_run(spark: SparkSession, n: int, files: int = 10, stop_after_batches: int = 2,
+                     timeout_s: float = 600.0, stops: int = 3) -> DataFrame:
     """The reference's end-to-end check at its own scale: n marker events are
     delivered to the source folder as ``files`` JSON-lines files, landed with
-    a mid-stream stop and a restart, and reconciled against the delivered ids.
-    Returns the one-row report (PASS iff no duplicate and no missing).
+    ``stops`` mid-stream stops and restarts (three faults by default, as in
+    the published run), and reconciled against the delivered ids.  Returns
+    the one-row report (PASS iff no duplicate and no missing) with the
+    number of stops.
     """
     from pyspark.sql import functions as F
 
@@ -74,5 +85,7 @@ def exactly_once_run(spark: SparkSession, n: int, files: int = 10, stop_after_ba
         RD.decode_events(spark.read.text(src)).select("did"))
     landed = land_with_restart(spark, src, scratch_path(spark, "markers-landed"),
                                scratch_path(spark, "markers-ckpt"), files_per_batch=1,
-                               stop_after_batches=stop_after_batches, timeout_s=timeout_s)
-    return X.reconcile_report(X.reconcile(delivered, X.marker_counts(landed)))
+                               stop_after_batches=stop_after_batches, timeout_s=timeout_s,
+                               stops=stops)
+    report = X.reconcile_report(X.reconcile(delivered, X.marker_counts(landed)))
+    return report.withColumn("stops", F.lit(stops))

@@ -166,9 +166,9 @@ def test_spike_self_join_stream_matches_batch_on_closed_minutes(spark):
 
 def test_exactly_once_markers_with_restart(spark):
     from plume.streaming.restart import exactly_once_run
-    rep = exactly_once_run(spark, 2_000, files=6, stop_after_batches=2).first()
+    rep = exactly_once_run(spark, 2_000, files=8, stop_after_batches=1, stops=3).first()
     assert (rep.expected, rep.distinct_found, rep.duplicates, rep.missing, rep.unexpected,
-            rep.verdict) == (2_000, 2_000, 0, 0, 0, "PASS")
+            rep.verdict, rep.stops) == (2_000, 2_000, 0, 0, 0, "PASS", 3)
 
 
 def test_dim_languages_stream_approx_distinct(spark):
