@@ -132,12 +132,12 @@ def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land the posts with a mid-stream stop and restart, then reconcile."""
+    """Land the posts with three mid-stream stops and restarts, then reconcile."""
     prepare(spark)
     src = json_source(spark, sf_dir, "slow")
     landed = land_with_restart(spark, src, scratch_path(spark, "posts-restart"),
                                scratch_path(spark, "ckpt-restart"), files_per_batch=1,
-                               stop_after_batches=2, timeout_s=TIMEOUT_S)
+                               stop_after_batches=1, timeout_s=TIMEOUT_S, stops=3)
     rec = X.reconcile(FX.expected_markers(spark, sf_dir), X.marker_counts(landed))
     return X.reconcile_report(rec)
 
