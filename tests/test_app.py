@@ -72,3 +72,22 @@ def test_cli_stream_through_bronze(spark):
         assert got.count() == exp.count() and got.exceptAll(exp).count() == 0, panel
     from plume.schema import RAW_SCHEMA
     assert RAW_SCHEMA.names == ["did", "time_us", "kind", "commit"]   # shared schema untouched
+
+
+def test_cli_verify_fails_on_missing_and_lists_scenarios(spark, tmp_path, capsys):
+    from plume.operators import reconcile as X
+    from plume.operators.posts import posts_flat
+    posts = scratch_path(spark, "verify-posts")
+    posts_flat(X.make_markers(spark, 20)).write.mode("overwrite").parquet(posts)
+    ids = X.expected_from_landed(spark.read.parquet(posts)).collect()
+    exp = tmp_path / "ids.txt"
+    exp.write_text("\n".join([r.value for r in ids] + ["never-landed"]) + "\n")
+    log = tmp_path / "faults.jsonl"
+    log.write_text('{"ts": "t1", "event": "scenario_start", "name": "stop-1"}\n\n'
+                   '{"ts": "t2", "event": "scenario_start", "name": "stop-2"}\n')
+    capsys.readouterr()
+    rc = app.main(["verify", "--expected", str(exp), "--posts", posts, "--fault-log", str(log)])
+    rep = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert rc == 1 and rep["verdict"] == "FAIL" and rep["missing"] == 1
+    assert rep["first_missing"] == ["never-landed"]
+    assert [s["name"] for s in rep["scenarios"]] == ["stop-1", "stop-2"]

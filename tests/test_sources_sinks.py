@@ -106,3 +106,14 @@ def test_scale_conf_sizes_partitions():
     c = scale_conf(100 * 1024 ** 4)                     # 100 TB
     assert int(c["spark.sql.shuffle.partitions"]) == 819_200
     assert int(scale_conf(10)["spark.sql.shuffle.partitions"]) == 8
+
+
+def test_arrival_time_flows_through_the_decoder(spark):
+    from plume.streaming.views import event_stream
+    v = json.dumps({"did": "d", "time_us": B, "kind": "commit"})
+    msgs = spark.createDataFrame([(v, "2024-01-01 00:00:03.5")], "value string, ts string") \
+                .select("value", F.col("ts").cast("timestamp").alias("arrival_time"))
+    ev = event_stream(msgs)                     # same path as a Kafka message
+    assert "arrival_time" in ev.columns
+    got = {r.lateness_seconds: r.event_count for r in L.arrival_lateness_hist(ev).collect()}
+    assert got == {3: 1}
