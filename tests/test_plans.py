@@ -51,3 +51,19 @@ def test_aggregates_are_partial_before_the_shuffle(spark):
     dim = _plan(BATCH["dim_languages"](spark, SF_SMALL))
     # distinct users shuffle on (language, did), not on language alone
     assert re.search(r"hashpartitioning\(primary_lang#\d+L?, did#\d+", dim), dim
+
+
+def test_event_age_prunes_day_partitions(spark):
+    from pyspark.sql import functions as F
+
+    from plume.operators import lateness as L
+    from plume.plans import catalog as CAT
+    from plume.session import scratch_path
+    out = scratch_path(spark, "age-days")
+    (CAT.fast(spark, SF_SMALL).withColumn("event_date", F.to_date("event_time"))
+        .write.mode("overwrite").partitionBy("event_date").parquet(out))
+    landed = spark.read.parquet(out)
+    as_of = F.lit("2024-01-01 02:00:00").cast("timestamp")
+    plan = _plan(L.event_age_hist(landed, as_of))
+    assert re.search(r"PartitionFilters: \[[^\]]*event_date", plan), plan
+    assert L.event_age_hist(landed, as_of).count() > 0
