@@ -91,3 +91,32 @@ def test_cli_verify_fails_on_missing_and_lists_scenarios(spark, tmp_path, capsys
     assert rc == 1 and rep["verdict"] == "FAIL" and rep["missing"] == 1
     assert rep["first_missing"] == ["never-landed"]
     assert [s["name"] for s in rep["scenarios"]] == ["stop-1", "stop-2"]
+
+
+def test_cli_stream_runs_continuously_until_stopped(spark):
+    import threading
+    import time
+    src = json_source(spark, SF_SMALL, "fast")
+    out, ck = scratch_path(spark, "app-cont"), scratch_path(spark, "app-cont-ck")
+    result = {}
+    before = {q.id for q in spark.streams.active}
+    t = threading.Thread(target=lambda: result.setdefault("rc", app.main(
+        ["stream", "--source", f"files:{src}", "--out", out, "--checkpoint", ck,
+         "--commit-interval", "1 second", "--view-interval", "1 second"])))
+    t.start()
+    deadline = time.time() + 180
+    mine = []
+    while time.time() < deadline:
+        mine = [q for q in spark.streams.active if q.id not in before]
+        # stateful views also run no-data batches (watermark), so look at all
+        # recent progress, not only the last one
+        if len(mine) == 8 and all(any(p.get("numInputRows", 0) > 0 for p in q.recentProgress)
+                                  for q in mine):
+            break
+        time.sleep(0.5)
+    assert len(mine) == 8          # posts sink + 6 views + spike view
+    for q in mine:
+        q.stop()
+    t.join(60)
+    assert result.get("rc") == 0
+    assert spark.read.parquet(f"{out}/posts").count() > 0
