@@ -2,23 +2,42 @@
 
 from __future__ import annotations
 
-from .quality_rules import quality_rules
-from .secret_scan import secret_scan
+from . import compression_quality, html_extract, mixing, quality_rules, secret_scan, token_counts
 from .tables import table
 
 
+def op2_quality_classifier(spark, sf_dir):
+    return compression_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_html_extraction(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark, sf_dir):
-    return quality_rules(table(spark, sf_dir, "documents")).select(
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
 
 
 def op7_secret_scan(spark, sf_dir):
-    return secret_scan(table(spark, sf_dir, "documents"))
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
+def op8_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_quality_classifier": op2_quality_classifier,
+    "op3_html_extraction": op3_html_extraction,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
+    "op8_source_mixing": op8_source_mixing,
+    "op9_token_counts": op9_token_counts,
 }
 SQL: dict[str, str] = {}
