@@ -113,31 +113,27 @@ def uniform(key: int, level: int) -> float:
 def settle(rows: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
     """Settle a block: long documents first; keep the shortest open unless ``last``.
 
-    While all open documents share one probability q, the longest trades with
-    all shorter ones at once: it is taken with probability q, and the others'
-    common q moves so that the expected words stay the same.  Once the rest is
-    too short for that, or probabilities differ, documents trade in pairs and a
-    residual is handed on.
+    Documents trade in pairs, the open one of a pair trading with the next.
+    While the documents not yet reached share one probability q, the open one
+    is settled against all of them at once (their common q moves a little) just
+    before they become too few words to absorb it.
     """
     rows = rows.sort_values(["size", "draw", "doc_id", "p"], ascending=[False, True, True, True],
                             na_position="last", kind="stable").reset_index(drop=True)
     p, size, draw = rows["p"].to_numpy(float).copy(), rows["size"].to_numpy(float), rows["draw"].to_numpy()
     n = len(rows) if last else max(0, len(rows) - RESERVE)
-    first = 0
-    if len(p) and (p == p[0]).all():
-        q, rest = p[0], float(size.sum())
-        while first < n:
-            s = size[first]
-            rest -= s
-            if rest <= 0 or q - (1 - q) * s / rest <= NEAR or q + q * s / rest >= 1 - NEAR:
-                break
-            taken = uniform(draw[first], level) < q
-            p[first] = float(taken)
-            q += -(1 - q) * s / rest if taken else q * s / rest
-            first += 1
-        p[first:] = q
+    even = bool(len(p)) and bool((p == p[0]).all())
+    rest = size[::-1].cumsum()[::-1]  # words from a row on
     held = -1
-    for i in range(first, n):
+    for i in range(n):
+        if held >= 0 and even:
+            q, s, words = p[i], size[held], rest[i]
+            after = rest[i + 1] if i + 1 < len(p) else 0.0
+            fits = q - (1 - p[held]) * s / words > NEAR and q + p[held] * s / words < 1 - NEAR
+            if fits and after * min(q, 1 - q) < 2 * s:
+                taken = uniform(draw[held], level) < p[held]
+                p[i:] = q + (p[held] - taken) * s / words
+                p[held], held = float(taken), -1
         if p[i] <= 0 or p[i] >= 1:
             continue
         if held < 0:
