@@ -8,7 +8,8 @@ each document: the whole part is taken outright, the fraction is rounded.
 Rounding is pivotal: documents with fractional probabilities trade mass,
 measured in words, at random and without bias until one of them is taken or
 left, long documents first.  The sum of expected words never changes, so a
-source ends within one of its shorter documents of its target.  Documents of a source are dealt to blocks; a block
+source ends within a short document of its target: if the last residual is a
+long one, it is rounded at random and settled documents make up for it.  Documents of a source are dealt to blocks; a block
 settles all but its ``RESERVE`` shortest documents and a residual, and blocks
 meet ``FAN_IN`` at a time in the next level until one is left, where short
 documents absorb the residuals.  A block never holds more than a few thousand
@@ -143,7 +144,13 @@ def settle(rows: pd.DataFrame, level: int, last: bool) -> pd.DataFrame:
         if p[held] in (0.0, 1.0):
             held = i if 0 < p[i] < 1 else -1
     if last and held >= 0:
-        p[held] = float(uniform(draw[held], level + 1) < p[held])
+        taken = float(uniform(draw[held], level + 1) < p[held])
+        extra = (taken - p[held]) * size[held]  # words too many; below 0, too few
+        p[held] = taken
+        for i in range(n):  # documents settled here make up for it, long ones first
+            if i != held and p[i] == (extra > 0) and size[i] <= abs(extra):
+                p[i] = 1 - p[i]
+                extra -= size[i] if extra > 0 else -size[i]
     rows["p"] = p
     rows["open"] = (p > 0) & (p < 1)
     return rows
