@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from . import compression_quality, html_extract, mixing, quality_rules, secret_scan, token_counts
+from . import (compression_quality, decontaminate, html_extract, line_dedup, mixing, quality_rules,
+               secret_scan, token_counts)
 from .tables import table
 
 
+def op1_benchmark_decontamination(spark, sf_dir):
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_quality_classifier(spark, sf_dir):
     return compression_quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -14,6 +19,10 @@ def op3_html_extraction(spark, sf_dir):
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op5_line_dedup(spark, sf_dir):
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -33,8 +42,10 @@ def op9_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_html_extraction": op3_html_extraction,
+    "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_source_mixing": op8_source_mixing,

@@ -67,12 +67,17 @@ class Powers:
 
 
 class PrefixHash:
-    """Hashes of any byte ranges of one buffer, equal for equal bytes."""
+    """Hashes of any ranges of one symbol sequence, equal for equal symbols.
 
-    def __init__(self, data: np.ndarray, powers: Powers, codes: np.ndarray):
-        up, self.down = powers.upto(len(data) + 1)
-        self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(codes[data] * up[:len(data)], out=self.sums[1:])
+    ``symbols`` are indexes into ``codes`` (a 64-bit code per symbol), or the
+    codes themselves where ``codes`` is None.
+    """
+
+    def __init__(self, symbols: np.ndarray, powers: Powers, codes: np.ndarray | None = None):
+        up, self.down = powers.upto(len(symbols) + 1)
+        self.sums = np.zeros(len(symbols) + 1, np.uint64)
+        values = symbols if codes is None else codes[symbols]
+        np.cumsum(values * up[:len(symbols)], out=self.sums[1:])
 
     def ranges(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         h = (self.sums[end] - self.sums[start]) * self.down[start]
