@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import (compression_quality, decontaminate, html_extract, line_dedup, mixing, quality_rules,
-               secret_scan, token_counts)
+from . import (compression_quality, decontaminate, html_extract, line_dedup, mixing, near_dup,
+               quality_rules, secret_scan, token_counts)
 from .tables import table
 
 
@@ -41,6 +41,10 @@ def op9_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark, sf_dir):
+    return near_dup.near_dups(table(spark, sf_dir, "documents"), width=2).drop("_nd_k")
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
@@ -50,5 +54,6 @@ QUERIES = {
     "op7_secret_scan": op7_secret_scan,
     "op8_source_mixing": op8_source_mixing,
     "op9_token_counts": op9_token_counts,
+    "op10_minhash_near_dedup": op10_minhash_near_dedup,
 }
 SQL: dict[str, str] = {}
