@@ -65,7 +65,7 @@ def _covered(starts: Column) -> Column:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """``docs`` plus the columns of ``FEATURES``, one row per input row.
+    """``docs`` plus the columns of ``FEATURES`` and a row number ``_qr_id``, one row per input row.
 
     The steps are separate projections: each array is computed once and read
     by the next step.  Repeated windows are found by sorting (hash, position)
@@ -100,7 +100,9 @@ def features(docs: DataFrame) -> DataFrame:
         F.filter(s, lambda x, k: x["h"].eqNullSafe(F.get(s, k + 1)["h"])
                  | x["h"].eqNullSafe(F.get(s, k - 1)["h"])),
         lambda x: x["i"]))
-    return s3.select(*keep, F.coalesce(_covered(starts), F.lit(0).cast("long")).alias("n_repeat_words"))
+    # the row number keeps later filters above these steps: pushed below, they would repeat them
+    return s3.select(*keep, F.coalesce(_covered(starts), F.lit(0).cast("long")).alias("n_repeat_words"),
+                     F.monotonically_increasing_id().alias("_qr_id"))
 
 
 def base_failed() -> Column:
@@ -134,8 +136,7 @@ def sketches(feats: DataFrame) -> DataFrame:
     """
     pairs = F.array(*[F.struct(F.lit(m).alias("metric"), _bucket(_value(m)).alias("bucket"))
                       for m in METRICS])
-    return (feats.where("n_words > 0")
-            .select("lang", "source", F.inline(pairs))
+    return (feats.select("lang", "source", F.inline(F.when(F.col("n_words") > 0, pairs)))
             .groupBy("lang", "source", "metric", "bucket").agg(F.count("*").alias("n")))
 
 
@@ -199,7 +200,8 @@ def verdict(feats: DataFrame, cuts: DataFrame) -> DataFrame:
 
 def quality_rules(docs: DataFrame) -> DataFrame:
     """Per document the features, ``base_failed`` and ``kept`` (no text)."""
-    feats = staged(features(docs.select("doc_id", "text", "lang", "source")).drop("text"), "quality-features")
+    feats = staged(features(docs.select("doc_id", "text", "lang", "source")).drop("text", "_qr_id"),
+                   "quality-features")
     return verdict(feats, thresholds(feats))
 
 
@@ -213,5 +215,5 @@ def keep_good(docs: DataFrame) -> DataFrame:
     back = {c: f"_qr_in{i}" for i, c in enumerate(docs.columns)}
     feats = features(named.select("*", *[F.col(back[c]).alias(c) for c in ("text", "lang", "source")]))
     cuts = thresholds(features(docs.select("text", "lang", "source")))
-    kept = verdict(feats, cuts).where("kept")
+    kept = verdict(feats, cuts).where("kept and _qr_id >= 0")
     return kept.select(*[F.col(back[c]).alias(c) for c in docs.columns])
