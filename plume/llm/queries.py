@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (compression_quality, decontaminate, html_extract, line_dedup, mixing, near_dup,
-               quality_rules, secret_scan, token_counts)
+               quality_rules, secret_scan, suffix_dedup, token_counts)
 from .tables import table
 
 
@@ -19,6 +19,10 @@ def op3_html_extraction(spark, sf_dir):
     return html_extract.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op4_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.repeat_report(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark, sf_dir):
     return line_dedup.line_report(table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
     "op3_html_extraction": op3_html_extraction,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_secret_scan": op7_secret_scan,
