@@ -215,10 +215,11 @@ def extract(page: str | None) -> str:
         return ""
     totals: dict[str, list[float]] = {}
     for b, t in found:
-        own = totals.setdefault(b.path, [0, 0, 0])
+        own = totals.setdefault(b.path, [0, 0, 0, 0])
         own[0] += max(0, len(t) - b.link)
         own[1] += len(PUNCTUATION.findall(t))
         own[2] += 1
+        own[3] += len(t)
     length = _smooth([totals[b.path][0] / totals[b.path][2] for b, _ in found])
     marks = _smooth([totals[b.path][1] / totals[b.path][2] for b, _ in found])
     fused = [a * math.sqrt(1 + p) for a, p in zip(length, marks)]
@@ -227,7 +228,8 @@ def extract(page: str | None) -> str:
     by_path: dict[str, list[float]] = {}
     for (b, _), f in zip(found, fused):
         by_path.setdefault(b.path, []).append(f)
-    chosen = {p for p, fs in by_path.items() if sum(fs) / len(fs) >= least and totals[p][0] > 0}
+    # smoothing lends a list of links its neighbours' values, so links alone never make a content path
+    chosen = {p for p, fs in by_path.items() if sum(fs) / len(fs) >= least and totals[p][0] > 0.2 * totals[p][3]}
     if not chosen:
         return ""
     holders = {(b.owners[-2] if len(b.owners) > 1 else 0) for b, _ in found if b.path in chosen}
