@@ -8,10 +8,12 @@ least ``SIMILARITY``; a component is what links connect.
    signature's band keys.  Documents of equal sets fall into one class; from
    here on only class representatives (smallest doc_id) take part.
 2. Classes that share a band key are candidates.  A bucket is never expanded
-   into pairs: its members are compared with one pivot, links are merged into
-   components, and buckets whose members lie in different components get
-   another pivot (``STAR_ROUNDS`` times).  What still lies apart in a bucket is
-   then compared across components, so no candidate link is lost.
+   into pairs.  Its members are compared with its most central one (the one
+   with most co-members over all its buckets: the original of a group of
+   copies), and links are merged into components.  What then lies apart in
+   buckets of the same centre is compared in blocks: members outside the
+   centre's component against all members of other components.  No candidate
+   link is lost, and only links leave a block.
 3. A pair's signatures are compared in batches of ``BATCH`` values.  After each
    batch the pair is dropped if the posterior probability (flat prior) that its
    similarity reaches the bound is below ``MISS``; survivors are verified on the
@@ -45,7 +47,7 @@ SIMILARITY_PERCENT = 80  #: 100 * intersection >= this * union
 BANDS, ROWS = 40, 6
 BATCH = 48
 MISS = 1e-6
-STAR_ROUNDS = 3
+BLOCK = 512              #: members of a block
 MAX_BROADCAST_ROWS = 1_000_000
 K1 = np.uint64(0x9E3779B97F4A7C15)
 
@@ -184,6 +186,86 @@ def linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return staged(x.join(pairs, "a").join(y, "b").mapInArrow(_verify, "a long, b long"), "near-links")
 
 
+def compare_block(rows: list[dict], needs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links between the rows outside the main component (``apart``) and all others of another label."""
+    sigs = np.array([np.frombuffer(r["sig"], np.uint32) for r in rows])
+    sets = [np.frombuffer(r["shingles"], np.uint64) for r in rows]
+    sizes = np.array([len(x) for x in sets])
+    labels = np.array([r["label"] for r in rows])
+    others = np.array([r["other"] for r in rows])
+    out = []
+    for i in np.flatnonzero([r["apart"] for r in rows]):
+        # sizes alone bound the similarity
+        small, large = np.minimum(sizes, sizes[i]), np.maximum(sizes, sizes[i])
+        near = np.flatnonzero(others & (labels != labels[i]) & (100 * small >= SIMILARITY_PERCENT * large))
+        matches, done = np.zeros(len(near), np.int64), 0
+        for h, need in needs:
+            matches += (sigs[near, done:h] == sigs[i, done:h]).sum(axis=1)
+            done, ok = h, matches >= need
+            near, matches = near[ok], matches[ok]
+        met = set()  # one link to a component is enough
+        for j in near[np.argsort(-matches, kind="stable")]:
+            if labels[j] in met:
+                continue
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if 100 * both >= SIMILARITY_PERCENT * (sizes[i] + sizes[j] - both):
+                met.add(labels[j])
+                out.append((max(rows[i]["node"], rows[j]["node"]), min(rows[i]["node"], rows[j]["node"])))
+    return out
+
+
+def _compare_blocks(batches):
+    """Rows come ordered by block."""
+    needs, key, rows = least_matches(), None, []
+
+    def links(found):
+        return pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()),
+                                           pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+    for batch in batches:
+        found = []
+        for r in batch.to_pylist():
+            own = (r["centre"], r["part"], r["against"])
+            if own != key and rows:
+                found += compare_block(rows, needs)
+                rows = []
+            key = own
+            rows.append(r)
+        yield links(found)
+    yield links(compare_block(rows, needs) if rows else [])
+
+
+def compared_apart(buckets: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links among members of the same centre's buckets that lie in different components.
+
+    A centre's members outside its component (*apart*) are cut into parts, all
+    its members into parts to compare them against; a block is one pair of
+    parts and holds ``2 * BLOCK`` rows or so, however large the group.
+    """
+    placed = (buckets.select("centre", "node").distinct().join(labels, "node", "left")
+              .select("centre", "node", F.coalesce("label", "node").alias("label")))
+    home = labels.select(F.col("node").alias("centre"), F.col("label").alias("home"))
+    placed = placed.join(home, "centre", "left").withColumn(
+        "apart", F.col("label") != F.coalesce("home", "centre")).drop("home")
+    size = (placed.groupBy("centre").agg(F.count("*").alias("n"), F.count_if("apart").alias("k"))
+            .where("k > 0").select("centre", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts_n"),
+                                   F.ceil(F.col("k") / BLOCK).cast("int").alias("parts_k")))
+    members = staged(placed.join(size, "centre"), "near-apart")
+    draw = F.xxhash64("node", "centre")
+    asks = members.where("apart").select(
+        "centre", "node", "label", F.pmod(draw, "parts_k").alias("part"),
+        F.explode(F.sequence(F.lit(0), F.col("parts_n") - 1)).alias("against"), F.lit(True).alias("apart"),
+        F.lit(False).alias("other"))
+    told = members.select(
+        "centre", "node", "label", F.explode(F.sequence(F.lit(0), F.col("parts_k") - 1)).alias("part"),
+        F.pmod(draw, "parts_n").alias("against"), F.lit(False).alias("apart"), F.lit(True).alias("other"))
+    rows = asks.unionByName(told).join(sets, "node")
+    block = ["centre", "part", "against"]
+    spark = sets.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return staged(rows.repartition(parts, *block).sortWithinPartitions(*block)
+                  .mapInArrow(_compare_blocks, "a long, b long"), "near-links")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of ``links``: label is the component's smallest node.
 
@@ -217,38 +299,20 @@ def near_classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, Dat
     classes = staged(profiles.where("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2", "n_shingles")
                      .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "near-classes")
     members = classes.select("node", F.explode("bands").alias("band"))
-    shared = (members.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("other"))
-              .where("pivot < other"))
-    buckets = staged(members.join(shared.select("band", "pivot"), "band"), "near-buckets")
+    shared = members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    joint = staged(members.join(shared, "band"), "near-joint")
+    score = joint.groupBy("node").agg(F.sum("size").alias("score"))
+    scored = joint.join(score, "node")
+    centre = scored.groupBy("band").agg(F.max_by("node", F.struct("score", -F.col("node"))).alias("centre"))
+    buckets = staged(joint.join(centre, "band").select("band", "node", "centre"), "near-buckets")
     wanted = staged(buckets.select(F.col("node").alias("doc_id")).distinct(), "near-wanted")
     sets = staged(slim.join(broadcast_if_small(wanted, MAX_BROADCAST_ROWS), "doc_id", "left_semi")
                   .mapInArrow(_sets(width), "node long, sig binary, shingles binary"), "near-sets")
-
-    links = linked(buckets.where("pivot < node").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
-                   .distinct(), sets)
-    for turn in range(STAR_ROUNDS + 1):
-        labels = components(links)
-        placed = (buckets.select("band", "node").join(labels, "node", "left")
-                  .select("band", "node", F.coalesce("label", "node").alias("label")))
-        apart = (placed.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-                 .where("low < high"))
-        placed = staged(placed.join(apart, "band"), "near-apart")
-        if turn == STAR_ROUNDS:
-            break
-        if placed.isEmpty():
-            return profiles, classes, labels
-        # this round's pivot: a member outside the bucket's first component, by hash
-        draw = F.xxhash64("node", F.lit(turn))
-        pivot = (placed.where("label > low").groupBy("band")
-                 .agg(F.min_by("label", draw).alias("p_label"), F.min_by("node", draw).alias("pivot")))
-        star = placed.join(pivot, "band").where("label <> p_label")
-        tried = star.select(F.greatest("node", "pivot").alias("a"), F.least("node", "pivot").alias("b")).distinct()
-        links = links.unionByName(linked(tried, sets))
-    # what is still apart in a bucket: all pairs across its components
-    left, right = placed.select("band", F.col("node").alias("a"), F.col("label").alias("la")), \
-        placed.select("band", F.col("node").alias("b"), F.col("label").alias("lb"))
-    rest = left.join(right, "band").where("la <> lb and a > b").select("a", "b").distinct()
-    more = linked(rest, sets)
+    star = buckets.where("node <> centre").select(
+        F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b")).distinct()
+    links = linked(star, sets)
+    labels = components(links)
+    more = compared_apart(buckets, labels, sets)
     return profiles, classes, labels if more.isEmpty() else components(links.unionByName(more))
 
 
