@@ -35,11 +35,13 @@ from .streaming import views as V
 
 
 def _raw_stream(spark: SparkSession, source: str, max_files: int | None = None,
-                max_offsets: int | None = None) -> DataFrame:
+                max_offsets: int | None = None, start: str | None = None,
+                min_partitions: int | None = None) -> DataFrame:
     kind, _, where = source.partition(":")
     if kind == "kafka":
         servers, _, topic = where.partition("/")
         return RD.read_raw_stream(spark, fmt="kafka", max_offsets_per_trigger=max_offsets,
+                                  starting_offsets=start or "latest", min_partitions=min_partitions,
                                   options={"kafka.bootstrap.servers": servers,
                                            "subscribe": topic or RD.KAFKA_TOPIC})
     return RD.read_raw_stream(spark, fmt="files", path=where, max_files_per_trigger=max_files)
@@ -47,12 +49,18 @@ def _raw_stream(spark: SparkSession, source: str, max_files: int | None = None,
 
 def cmd_stream(spark: SparkSession, a) -> int:
     queries = []
+    if a.land_raw:
+        # the payload as received, before any decoding; undecodable events aside
+        values = _raw_stream(spark, a.source, a.max_files, a.max_offsets, a.start, a.min_partitions)
+        queries.append(V.start_landing(values, f"{a.out}/raw", f"{a.checkpoint}/raw", trigger=a.view_interval))
+        queries.append(V.start_corrupt(values, f"{a.out}/corrupt", f"{a.checkpoint}/corrupt",
+                                       trigger=a.view_interval))
     if a.bronze:
         from .operators.stats import IngestListener
         # running "events | events/s | MB" line every 1,000 events (fixed value)
         spark.streams.addListener(IngestListener(log_every=1000).listener)
         # parse JSON once; the views stream the typed, pruned bronze files
-        queries.append(V.start_bronze(_raw_stream(spark, a.source, a.max_files, a.max_offsets),
+        queries.append(V.start_bronze(_raw_stream(spark, a.source, a.max_files, a.max_offsets, a.start, a.min_partitions),
                                       f"{a.out}/bronze", f"{a.checkpoint}/bronze",
                                       trigger=a.view_interval))
         if a.trigger_available_now:
@@ -61,7 +69,7 @@ def cmd_stream(spark: SparkSession, a) -> int:
         if a.dedupe:
             events = P.dedupe_posts(events, streaming=True)
     else:
-        events = V.event_stream(_raw_stream(spark, a.source, a.max_files, a.max_offsets),
+        events = V.event_stream(_raw_stream(spark, a.source, a.max_files, a.max_offsets, a.start, a.min_partitions),
                                 dedupe=a.dedupe)
     queries.append(SK.sink_posts(P.posts_flat(events), f"{a.out}/posts", f"{a.checkpoint}/posts",
                                  trigger=a.commit_interval, partition_by_day=a.partition_by_day))
@@ -86,13 +94,12 @@ def cmd_marts(spark: SparkSession, a) -> int:
     fct_path = f"{a.out}/fct_posts_hourly"
     if a.since:
         # Incremental: only days >= since are recomputed and overwritten.  The
-        # previous mart's tail (<= 23 rows per language) is staged first, so
-        # the job never reads the partitions it overwrites.
+        # previous mart's tail (<= 23 rows per language) alone is staged first,
+        # so the job never reads the partitions it overwrites.
         from .session import scratch_path
         tail_path = scratch_path(spark, "fct-tail")
         prev = spark.read.parquet(fct_path).drop("event_date")
-        prev.filter(F.col("hour_bucket") < F.lit(a.since).cast("timestamp")) \
-            .write.mode("overwrite").parquet(tail_path)
+        M.previous_tail(prev, a.since).write.mode("overwrite").parquet(tail_path)
         fct = M.fct_posts_hourly_incremental(stg, spark.read.parquet(tail_path), a.since)
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     else:
@@ -101,7 +108,7 @@ def cmd_marts(spark: SparkSession, a) -> int:
         .write.mode("overwrite").partitionBy("event_date").parquet(fct_path))
     # dim_languages from per-day user state: only the refreshed days are
     # rewritten; the distinct count stays exact
-    days = stg.filter(F.col("event_time") >= F.lit(a.since).cast("timestamp")) if a.since else stg
+    days = M.on_or_after(stg, a.since) if a.since else stg
     (M.lang_user_days(days).write.mode("overwrite").partitionBy("event_date")
       .parquet(f"{a.out}/lang_user_days"))
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
@@ -171,8 +178,15 @@ def dashboard_panels(spark: SparkSession, out: str, as_of=None) -> dict[str, Dat
 
 
 def cmd_dashboard(spark: SparkSession, a) -> int:
+    from .operators import serving as S
     for name, df in dashboard_panels(spark, a.out, a.as_of).items():
-        rows = [r.asDict() for r in df.limit(a.max_rows).collect()]   # bounded
+        time_col = next((c for c in ("minute", "hour") if c in df.columns), None)
+        if time_col:
+            df = S.ordered_series(df, time_col)
+        # a panel is printed whole or not at all
+        rows = [r.asDict() for r in df.limit(a.max_rows + 1).collect()]
+        if len(rows) > a.max_rows:
+            raise SystemExit(f"panel {name} has more than {a.max_rows} rows; raise --max-rows")
         print(json.dumps({"panel": name, "rows": rows}, default=str))
     return 0
 
@@ -201,8 +215,11 @@ def main(argv: list[str] | None = None) -> int:
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--commit-interval", default=SK.COMMIT_INTERVAL)
     s.add_argument("--view-interval", default="5 seconds")
+    s.add_argument("--start", default=None, help="kafka: earliest, latest or a JSON of offsets")
+    s.add_argument("--min-partitions", type=int, default=None, help="kafka: least read partitions")
     s.add_argument("--max-files", type=int, default=None)
     s.add_argument("--max-offsets", type=int, default=None)
+    s.add_argument("--land-raw", action="store_true", help="also land payloads unchanged, corrupt ones aside")
     s.add_argument("--bronze", action="store_true", help="decode JSON once into typed Parquet")
     s.add_argument("--partition-by-day", action="store_true")
     s.add_argument("--dedupe", action="store_true")
@@ -218,7 +235,7 @@ def main(argv: list[str] | None = None) -> int:
     d = sub.add_parser("dashboard")
     d.add_argument("--out", required=True, help="the --out folder of the stream job")
     d.add_argument("--as-of", default=None)
-    d.add_argument("--max-rows", type=int, default=1000)
+    d.add_argument("--max-rows", type=int, default=100_000, help="fail above this many rows of a panel")
     lt = sub.add_parser("lateness")
     lt.add_argument("--source", required=True, help="files:/dir of raw JSON events")
     lt.add_argument("--out", default=None)
@@ -227,7 +244,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.cmd == "stream" and a.trigger_available_now:
         a.commit_interval = a.view_interval = "availableNow"
     spark = prepare(build_session(a.master, app=f"plume-{a.cmd}"))
-    if a.input_bytes:
+    if a.input_bytes and a.cmd != "stream":  # a stream's partition count is fixed by its checkpoint
         from .session import scale_conf
         for k, v in scale_conf(a.input_bytes).items():
             spark.conf.set(k, v)

@@ -48,13 +48,13 @@ def event_time_seconds(time_us: str | Column = "time_us") -> Column:
 
 def trunc_div(num: Column, den: int) -> Column:
     """Exact integer division rounding toward zero (SQL BIGINT / BIGINT)."""
-    return ((num - num % F.lit(den)) / F.lit(den)).cast("long")
+    return F.call_function("div", num, F.lit(den))
 
 
 def floor_div(num: Column, den: int | Column) -> Column:
     """Exact floor division of longs (rounds toward minus infinity)."""
     d = den if isinstance(den, Column) else F.lit(den)
-    return ((num - F.pmod(num, d)) / d).cast("long")
+    return F.call_function("div", num - F.pmod(num, d), d)
 
 
 def age_seconds(as_of_us: Column, time_us: str | Column = "time_us") -> Column:

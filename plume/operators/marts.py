@@ -35,6 +35,24 @@ def fct_posts_hourly(stg: DataFrame) -> DataFrame:
     return hourly(stg).withColumn("rolling_24h_count", F.sum("post_count").over(w).cast("long"))
 
 
+def on_or_after(df: DataFrame, since) -> DataFrame:
+    """Rows from the day ``since`` on; a day-partitioned table prunes to those days."""
+    out = df.filter(F.col("event_time") >= F.lit(str(since)).cast("timestamp"))
+    if "event_date" in df.columns:
+        out = out.filter(F.col("event_date") >= F.lit(str(since)).cast("date"))
+    return out
+
+
+def previous_tail(fct_prev: DataFrame, since) -> DataFrame:
+    """Each language's last 23 present rows before ``since`` (a row without an hour is the oldest)."""
+    since_ts = F.lit(str(since)).cast("timestamp")
+    rank = Window.partitionBy("primary_lang").orderBy(F.col("hour_bucket").desc())
+    return (fct_prev.filter(F.col("hour_bucket").isNull() | (F.col("hour_bucket") < since_ts))
+                    .withColumn("_r", F.row_number().over(rank))
+                    .filter(F.col("_r") < ROLLING_ROWS)
+                    .select("hour_bucket", "primary_lang", "post_count", "avg_text_length", "long_posts"))
+
+
 def fct_posts_hourly_incremental(stg: DataFrame, fct_prev: DataFrame, since) -> DataFrame:
     """Rows of fct_posts_hourly for hours >= ``since`` (a date), exactly as a
     full refresh would give them, without re-reading older history.
@@ -48,14 +66,8 @@ def fct_posts_hourly_incremental(stg: DataFrame, fct_prev: DataFrame, since) ->
     * the 24-row window runs over that tail plus the new rows, and only the
       new rows are returned, ready for a dynamic partition overwrite.
     """
-    since_ts = F.to_timestamp(F.lit(str(since)))
-    new = hourly(stg.filter(F.col("event_time") >= since_ts)).withColumn("_new", F.lit(True))
-    rank = Window.partitionBy("primary_lang").orderBy(F.col("hour_bucket").desc())
-    tail = (fct_prev.filter(F.col("hour_bucket") < since_ts)
-                    .withColumn("_r", F.row_number().over(rank))
-                    .filter(F.col("_r") < ROLLING_ROWS)
-                    .select("hour_bucket", "primary_lang", "post_count", "avg_text_length",
-                            "long_posts", F.lit(False).alias("_new")))
+    new = hourly(on_or_after(stg, since)).withColumn("_new", F.lit(True))
+    tail = previous_tail(fct_prev, since).withColumn("_new", F.lit(False))
     w = (Window.partitionBy("primary_lang").orderBy("hour_bucket")
                .rowsBetween(-(ROLLING_ROWS - 1), Window.currentRow))
     both = new.unionByName(tail)
@@ -132,7 +144,7 @@ def history_kpis(hist: DataFrame) -> DataFrame:
     return sets.agg(
         F.sum(F.when(by_lang, F.col("p"))).cast("long").alias("total_posts"),
         F.count_if(by_lang).alias("languages"),
-        F.count_if(by_hour).alias("hours"),
+        F.count_if(by_hour & F.col("hour").isNotNull()).alias("hours"),
         F.min_by(F.when(by_lang, F.col("lang")),
                  F.when(by_lang, F.struct(-F.col("p"), F.col("lang")))).alias("dominant_language"))
 

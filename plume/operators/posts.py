@@ -28,31 +28,36 @@ def stg_posts(posts: DataFrame) -> DataFrame:
     """Staging: drop NULL text and test markers, add text_length (code points).
 
     ``did NOT LIKE 'harness:%'`` also drops NULL dids (three-valued logic).
+    The day column of a day-partitioned table is kept, so later date filters
+    prune its partitions.
     """
+    day = [c for c in ("event_date",) if c in posts.columns]
     return (posts.filter(F.col("text").isNotNull() & C.not_marker_did("did"))
                  .select("did", "time_us", "event_time", "text", "primary_lang", "created_at",
-                         F.length("text").alias("text_length")))
+                         F.length("text").alias("text_length"), *day))
 
 
-def with_rkey(raw: DataFrame) -> DataFrame:
-    """Lift commit.rkey to the top level (dedupe keys must be top-level)."""
-    return raw.withColumn("rkey", F.col("commit.rkey"))
+#: A delivery's identity: one record key may see a create, an update and a
+#: delete, and likes and posts keep separate keys.
+EVENT_KEY = ["did", "time_us", "kind", "rev", "operation", "collection", "rkey"]
+
+
+def with_event_key(raw: DataFrame) -> DataFrame:
+    """Lift the key fields to the top level (dedupe keys must be top-level)."""
+    return raw.select("*", *[F.col(f"commit.{c}").alias(c)
+                             for c in ("rev", "operation", "collection", "rkey")])
 
 
 def dedupe_posts(raw: DataFrame, streaming: bool | None = None) -> DataFrame:
-    """Drop replayed events: one row per (did, rkey).
+    """Drop replayed events: one row per delivery of ``EVENT_KEY``.
 
     The upstream reconnect replays a few seconds of events, so delivery is at
-    least once.  Replays are byte-identical, so which copy survives does not
-    matter.  In a stream the state is bounded by the watermark.  Identity
-    events carry no rkey and are kept as they are.
+    least once.  A replay repeats every field, so which copy survives does not
+    matter; a delete, an update or a like on the same record key differs in
+    the key and stays.  NULL fields compare as equal (identity events have no
+    commit).  One pass; in a stream the state is bounded by the watermark.
     """
-    df = with_rkey(raw)
-    is_stream = df.isStreaming if streaming is None else streaming
-    keyed = df.filter(F.col("rkey").isNotNull())
-    unkeyed = df.filter(F.col("rkey").isNull())
-    if is_stream:
-        deduped = keyed.dropDuplicatesWithinWatermark(["did", "rkey"])
-    else:
-        deduped = keyed.dropDuplicates(["did", "rkey"])
-    return deduped.unionByName(unkeyed)
+    df = with_event_key(raw)
+    if df.isStreaming if streaming is None else streaming:
+        return df.dropDuplicatesWithinWatermark(EVENT_KEY)
+    return df.dropDuplicates(EVENT_KEY)

@@ -28,11 +28,16 @@ def posts_per_minute_by_lang(raw: DataFrame) -> DataFrame:
 
     The reference truncates the micros to whole seconds before taking the
     minute; flooring to the second never moves an event across a minute
-    boundary, so the window runs on the source event_time (which carries
-    the stream's watermark) and gives the same buckets.
+    boundary, so the bucket is taken from the source event_time (which
+    carries the stream's watermark).  In batch, events without a time form a
+    NULL bucket of their own, as in the reference; a stream's window cannot
+    hold them (no watermark passes NULL) and leaves them out.
     """
     df = _ensure_event_time(raw).filter(C.is_create_post()).select(
         "event_time", C.primary_lang("commit.record.langs").alias("lang"))
+    if not df.isStreaming:
+        return (df.groupBy(F.date_trunc("minute", "event_time").alias("minute_bucket"), "lang")
+                  .agg(F.count(F.lit(1)).alias("post_count")))
     return (df.groupBy(F.window("event_time", "1 minute").alias("w"), "lang")
               .agg(F.count(F.lit(1)).alias("post_count"))
               .select(F.col("w.start").alias("minute_bucket"), "lang", "post_count"))

@@ -78,6 +78,16 @@ def pivot_by_lang(df: DataFrame, time_col: str, value_col: str, k: int = TOP_LAN
     return piv.na.fill(0, subset=langs)
 
 
+def pivot_rows(df: DataFrame, time_col: str, value_col: str, lang_col: str = "lang") -> DataFrame:
+    """A pivot (one column per language) as rows again, zeros included: a
+    schema that does not depend on the data."""
+    langs = [c for c in df.columns if c != time_col]
+    if not langs:
+        return df.select(time_col, F.lit(None).cast("string").alias(lang_col),
+                         F.lit(None).cast("long").alias(value_col))
+    return df.unpivot([time_col], langs, lang_col, value_col)
+
+
 def volume_last_30m(ppm: DataFrame, as_of: Column, minutes: int = 30,
                     k: int = TOP_LANGS) -> DataFrame:
     """Per-minute volume of the top-k languages over the last 30 minutes."""

@@ -24,16 +24,16 @@ from ..operators import reconcile as X
 from ..operators import serving as V
 from ..operators import spikes as K
 from ..operators import stats as ST
-from ..session import prepare
+from ..session import prepare, scratch_path
 from ..sources import fixtures as FX
 from ..sources import readers as RD
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
 
-def raw(spark: SparkSession, sf_dir: str, clock: str = "slow") -> DataFrame:
+def raw(spark: SparkSession, sf_dir: str, clock: str = "slow", with_documents: bool = True) -> DataFrame:
     prepare(spark)
-    return FX.raw_events(spark, sf_dir, clock)
+    return FX.raw_events(spark, sf_dir, clock, with_documents)
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +48,11 @@ def fast(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RD.with_event_time(raw(spark, sf_dir, "fast"))
 
 
+def fast_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events for queries that use neither text nor language."""
+    return RD.with_event_time(raw(spark, sf_dir, "fast", with_documents=False))
+
+
 def as_of_newest(raw_df: DataFrame):
     """now() for the fixture: the newest event time (scalar subquery)."""
     return raw_df.select(F.max(C.event_time_micros("time_us"))).scalar()
@@ -69,7 +74,20 @@ def _dq_checks(spark, sf_dir):
             .unionByName(Q.not_null(fct, "fct_posts_hourly", ["hour_bucket"]))
             .unionByName(Q.expression_is_true(fct, "fct_posts_hourly", "post_count", ">= 0"))
             .unionByName(Q.not_null(dim, "dim_languages", ["lang_code"]))
-            .unionByName(Q.unique(dim, "dim_languages", "lang_code")))
+            .unionByName(Q.expression_is_true(s, "stg_posts", "text_length", "<= 200"))
+            .unionByName(Q.unique(dim, "dim_languages", "lang_code"))
+            .unionByName(Q.unique(s, "stg_posts", "did")))
+
+
+def _dq_unique(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    return Q.unique(M.dim_languages(s), "dim_languages", "lang_code").unionByName(Q.unique(s, "stg_posts", "did"))
+
+
+def _dq_expression(spark, sf_dir):
+    s = stg(spark, sf_dir)
+    return (Q.expression_is_true(M.fct_posts_hourly(s), "fct_posts_hourly", "post_count", ">= 0")
+            .unionByName(Q.expression_is_true(s, "stg_posts", "text_length", "<= 200")))
 
 
 def _dq_not_null(spark, sf_dir):
@@ -84,7 +102,9 @@ def _fct_incremental(spark, sf_dir):
     s = stg(spark, sf_dir)
     bounds = s.agg(F.min("event_time"), F.max("event_time")).first()   # two scalars
     since = (bounds[0] + (bounds[1] - bounds[0]) / 2).date()
-    before = M.fct_posts_hourly(s.filter(F.col("event_time") < F.lit(str(since)).cast("timestamp")))
+    # posts without a time form the oldest row of their language
+    old = F.col("event_time").isNull() | (F.col("event_time") < F.lit(str(since)).cast("timestamp"))
+    before = M.fct_posts_hourly(s.filter(old))
     return before.unionByName(M.fct_posts_hourly_incremental(s, before, since))
 
 
@@ -93,7 +113,7 @@ def _dim_incremental(spark, sf_dir):
     s = stg(spark, sf_dir)
     bounds = s.agg(F.min("event_time"), F.max("event_time")).first()   # two scalars
     since = F.lit(str((bounds[0] + (bounds[1] - bounds[0]) / 2).date())).cast("timestamp")
-    days = (M.lang_user_days(s.filter(F.col("event_time") < since))
+    days = (M.lang_user_days(s.filter(F.col("event_time").isNull() | (F.col("event_time") < since)))
              .unionByName(M.lang_user_days(s.filter(F.col("event_time") >= since))))
     return M.dim_from_user_days(days)
 
@@ -102,20 +122,28 @@ def _roundtrip(spark, sf_dir):
     r = raw(spark, sf_dir, "slow")
     sent = r.select(F.to_json(F.struct(*r.columns), {"ignoreNullFields": "false"}).alias("value"))
     received = RD.decode_events(sent)
-    return X.same_multiset(r, received)
+    kept = received.filter(~F.col("commit.operation").eqNullSafe("delete"))
+    return (X.same_multiset(r, received).select(F.lit("intact").alias("side"), "*")
+            .unionByName(X.same_multiset(r, kept).select(F.lit("without deletes").alias("side"), "*")))
 
 
 def _dedupe(spark, sf_dir):
-    return P.dedupe_posts(raw(spark, sf_dir, "slow")).select("did", "rkey", "time_us", "kind")
+    return P.dedupe_posts(raw(spark, sf_dir, "slow", with_documents=False)).select(*P.EVENT_KEY)
+
+
+def _report_deduped(spark, sf_dir):
+    once = P.posts_flat(P.dedupe_posts(raw(spark, sf_dir, "slow", with_documents=False)))
+    return X.reconcile_report(X.reconcile(FX.expected_markers(spark, sf_dir, lost=False), X.marker_counts(once)))
 
 
 def _volume(spark, sf_dir):
     r = fast(spark, sf_dir)
-    return V.volume_last_30m(R.posts_per_minute_by_lang(r), as_of_newest(r))
+    as_of = as_of_newest(fast_times(spark, sf_dir))
+    return V.pivot_rows(V.volume_last_30m(R.posts_per_minute_by_lang(r), as_of), "minute", "post_count")
 
 
 def _age(spark, sf_dir):
-    r = fast(spark, sf_dir)
+    r = fast_times(spark, sf_dir)
     return L.event_age_hist(r, as_of_newest(r))
 
 
@@ -125,7 +153,7 @@ def _row_counts(spark, sf_dir):
     return Q.row_counts({
         "posts_flat": P.posts_flat(r),
         "posts_per_minute_by_lang": R.posts_per_minute_by_lang(r),
-        "posts_per_second": R.posts_per_second(r),
+        "posts_per_second": R.posts_per_second(fast_times(spark, sf_dir)),
         "lang_post_rate_1m": rate,
         "lang_spike_detector": K.lang_spike_detector(rate),
         "trending_hashtags_5m": H.trending_hashtags_5m(r),
@@ -133,11 +161,49 @@ def _row_counts(spark, sf_dir):
 
 
 def _recent(spark, sf_dir):
-    r = fast(spark, sf_dir)
-    return Q.recent_events(r, as_of_newest(r))
+    """Freshness as seen 0, 30 and 31 seconds after the newest event."""
+    r = fast_times(spark, sf_dir)
+    out = None
+    for after in (0, 30, 31):
+        as_of = as_of_newest(r) + F.make_dt_interval(secs=F.lit(after))
+        row = Q.recent_events(r, as_of).select(F.lit(after).alias("seconds_after"), "newest_event", "passed")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _topic_offsets(spark, sf_dir):
+    """The topic as its events would be dealt to four partitions."""
+    prepare(spark)
+    id_ = F.col("event_id")
+    ev = FX.table(spark, sf_dir, "events").select("event_id")
+    ev = ev.unionByName(ev.filter(id_ % FX.REPLAY_MOD == FX.REPLAY_REM))
+    return Q.topic_offsets(ev.select((id_ % 4).alias("partition"), C.floor_div(id_, 4).alias("offset")))
+
+
+def _fault_summary(spark, sf_dir):
+    """Scenario starts of a fault log made of the error events."""
+    prepare(spark)
+    ev = FX.table(spark, sf_dir, "events")
+    event = F.when(F.col("event_type") == "error", F.lit("scenario_start")).otherwise(F.col("event_type"))
+    return X.fault_summary(ev.select(
+        F.date_format(F.col("ts").cast("timestamp"), FX.ISO_FORMAT).alias("ts"), event.alias("event"),
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("name")))
+
+
+def _lateness_csv(spark, sf_dir):
+    """The event-age histogram written as CSV and read back."""
+    out = scratch_path(spark, "event-age-csv") + "/csv"
+    L.write_lateness_csv(_age(spark, sf_dir), out)
+    return spark.read.schema("lateness_seconds int, event_count long").csv(out, header=True)
 
 
 BATCH: dict[str, Builder] = {
+    "expected_from_landed": lambda s, d: X.expected_from_landed(posts(s, d)),
+    "topic_offsets": _topic_offsets,
+    "fault_summary": _fault_summary,
+    "lateness_csv": _lateness_csv,
+    "event_age_series": lambda s, d: V.ordered_series(_age(s, d), "lateness_seconds"),
+    "dim_languages_approx": lambda s, d: M.dim_languages(stg(s, d), approx=True),
     # landed table and marts
     "posts_flat": posts,
     "stg_posts": stg,
@@ -147,9 +213,10 @@ BATCH: dict[str, Builder] = {
     "dim_languages_incremental": _dim_incremental,
     "history_hourly": lambda s, d: M.history_hourly(posts(s, d)),
     "history_kpis": lambda s, d: M.history_kpis(M.history_hourly(posts(s, d))),
-    "history_pivot": lambda s, d: M.history_pivot(M.history_hourly(posts(s, d))),
+    "history_pivot": lambda s, d: V.pivot_rows(
+        M.history_pivot(M.history_hourly(posts(s, d))), "hour", "posts"),
     "top_languages": lambda s, d: V.top_languages(M.history_hourly(posts(s, d)), "posts"),
-    "total_posts": lambda s, d: V.total_posts(posts(s, d)),
+    "total_posts": lambda s, d: V.total_posts(P.posts_flat(raw(s, d, "slow", with_documents=False))),
     "marker_counts": _counts,
     "duplicate_markers": lambda s, d: X.duplicate_markers(_counts(s, d)),
     "missing_markers": lambda s, d: X.missing_markers(FX.expected_markers(s, d), _counts(s, d)),
@@ -157,18 +224,18 @@ BATCH: dict[str, Builder] = {
                                                             _counts(s, d)),
     "marker_reconcile": _rec,
     "reconcile_report": lambda s, d: X.reconcile_report(_rec(s, d)),
+    "reconcile_report_deduped": _report_deduped,
     "first_unexpected": lambda s, d: X.first_anomalies(_rec(s, d), "unexpected"),
     "dq_checks": _dq_checks,
     "dq_not_null": _dq_not_null,
-    "dq_unique": lambda s, d: Q.unique(M.dim_languages(stg(s, d)), "dim_languages", "lang_code"),
-    "dq_expression": lambda s, d: Q.expression_is_true(M.fct_posts_hourly(stg(s, d)),
-                                                       "fct_posts_hourly", "post_count", ">= 0"),
+    "dq_unique": _dq_unique,
+    "dq_expression": _dq_expression,
     "dedupe_posts": _dedupe,
     "sample_events": lambda s, d: RD.sample_events(raw(s, d, "slow")),
     "roundtrip_multiset": _roundtrip,
     # streaming views and serving queries
     "posts_per_minute_by_lang": lambda s, d: R.posts_per_minute_by_lang(fast(s, d)),
-    "posts_per_second": lambda s, d: R.posts_per_second(fast(s, d)),
+    "posts_per_second": lambda s, d: R.posts_per_second(fast_times(s, d)),
     "lang_post_rate_1m": lambda s, d: R.lang_post_rate_1m(fast(s, d)),
     "lang_spike_detector": lambda s, d: K.lang_spike_detector(R.lang_post_rate_1m(fast(s, d))),
     "top_spikes": lambda s, d: K.top_spikes(R.lang_post_rate_1m(fast(s, d))),
@@ -180,7 +247,7 @@ BATCH: dict[str, Builder] = {
     "top_hashtags_latest": lambda s, d: H.top_hashtags_latest(H.trending_hashtags_5m(fast(s, d))),
     "top_hop_latest": lambda s, d: H.top_hop_latest(H.trending_hashtags_1h_hop(fast(s, d))),
     "latest_hashtag_card": lambda s, d: H.latest_hashtag_card(H.trending_hashtags_5m(fast(s, d))),
-    "current_rate": lambda s, d: R.current_rate(R.posts_per_second(fast(s, d))),
+    "current_rate": lambda s, d: R.current_rate(R.posts_per_second(fast_times(s, d))),
     "active_languages": lambda s, d: V.active_languages(R.posts_per_minute_by_lang(fast(s, d))),
     "volume_last_30m": _volume,
     "event_age_hist": _age,

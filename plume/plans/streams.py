@@ -13,20 +13,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import posts as P
 from ..operators import reconcile as X
 from ..session import prepare, scratch_path
 from ..sources import fixtures as FX
 from ..sources import readers as RD
 from ..streaming.restart import land_with_restart
-from ..streaming.views import SpikeView, event_stream, start_posts_flat, start_view
+from ..streaming.views import SpikeView, _append, event_stream, start_landing, start_posts_flat, start_view
 
 _SOURCES: dict[tuple, str] = {}
 TIMEOUT_S = 600
 
 
-def json_source(spark: SparkSession, sf_dir: str, clock: str, files: int = 8) -> str:
+def json_source(spark: SparkSession, sf_dir: str, clock: str, files: int | None = None) -> str:
     """Folder of JSON-lines files holding the fixture's raw events, written
-    once per (application, tables, clock), in time order across files."""
+    once per (application, tables, clock), in time order across files; as many
+    files as shuffle partitions, eight at least."""
+    files = files or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     key = (spark.sparkContext.applicationId, sf_dir, clock, files)
     if key not in _SOURCES:
         path = scratch_path(spark, f"raw-json-{clock}")
@@ -39,7 +42,7 @@ def json_source(spark: SparkSession, sf_dir: str, clock: str, files: int = 8) ->
     return _SOURCES[key]
 
 
-def ordered_json_source(spark: SparkSession, sf_dir: str, clock: str, files: int = 8) -> str:
+def ordered_json_source(spark: SparkSession, sf_dir: str, clock: str, files: int | None = 8) -> str:
     """The same events, but each time slice written by its own job, one after
     another: the file source replays files by modification time, so this
     makes arrival order equal time order across micro-batches."""
@@ -121,6 +124,26 @@ def stream_posts_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return RD.scan_posts(spark, out)
 
 
+def stream_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads landed unchanged by the raw landing stream."""
+    prepare(spark)
+    values = RD.read_raw_stream(spark, fmt="files", path=json_source(spark, sf_dir, "slow"))
+    out = scratch_path(spark, "raw")
+    _await(start_landing(values, out, scratch_path(spark, "ckpt-raw"), trigger="availableNow"))
+    return spark.read.parquet(out).select("value")
+
+
+def stream_dedupe_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replays dropped in the stream, one row per delivery."""
+    prepare(spark)
+    events = event_stream(RD.read_raw_stream(spark, fmt="files", path=json_source(spark, sf_dir, "slow")))
+    timed = events.filter(F.col("event_time").isNotNull())  # the watermark bounds the state by time
+    out = scratch_path(spark, "deduped")
+    once = P.dedupe_posts(timed).select(*P.EVENT_KEY)
+    _await(_append(once, out, scratch_path(spark, "ckpt-deduped"), "availableNow"))
+    return spark.read.parquet(out)
+
+
 def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     ev = _events(spark, sf_dir, "fast")
@@ -143,6 +166,8 @@ def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 STREAM = {
+    "stream_land_raw": stream_land_raw,
+    "stream_dedupe_posts": stream_dedupe_posts,
     "stream_posts_flat": stream_posts_flat,
     "stream_posts_per_minute_by_lang": stream_view("posts_per_minute_by_lang"),
     "stream_posts_per_second": stream_view("posts_per_second"),
@@ -155,10 +180,10 @@ STREAM = {
     "stream_lang_spike_detector_batches": stream_spikes_batches,
 }
 
-# Stream twin -> batch oracle with the same answer.
+# Stream twin -> batch oracle with the same answer (the per-minute twin has its own).
 STREAM_ORACLE = {
+    "stream_land_raw": "land_raw",
     "stream_posts_flat": "posts_flat",
-    "stream_posts_per_minute_by_lang": "posts_per_minute_by_lang",
     "stream_posts_per_second": "posts_per_second",
     "stream_lang_post_rate_1m": "lang_post_rate_1m",
     "stream_trending_hashtags_5m": "trending_hashtags_5m",

@@ -54,10 +54,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings; cheap and idempotent."""
     for key, value in SQL_CONF.items():
         if spark.conf.get(key, None) != value:
-            try:
-                spark.conf.set(key, value)
-            except Exception:  # static on some deployments; keep theirs
-                pass
+            spark.conf.set(key, value)
     return spark
 
 
@@ -82,11 +79,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints, stream state and staged tables.
 
     On a cluster this is the shared folder named in ``spark.checkpoint.dir``;
-    a local folder is created only when nothing is configured (tests).
+    a local folder is created only when nothing is configured and the master
+    is local (tests); elsewhere executors would not see it, so that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="plume-ckpt-")
         spark.sparkContext.setCheckpointDir(root)

@@ -14,14 +14,17 @@ Two clocks: ``slow`` keeps the table's timestamps (30 days, for hourly
 marts); ``fast`` squeezes them 240x around 2024-01-01 (3 hours, so minute
 rates, spikes and hashtag windows have something to show).
 
-Scale notes: the join key is ``event_id % nd`` with ``nd`` a scalar
-subquery (one tiny aggregate, no driver round trip).  The documents side is
-projected to the few fields the rule needs *before* the exchange: the
-language, the source, the first word (taken from the whole text) and the
-longest piece of text the rule can use (80 + 299 characters).  That keeps
-the shuffle narrow whatever the document length.  Spark broadcasts the
-documents side only when its measured size is under the broadcast
-threshold; otherwise the join is a sort-merge join on a uniform key.
+The rule also plants what the operators exist for: events delivered twice
+(replays), events without a time, several operations on one record key, more
+languages than any top-k, and markers that were confirmed but never landed.
+
+Scale notes: a post carries its whole document.  The join key is
+``event_id % nd`` with ``nd`` a scalar subquery (one tiny aggregate, no driver
+round trip), and only the columns a query uses reach the join.  Queries that
+use neither text nor language take the events without documents
+(``with_documents=False``) and join nothing.  Spark broadcasts the documents
+side only when its measured size is under the broadcast threshold; otherwise
+the join is a sort-merge join on a uniform key.
 """
 
 from __future__ import annotations
@@ -40,8 +43,11 @@ IDENTITY_MOD = 4
 LIKE_MOD = 97
 NULL_TEXT_MOD = 83
 NULL_LANGS_MOD, EMPTY_LANGS_MOD, BLANK_LANG_MOD, TWO_LANGS_MOD = 43, 41, 89, 5
-TEXT_BASE_CHARS, TEXT_EXTRA_MOD = 80, 300
-MAX_TEXT_CHARS = TEXT_BASE_CHARS + TEXT_EXTRA_MOD - 1
+REGION_MOD, REGIONS = 3, 4              # every third post has a regional language code
+REPLAY_MOD, REPLAY_REM = 61, 5          # delivered twice
+NULL_TIME_MOD, NULL_TIME_REM = 211, 3   # arrives without a time
+RKEY_SPAN = 500                         # events that share a record key
+LOST_MOD, LOST_REM = 250, 8             # markers confirmed but never landed
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
@@ -64,20 +70,28 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id"),
         F.col("lang").alias("d_lang"),
         F.col("source").alias("d_source"),
-        F.substring_index(F.col("text"), " ", 1).alias("d_first_word"),
-        F.substring(F.col("text"), 1, MAX_TEXT_CHARS).alias("d_text"),
+        F.col("text").alias("d_text"),
     )
 
 
-def raw_events(spark: SparkSession, sf_dir: str, clock: str = "slow") -> DataFrame:
-    """Raw post events with the declared nested schema (``RAW_SCHEMA``)."""
-    docs_all = table(spark, sf_dir, "documents")
-    nd = docs_all.select(F.count(F.lit(1))).scalar()
-    ev = (table(spark, sf_dir, "events")
-          .select("event_id", "ts", "user_id", "event_type")
-          .withColumn("doc_key", F.col("event_id") % nd))
-    docs = _documents(spark, sf_dir)
-    j = ev.join(docs, ev["doc_key"] == docs["doc_id"], "left")
+def raw_events(spark: SparkSession, sf_dir: str, clock: str = "slow",
+               with_documents: bool = True) -> DataFrame:
+    """Raw post events with the declared nested schema (``RAW_SCHEMA``).
+
+    ``with_documents=False`` gives the same events with NULL text and
+    languages, without reading the documents.
+    """
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    # a replayed event arrives twice, byte for byte the same
+    replays = F.when(F.col("event_id") % REPLAY_MOD == REPLAY_REM, F.array(F.lit(0), F.lit(1)))
+    ev = ev.select("*", F.explode(F.coalesce(replays, F.array(F.lit(0)))).alias("delivery")).drop("delivery")
+    if with_documents:
+        nd = table(spark, sf_dir, "documents").select(F.count(F.lit(1))).scalar()
+        ev = ev.withColumn("doc_key", F.col("event_id") % nd)
+        docs = _documents(spark, sf_dir)
+        j = ev.join(docs, ev["doc_key"] == docs["doc_id"], "left")
+    else:
+        j = ev.select("*", *[F.lit(None).cast("string").alias(c) for c in ("d_lang", "d_source", "d_text")])
 
     id_ = F.col("event_id")
     is_marker = (id_ % MARKER_MOD) == MARKER_REM
@@ -93,10 +107,11 @@ def raw_events(spark: SparkSession, sf_dir: str, clock: str = "slow") -> DataFra
                  .otherwise(F.lit("create"))
     collection = F.when(~is_marker & ((id_ % LIKE_MOD) == 0), F.lit("app.bsky.feed.like")) \
                   .otherwise(F.lit(C.POST_COLLECTION))
-    text_len = (F.lit(TEXT_BASE_CHARS) + id_ % TEXT_EXTRA_MOD).cast("int")
-    post_text = F.concat(F.col("d_source"), F.lit(" #"), F.col("d_first_word"),
-                         F.lit(" #"), F.col("event_type"), F.lit(" "),
-                         F.substring(F.col("d_text"), F.lit(1), text_len))
+    post_text = F.concat(F.col("d_source"), F.lit(" #"), F.substring_index(F.col("d_text"), " ", 1),
+                         F.lit(" #"), F.col("event_type"), F.lit(" "), F.col("d_text"))
+    lang = F.when(id_ % REGION_MOD == 0,
+                  F.concat(F.col("d_lang"), F.lit("-r"), (id_ % REGIONS).cast("string"))) \
+            .otherwise(F.col("d_lang"))
     text = F.when(is_marker, F.concat(F.lit(C.MARKER_TEXT_PREFIX), uuid)) \
             .when((id_ % NULL_TEXT_MOD) == 0, F.lit(None).cast("string")) \
             .otherwise(post_text)
@@ -105,8 +120,8 @@ def raw_events(spark: SparkSession, sf_dir: str, clock: str = "slow") -> DataFra
              .when((id_ % NULL_LANGS_MOD) == 0, no_langs) \
              .when((id_ % EMPTY_LANGS_MOD) == 0, F.array().cast("array<string>")) \
              .when((id_ % BLANK_LANG_MOD) == 0, F.array(F.lit(""))) \
-             .when((id_ % TWO_LANGS_MOD) == 0, F.array(F.col("d_lang"), F.lit("xx"))) \
-             .otherwise(F.array(F.col("d_lang")))
+             .when((id_ % TWO_LANGS_MOD) == 0, F.array(lang, F.lit("xx"))) \
+             .otherwise(F.array(lang))
     record = F.struct(collection.alias("$type"),
                       F.date_format(F.col("ts").cast("timestamp"), ISO_FORMAT).alias("createdAt"),
                       text.alias("text"),
@@ -115,13 +130,13 @@ def raw_events(spark: SparkSession, sf_dir: str, clock: str = "slow") -> DataFra
         F.when(is_marker, F.lit("harness")).otherwise(F.concat(F.lit("rev"), id_text)).alias("rev"),
         operation.alias("operation"),
         collection.alias("collection"),
-        F.concat(F.lit("rk"), id_text).alias("rkey"),
+        F.concat(F.lit("rk"), C.floor_div(id_, RKEY_SPAN).cast("string")).alias("rkey"),
         record.alias("record"),
         F.when(is_marker, F.lit("harness")).otherwise(F.concat(F.lit("cid"), id_text)).alias("cid"),
     )
     out = j.select(
         did.alias("did"),
-        clock_us(ts_us, clock).alias("time_us"),
+        F.when(id_ % NULL_TIME_MOD != NULL_TIME_REM, clock_us(ts_us, clock)).alias("time_us"),
         F.when(is_identity, F.lit("identity")).otherwise(F.lit(C.COMMIT_KIND)).alias("kind"),
         F.when(is_identity, F.lit(None).cast(RAW_SCHEMA["commit"].dataType))
          .otherwise(commit).alias("commit"),
@@ -137,14 +152,16 @@ def raw_json(spark: SparkSession, sf_dir: str, clock: str = "slow") -> DataFrame
                       F.col("time_us"))
 
 
-def expected_markers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def expected_markers(spark: SparkSession, sf_dir: str, lost: bool = True) -> DataFrame:
     """Ground truth of the marker producer: ids whose delivery was confirmed.
 
     A marker whose event row is an 'error' counts as unconfirmed: it is sent
     (and lands) but is not written to the expected file, which is how the
-    reference's run ends up with 'unexpected' markers.
+    reference's run ends up with 'unexpected' markers.  ``lost`` adds ids
+    that were confirmed but never landed.
     """
+    id_ = F.col("event_id")
+    sent = ((id_ % MARKER_MOD) == MARKER_REM) & (F.col("event_type") != "error")
     ev = table(spark, sf_dir, "events")
-    return (ev.filter(((F.col("event_id") % MARKER_MOD) == MARKER_REM)
-                      & (F.col("event_type") != "error"))
+    return (ev.filter(sent | (id_ % LOST_MOD == LOST_REM) if lost else sent)
               .select(F.md5(F.col("event_id").cast("string")).alias("value")))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import columns as C
 from ..schema import FAULT_LOG_SCHEMA, POSTS_SCHEMA, RAW_SCHEMA
@@ -56,6 +57,13 @@ def decode_events(df: DataFrame, value_col: str = "value",
     return df.select(parsed.alias("e"), *keep).select("e.*", *keep)
 
 
+def corrupt_events(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """The rows whose payload is no JSON object of the event schema, unchanged."""
+    marked = T.StructType([*RAW_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+    parsed = F.from_json(F.col(value_col), marked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"})
+    return df.filter(parsed["_corrupt"].isNotNull() | (F.col(value_col).isNotNull() & parsed.isNull()))
+
+
 def with_event_time(df: DataFrame) -> DataFrame:
     """Computed column event_time = to_timestamp(time_us / 1e6) (micros kept)."""
     return df.withColumn("event_time", C.event_time_micros("time_us"))
@@ -90,11 +98,13 @@ def read_fault_log(spark: SparkSession, path: str) -> DataFrame:
 def land_raw(stream: DataFrame, collections: tuple[str, ...] = (C.POST_COLLECTION,)) -> DataFrame:
     """Bronze landing: keep the payload unchanged, drop unwanted collections.
 
+    Events without a collection (identity, account) are kept: the collection
+    filter is a subscription to collections, not a filter of event kinds.
     The collection is read from the payload with ``get_json_object`` so the
     landed bytes are the bytes received.
     """
     coll = F.get_json_object(F.col("value"), "$.commit.collection")
-    return stream.filter(coll.isin(*collections))
+    return stream.filter(coll.isNull() | coll.isin(*collections))
 
 
 def sample_events(raw: DataFrame, n: int = 10) -> DataFrame:

@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,12 +101,19 @@ class UpsertSink:
         df.sparkSession.range(1).select(F.lit(True).alias("committed")) \
           .write.mode("overwrite").parquet(f"{self.batch_commit_root}/batch_id={batch_id}")
 
-    def _last_committed_batch(self, spark: SparkSession) -> int | None:
+    @staticmethod
+    def _if_there(spark: SparkSession, path: str) -> DataFrame | None:
+        """The Parquet folder, or None where it does not exist; any other failure is an error."""
         try:
-            return spark.read.parquet(self.batch_commit_root) \
-                        .select(F.max("batch_id")).first()[0]
-        except Exception:
-            return None
+            return spark.read.parquet(path)
+        except AnalysisException as ex:
+            if ex.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+
+    def _last_committed_batch(self, spark: SparkSession) -> int | None:
+        commits = self._if_there(spark, self.batch_commit_root)
+        return None if commits is None else commits.select(F.max("batch_id")).first()[0]
 
     def start(self, view: DataFrame, checkpoint: str, trigger: str | None = None,
               query_name: str | None = None, compact_every: int | None = None) -> StreamingQuery:
@@ -125,12 +133,9 @@ class UpsertSink:
         """Newest *committed* snapshot: a snapshot counts only once its commit
         marker exists, and the marker is written after the snapshot's write
         job has finished, so a snapshot cut short by a failure is ignored."""
-        try:
-            commits = spark.read.parquet(self.commit_root)
-        except Exception:
-            return None
+        commits = self._if_there(spark, self.commit_root)
         # one number (partition values come from the folder listing)
-        return commits.select(F.max("upto")).first()[0]
+        return None if commits is None else commits.select(F.max("upto")).first()[0]
 
     def _versions(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
         # micro-batches run one after another, so every batch up to the last
@@ -158,13 +163,9 @@ class UpsertSink:
 
     def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
         """Latest version of every key (max batch_id wins)."""
-        try:
-            versions = self._versions(spark)
-        except Exception:
-            if schema is None:
-                raise
+        if schema is not None and self._last_committed_batch(spark) is None:
             return spark.createDataFrame([], schema)
-        return self._latest(versions)
+        return self._latest(self._versions(spark))
 
     def compact(self, spark: SparkSession, upto: int) -> None:
         """Fold every version up to batch ``upto`` into ``_snapshots/upto=N``.

@@ -67,6 +67,23 @@ def event_stream(values: DataFrame, watermark: bool = True, dedupe: bool = False
     return ev
 
 
+def _append(df: DataFrame, path: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
+    w = (df.writeStream.outputMode("append").format("parquet")
+           .option("path", path).option("checkpointLocation", checkpoint))
+    return _trigger(w, trigger).start()
+
+
+def start_landing(values: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Raw landing: every payload unchanged, with topic, partition, offset and
+    arrival time where the source has them; append-only and exactly once."""
+    return _append(RD.land_raw(values), path, checkpoint, trigger)
+
+
+def start_corrupt(values: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """Payloads that do not decode, kept aside."""
+    return _append(RD.corrupt_events(values), path, checkpoint, trigger)
+
+
 def start_bronze(values: DataFrame, path: str, checkpoint: str,
                  trigger: str | None = None) -> StreamingQuery:
     """Decode the JSON once into typed Parquet partitioned by day (bronze).
@@ -102,14 +119,15 @@ def bronze_events(spark: SparkSession, path: str, max_files: int | None = None,
 
 
 def start_view(name: str, events: DataFrame, out_path: str, checkpoint: str,
-               trigger: str | None = None, mode: str = "update") -> tuple[StreamingQuery, UpsertSink | None]:
+               trigger: str | None = None, mode: str = "update",
+               compact_every: int | None = 100) -> tuple[StreamingQuery, UpsertSink | None]:
     """Start one view.  ``update``: UpsertSink at out_path; ``append``: closed
     windows appended to Parquet at out_path."""
     view = VIEWS[name]
     df = view.build(events)
     if mode == "update":
         sink = UpsertSink(out_path, list(view.keys))
-        return sink.start(df, checkpoint, trigger, query_name=None), sink
+        return sink.start(df, checkpoint, trigger, query_name=None, compact_every=compact_every), sink
     if mode == "append":
         w = (df.writeStream.outputMode("append").format("parquet")
                .option("path", out_path).option("checkpointLocation", checkpoint))
