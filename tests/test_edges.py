@@ -151,3 +151,64 @@ def test_spike_join_form_equals_window_form_on_fixture(spark):
     j = K.spike_detector_join(rate)
     assert w.count() == j.count() > 0
     assert w.exceptAll(j).count() == 0
+
+
+def test_dedupe_drops_replays_only(spark):
+    """A delete or a like on the same record key is no replay; identity events count too."""
+    from plume.operators import posts as P
+    rows = [{"did": "d", "time_us": 5, "rkey": "k"}, {"did": "d", "time_us": 5, "rkey": "k"},
+            {"did": "d", "time_us": 9, "rkey": "k", "op": "delete"},
+            {"did": "d", "time_us": 9, "rkey": "k", "coll": "app.bsky.feed.like"},
+            {"did": "e", "time_us": 7, "kind": "identity"}, {"did": "e", "time_us": 7, "kind": "identity"},
+            {"did": "d", "time_us": None, "rkey": "k"}, {"did": "d", "time_us": None, "rkey": "k"}]
+    assert P.dedupe_posts(raw_rows(spark, rows)).count() == 5
+
+
+def test_events_without_time_keep_a_bucket(spark):
+    from plume.operators import rates as R
+    rows = [{"did": "d", "time_us": B}, {"did": "d", "time_us": None}]
+    got = {r.minute_bucket is None: r.post_count for r in R.posts_per_minute_by_lang(raw_rows(spark, rows)).collect()}
+    assert got == {False: 1, True: 1}
+
+
+def test_integer_division_is_exact_beyond_doubles(spark):
+    from pyspark.sql import functions as F
+
+    from plume.functions import columns as C
+    n = 2 ** 60 + 7
+    for v in (n, -n, -1, 0, 999_999):
+        row = spark.range(1).select(C.trunc_div(F.lit(v), 1_000_000).alias("t"),
+                                    C.floor_div(F.lit(v), 1_000_000).alias("f")).first()
+        assert row.f == v // 1_000_000
+        assert row.t == (abs(v) // 1_000_000) * (1 if v >= 0 else -1)
+
+
+def test_sink_read_errors_are_not_empty_views(spark, tmp_path):
+    import pytest
+
+    from plume.streaming.sinks import UpsertSink
+    path = str(tmp_path / "view")
+    sink = UpsertSink(path, ["k"])
+    schema = spark.createDataFrame([(1, 2)], "k int, v int").schema
+    assert sink.read(spark, schema).count() == 0
+    sink.write_batch(spark.createDataFrame([(1, 2)], schema), 0)
+    assert sink.read(spark, schema).count() == 1
+    for f in (tmp_path / "view" / "_batch_commits" / "batch_id=0").glob("part-*.parquet"):
+        f.write_bytes(b"broken")
+    with pytest.raises(Exception):
+        sink.read(spark, schema).collect()
+
+
+def test_corrupt_payloads_are_kept_aside(spark):
+    from plume.sources import readers as RD
+    good = '{"did":"d","time_us":1,"kind":"identity"}'
+    df = spark.createDataFrame([(good,), ("{broken",), (None,), ('{"did":"d","time_us":"x"}',)], "value string")
+    assert sorted(r.value for r in RD.corrupt_events(df).collect()) == ['{"did":"d","time_us":"x"}', "{broken"]
+    assert RD.land_raw(df).count() == 4
+
+
+def test_pivot_rows_fill_every_cell(spark):
+    from plume.operators import serving as V
+    df = spark.createDataFrame([(1, "en", 5), (2, "de", 7)], "hour int, lang string, posts long")
+    got = {(r.hour, r.lang): r.posts for r in V.pivot_rows(V.pivot_by_lang(df, "hour", "posts"), "hour", "posts").collect()}
+    assert got == {(1, "en"): 5, (1, "de"): 0, (2, "en"): 0, (2, "de"): 7}

@@ -38,8 +38,48 @@ def test_scans_are_pruned(spark):
     plan = _plan(BATCH["fct_posts_hourly"](spark, SF_SMALL))
     docs = [s for s in re.findall(r"ReadSchema: (struct<[^\n]*>)", plan) if "doc_id" in s]
     assert docs and all("n_chars" not in s for s in docs)
-    # documents are cut to the adapter's longest prefix before the exchange
-    assert "substring(text" in plan and ", 1, 379)" in plan
+    # documents keep their whole text
+    assert "substring(text" not in plan
+
+
+def test_time_only_queries_read_no_documents(spark):
+    from plume.plans.catalog import BATCH
+    for name in ["posts_per_second", "current_rate", "event_age_hist", "lateness_percentiles", "total_posts",
+                 "dedupe_posts", "reconcile_report_deduped"]:
+        plan = _plan(BATCH[name](spark, SF_SMALL))
+        assert "documents.parquet" not in plan, name
+
+
+def test_longest_post_is_as_long_as_its_document(spark):
+    from pyspark.sql import functions as F
+
+    from plume.plans import catalog as CAT
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    posts = CAT.stg(spark, SF_SMALL).withColumn("source", F.substring_index("text", " ", 1))
+    longest = posts.agg(F.max_by("text", "text_length")).first()[0]
+    texts = [r.text for r in docs.select("text").collect()]
+    body = max((t for t in texts if longest.endswith(" " + t)), key=len)
+    tags = longest[:-len(body)].split()
+    assert len(tags) == 3 and tags[1].startswith("#") and tags[2].startswith("#")
+    assert len(body) > 379
+
+
+def test_incremental_marts_prune_days_through_staging(spark):
+    from pyspark.sql import functions as F
+
+    from plume.operators import marts as M
+    from plume.operators import posts as P
+    from plume.plans import catalog as CAT
+    from plume.session import scratch_path
+    from plume.sources import readers as RD
+    out = scratch_path(spark, "posts-days")
+    (CAT.posts(spark, SF_SMALL).withColumn("event_date", F.to_date("event_time"))
+        .write.mode("overwrite").partitionBy("event_date").parquet(out))
+    stg = P.stg_posts(RD.scan_posts(spark, out))
+    for df in (M.hourly(M.on_or_after(stg, "2024-01-15")), M.lang_user_days(M.on_or_after(stg, "2024-01-15"))):
+        assert re.search(r"PartitionFilters: \[[^\]]*event_date[^\]]*>=", _plan(df)), _plan(df)
+    tail = M.previous_tail(M.fct_posts_hourly(stg), "2024-01-15")
+    assert tail.groupBy("primary_lang").count().agg(F.max("count")).first()[0] <= 23
 
 
 def test_aggregates_are_partial_before_the_shuffle(spark):
