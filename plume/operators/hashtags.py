@@ -74,28 +74,53 @@ def trending_hashtags_1h_hop(raw: DataFrame, direct: bool | None = None) -> Data
                       "hashtag", "mentions"))
 
 
+def newest_bucket_events(raw: DataFrame) -> DataFrame:
+    """The raw events of the newest 5-minute bucket that has a hashtag.
+
+    One pass finds the newest tagged event's time (a scalar; no tag is
+    extracted); the bucket's events are then a time filter that reaches the
+    scan, so the counts above work on one bucket instead of all history.  The
+    newest hop window begins with this bucket and holds nothing else yet.
+    """
+    tagged = raw.filter(C.is_create_post_any_kind() & F.col("commit.record.text").rlike(C.HASHTAG_PATTERN))
+    width = HOP_SLIDE_MIN * 60 * C.MICROS_PER_SECOND
+    newest = tagged.agg(F.max(F.unix_micros("event_time")).alias("t")).select(
+        F.timestamp_micros(F.col("t") - F.pmod(F.col("t"), F.lit(width)))).scalar()
+    return raw.filter(F.col("event_time") >= newest)
+
+
+def newest_hop(raw: DataFrame) -> DataFrame:
+    """The hop window that has just begun, from its only bucket so far."""
+    first = trending_hashtags_5m(newest_bucket_events(raw))
+    return first.select(F.col("bucket_start").alias("window_start"), "hashtag", "mentions")
+
+
 def top_hashtags_latest(trending_5m: DataFrame, n: int = 20) -> DataFrame:
     """Tags of the newest 5-minute bucket, most mentioned first, n rows.
 
     Ties on mentions are broken by tag so the answer is deterministic.
     """
-    newest = latest_bucket(trending_5m, "bucket_start")
+    return top_tags(latest_bucket(trending_5m, "bucket_start"), "bucket_start", n)
+
+
+def top_tags(newest: DataFrame, time_col: str, n: int) -> DataFrame:
+    """The n most mentioned tags of one bucket, ties by tag."""
     return (newest.orderBy(F.col("mentions").desc(), F.col("hashtag").asc())
                   .limit(n)
-                  .select("hashtag", "mentions", "bucket_start"))
+                  .select("hashtag", "mentions", time_col))
 
 
 def top_hop_latest(hop: DataFrame, n: int = 15) -> DataFrame:
     """Tags of the newest hop window (the one that has just begun), n rows."""
-    newest = latest_bucket(hop, "window_start")
-    return (newest.orderBy(F.col("mentions").desc(), F.col("hashtag").asc())
-                  .limit(n)
-                  .select("hashtag", "mentions", "window_start"))
+    return top_tags(latest_bucket(hop, "window_start"), "window_start", n)
 
 
 def latest_hashtag_card(trending_5m: DataFrame, n: int = 20) -> DataFrame:
     """One row: newest bucket, number of tags shown (<= n), top tag, peak."""
-    top = top_hashtags_latest(trending_5m, n)
+    return tag_card(top_hashtags_latest(trending_5m, n))
+
+
+def tag_card(top: DataFrame) -> DataFrame:
     return top.agg(
         F.max("bucket_start").alias("bucket_start"),
         F.count(F.lit(1)).alias("unique_hashtags"),

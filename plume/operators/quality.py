@@ -35,6 +35,14 @@ def expression_is_true(df: DataFrame, model: str, column: str, expression: str)
                           F.count_if(~cond))], df)
 
 
+def checks(df: DataFrame, model: str, not_null_columns: list[str] = (),
+           expressions: list[tuple[str, str]] = ()) -> DataFrame:
+    """The not_null and expression_is_true tests of one model in one pass over it."""
+    tests = [(c, "not_null", F.count_if(F.col(c).isNull())) for c in not_null_columns]
+    tests += [(c, f"expression_is_true {e}", F.count_if(~F.expr(f"`{c}` {e}"))) for c, e in expressions]
+    return _rows(model, tests, df)
+
+
 def unique(df: DataFrame, model: str, column: str) -> DataFrame:
     """failures = number of values that occur more than once (NULLs ignored)."""
     dup = (df.filter(F.col(column).isNotNull()).groupBy(column).count()

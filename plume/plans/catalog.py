@@ -67,14 +67,12 @@ def _rec(spark, sf_dir):
 
 
 def _dq_checks(spark, sf_dir):
+    """Every model once: staging in one pass, the marts from their own aggregates."""
     s = stg(spark, sf_dir)
-    fct = M.fct_posts_hourly(s)
     dim = M.dim_languages(s)
-    return (Q.not_null(s, "stg_posts", ["did", "text", "event_time"])
-            .unionByName(Q.not_null(fct, "fct_posts_hourly", ["hour_bucket"]))
-            .unionByName(Q.expression_is_true(fct, "fct_posts_hourly", "post_count", ">= 0"))
+    return (Q.checks(s, "stg_posts", ["did", "text", "event_time"], [("text_length", "<= 200")])
+            .unionByName(Q.checks(M.fct_posts_hourly(s), "fct_posts_hourly", ["hour_bucket"], [("post_count", ">= 0")]))
             .unionByName(Q.not_null(dim, "dim_languages", ["lang_code"]))
-            .unionByName(Q.expression_is_true(s, "stg_posts", "text_length", "<= 200"))
             .unionByName(Q.unique(dim, "dim_languages", "lang_code"))
             .unionByName(Q.unique(s, "stg_posts", "did")))
 
@@ -147,6 +145,10 @@ def _age(spark, sf_dir):
     return L.event_age_hist(r, as_of_newest(r))
 
 
+def _newest_tags(spark, sf_dir):
+    return H.trending_hashtags_5m(H.newest_bucket_events(fast(spark, sf_dir)))
+
+
 def _row_counts(spark, sf_dir):
     r = fast(spark, sf_dir)
     rate = R.lang_post_rate_1m(r)
@@ -244,9 +246,9 @@ BATCH: dict[str, Builder] = {
     "hashtag_events": lambda s, d: H.hashtag_events(fast(s, d)),
     "trending_hashtags_5m": lambda s, d: H.trending_hashtags_5m(fast(s, d)),
     "trending_hashtags_1h_hop": lambda s, d: H.trending_hashtags_1h_hop(fast(s, d)),
-    "top_hashtags_latest": lambda s, d: H.top_hashtags_latest(H.trending_hashtags_5m(fast(s, d))),
-    "top_hop_latest": lambda s, d: H.top_hop_latest(H.trending_hashtags_1h_hop(fast(s, d))),
-    "latest_hashtag_card": lambda s, d: H.latest_hashtag_card(H.trending_hashtags_5m(fast(s, d))),
+    "top_hashtags_latest": lambda s, d: H.top_tags(_newest_tags(s, d), "bucket_start", 20),
+    "top_hop_latest": lambda s, d: H.top_tags(H.newest_hop(fast(s, d)), "window_start", 15),
+    "latest_hashtag_card": lambda s, d: H.tag_card(H.top_tags(_newest_tags(s, d), "bucket_start", 20)),
     "current_rate": lambda s, d: R.current_rate(R.posts_per_second(fast_times(s, d))),
     "active_languages": lambda s, d: V.active_languages(R.posts_per_minute_by_lang(fast(s, d))),
     "volume_last_30m": _volume,
@@ -259,7 +261,7 @@ BATCH: dict[str, Builder] = {
     "top_language_rows": lambda s, d: V.restrict_to_top(M.history_hourly(posts(s, d)), "posts"),
     "history_display": lambda s, d: V.for_display(M.history_hourly(posts(s, d)), "history"),
     "top_hashtags_display": lambda s, d: V.for_display(
-        H.top_hashtags_latest(H.trending_hashtags_5m(fast(s, d))), "hashtags"),
+        H.top_tags(_newest_tags(s, d), "bucket_start", 20), "hashtags"),
     "spiking_minutes": lambda s, d: K.spiking_only(
         K.lang_spike_detector(R.lang_post_rate_1m(fast(s, d)))),
 }
