@@ -9,6 +9,7 @@ With exactly-once delivery the report says PASS (no duplicate, no missing).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..sources import readers as RD
@@ -35,7 +36,8 @@ def _run_until_progress(q: StreamingQuery, batches: int, timeout_s: float,
 
 def land_with_restart(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str,
                       files_per_batch: int = 1, stop_after_batches: int = 1,
-                      timeout_s: float = 300.0, stops: int = 1) -> DataFrame:
+                      timeout_s: float = 300.0, stops: int = 1,
+                      stopped: list[dict] | None = None) -> DataFrame:
     """Land posts_flat from ``source_dir`` with ``stops`` mid-stream stops.
 
     Each round runs a processing-time trigger reading ``files_per_batch``
@@ -43,7 +45,13 @@ def land_with_restart(spark: SparkSession, source_dir: str, out_path: str, check
     with data (the stop interrupts whatever batch is running); the next round
     restarts on the same checkpoint.  A final ``availableNow`` run drains the
     rest.  Returns the landed table read through the sink's commit log.
+
+    ``stopped`` gets one entry per stop: the last batch reported, the files
+    read so far and the files left.  A stop with no file left is no mid-stream
+    stop; asking for one is an error, so a passing run has had them all.
     """
+    files = spark.read.text(source_dir).select(F.input_file_name().alias("f")).distinct().count()
+    read = 0
     def stream():
         return event_stream(RD.read_raw_stream(spark, fmt="files", path=source_dir,
                                                max_files_per_trigger=files_per_batch))
@@ -54,6 +62,13 @@ def land_with_restart(spark: SparkSession, source_dir: str, out_path: str, check
             _run_until_progress(q, stop_after_batches, timeout_s)
         finally:
             q.stop()
+        done = [p for p in q.recentProgress if p.get("numInputRows", 0) > 0]
+        read += files_per_batch * len(done)
+        stop = {"batch": done[-1]["batchId"] if done else None, "files_read": read, "files_left": files - read}
+        if stop["files_left"] <= 0:
+            raise RuntimeError(f"the input was drained before the stop: {stop}")
+        if stopped is not None:
+            stopped.append(stop)
     q2 = start_posts_flat(stream(), out_path, checkpoint, trigger="availableNow")
     q2.awaitTermination(timeout_s)
     if q2.isActive:
@@ -71,8 +86,6 @@ def exactly_once_run(spark: SparkSession, n: int, files: int = 10, stop_after_ba
     the one-row report (PASS iff no duplicate and no missing) with the
     number of stops.
     """
-    from pyspark.sql import functions as F
-
     from ..operators import reconcile as X
     from ..session import scratch_path
 
@@ -83,9 +96,10 @@ def exactly_once_run(spark: SparkSession, n: int, files: int = 10, stop_after_ba
             .select("value").write.mode("overwrite").text(src))
     delivered = X.expected_from_landed(
         RD.decode_events(spark.read.text(src)).select("did"))
+    stopped: list[dict] = []
     landed = land_with_restart(spark, src, scratch_path(spark, "markers-landed"),
                                scratch_path(spark, "markers-ckpt"), files_per_batch=1,
                                stop_after_batches=stop_after_batches, timeout_s=timeout_s,
-                               stops=stops)
+                               stops=stops, stopped=stopped)
     report = X.reconcile_report(X.reconcile(delivered, X.marker_counts(landed)))
-    return report.withColumn("stops", F.lit(stops))
+    return report.withColumn("stops", F.lit(len(stopped)))
