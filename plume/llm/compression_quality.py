@@ -3,9 +3,10 @@
 Two zstandard dictionaries are built, one from good and one from bad labelled
 text.  A text is compressed with each, in pieces of ``PIECE`` bytes so that the
 dictionary matters as much at the end of a long text as at its start.  The
-normalised difference ``(bad - good) / (bad + good)`` of the compressed sizes is
-turned into a probability by a logistic curve fitted on labelled rows that
-built no dictionary.
+difference ``bad - good`` of the compressed sizes, normalised by the text's own
+size, is turned into a probability by a logistic curve fitted on labelled rows that
+built no dictionary.  The curve also takes the mean compressed size per byte:
+the same difference means less on a short text than on one that repeats itself.
 
 The fit reads at most ``MAX_FIT_ROWS`` labelled documents per class (a fixed
 pseudo-random choice) of at most ``MAX_FIT_BYTES`` each, and only documents
@@ -13,8 +14,8 @@ whose crc32(doc_id) mod 5 is not 0.  Scoring reads every whole text in one
 Arrow pass, without shuffle; the two dictionaries (``DICT_BYTES`` each) are all
 that is broadcast.
 
-Defined results: NULL and empty texts have difference 0 and get the curve's
-value there.  Labels that are NULL or not 0/1 are not used; a document labelled
+Defined results: NULL and empty texts have difference 0 at full size and get the
+curve's value there.  Labels that are NULL or not 0/1 are not used; a document labelled
 both ways counts as bad; repeated doc_ids are used once.  Without labels of
 both classes every score is 0.5.  Extra columns are not read.
 """
@@ -79,44 +80,43 @@ def compressors(dicts: tuple[bytes, bytes]) -> list:
     return [zstandard.ZstdCompressor(dict_data=d, compression_params=params) for d in made]
 
 
-def difference(text: bytes, made: list) -> float:
-    """Normalised difference of the compressed sizes: above 0, the good dictionary fits better."""
+def difference(text: bytes, made: list) -> tuple[float, float]:
+    """Per byte of text: difference of the compressed sizes (above 0, the good dictionary fits better), and their mean."""
     good = bad = 0
     for p in pieces(text):
         good += len(made[1].compress(p))
         bad += len(made[0].compress(p))
-    return (bad - good) / (bad + good) if good + bad else 0.0
+    return ((bad - good) / len(text), (bad + good) / 2 / len(text)) if text else (0.0, 1.0)
 
 
-def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the calibration curve: Newton steps with a slight ridge."""
-    scale = float(x.std()) or 1.0
-    z = np.stack([x / scale, np.ones(len(x))], 1)
-    w = np.zeros(2)
+def logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
+    """Slopes and, last, offset of the calibration curve: Newton steps with a slight ridge."""
+    scale = np.append(np.where(x.std(axis=0) > 0, x.std(axis=0), 1.0), 1.0)
+    z = np.column_stack([x, np.ones(len(x))]) / scale
+    w = np.zeros(z.shape[1])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
         grad = z.T @ (p - y) + 1e-2 * w
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(2), grad)
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + 1e-2 * np.eye(len(w)), grad)
         w -= step
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0] / scale), float(w[1])
+    return (w / scale).tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict:
-    """Dictionaries and curve: {"dicts": (bad, good), "slope", "offset"}."""
+    """Dictionaries and curve: {"dicts": (bad, good), "curve"}."""
     rows = fit_rows(docs, labels)
     sides = [[t for t, q in rows if q == k] for k in (0, 1)]
     if not all(len(s) > 1 for s in sides):
-        return {"dicts": None, "slope": 0.0, "offset": 0.0}
+        return {"dicts": None, "curve": [0.0, 0.0, 0.0]}
     # two thirds build the dictionaries, every third row fits the curve
     dicts = tuple(dictionary([t for i, t in enumerate(s) if i % 3]) for s in sides)
     made = compressors(dicts)
     spare = [[t for i, t in enumerate(s) if i % 3 == 0] for s in sides]
     x = np.array([difference(t, made) for s in spare for t in s])
     y = np.array([k for k, s in enumerate(spare) for _ in s], float)
-    slope, offset = logistic(x, y)
-    return {"dicts": dicts, "slope": slope, "offset": offset}
+    return {"dicts": dicts, "curve": logistic(x, y)}
 
 
 def sigmoid(v: float) -> float:
@@ -131,10 +131,11 @@ def scores(docs: DataFrame, model: dict) -> DataFrame:
         m = sent.value
         made = compressors(m["dicts"]) if m["dicts"] else None
         for batch in batches:
-            d = [difference((t.as_py() or "").encode(), made) if made else 0.0 for t in batch.column(1)]
-            s = [sigmoid(m["slope"] * v + m["offset"]) for v in d]
+            d = [difference((t.as_py() or "").encode(), made) if made else (0.0, 1.0) for t in batch.column(1)]
+            a, b, c = m["curve"]
+            s = [sigmoid(a * v + b * size + c) for v, size in d]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(s, pa.float64()), pa.array(d, pa.float64())],
+                [batch.column(0), pa.array(s, pa.float64()), pa.array([v for v, _ in d], pa.float64())],
                 names=["doc_id", "score", "difference"])
 
     return docs.select("doc_id", docs["text"].cast("string")).mapInArrow(
