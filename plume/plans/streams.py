@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..operators import posts as P
 from ..operators import reconcile as X
 from ..session import prepare, scratch_path
@@ -144,6 +145,30 @@ def stream_dedupe_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts per second when the oldest quarter of the events arrives once more, late.
+
+    The events come in two micro-batches by time, the late copies in a third:
+    Spark drops rows behind the watermark that the batch before the last one
+    left, so the copies add nothing.
+    """
+    prepare(spark)
+    events = FX.raw_json(spark, sf_dir, "fast")
+    ends = events.agg(F.min("time_us").alias("lo"), F.max("time_us").alias("hi"))
+    middle = ends.select(C.floor_div(F.col("lo") + F.col("hi"), 2)).scalar()
+    quarter = ends.select(C.floor_div(3 * F.col("lo") + F.col("hi"), 4)).scalar()
+    t = F.col("time_us")
+    path = scratch_path(spark, "raw-json-late")
+    files = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    for part in (t < middle, t.isNull() | (t >= middle), t < quarter):
+        events.filter(part).select("value").repartition(files).write.mode("append").text(path)
+    ev = event_stream(RD.read_raw_stream(spark, fmt="files", path=path, max_files_per_trigger=files))
+    q, sink = start_view("posts_per_second", ev, scratch_path(spark, "view-late"),
+                         scratch_path(spark, "ckpt-late"), trigger="availableNow")
+    _await(q)
+    return sink.read(spark)
+
+
 def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     ev = _events(spark, sf_dir, "fast")
@@ -168,6 +193,7 @@ def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM = {
     "stream_land_raw": stream_land_raw,
     "stream_dedupe_posts": stream_dedupe_posts,
+    "stream_late_rows": stream_late_rows,
     "stream_posts_flat": stream_posts_flat,
     "stream_posts_per_minute_by_lang": stream_view("posts_per_minute_by_lang"),
     "stream_posts_per_second": stream_view("posts_per_second"),
@@ -183,6 +209,7 @@ STREAM = {
 # Stream twin -> batch oracle with the same answer (the per-minute twin has its own).
 STREAM_ORACLE = {
     "stream_land_raw": "land_raw",
+    "stream_late_rows": "posts_per_second",
     "stream_posts_flat": "posts_flat",
     "stream_posts_per_second": "posts_per_second",
     "stream_lang_post_rate_1m": "lang_post_rate_1m",
