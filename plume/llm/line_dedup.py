@@ -221,8 +221,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, plus ``_ld_gone`` (their number)."""
     gone = staged(removed_lines(docs), "line-gone")
     keyed = docs.withColumn("_ld_k", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    # up to MAX_BROADCAST_ROWS changed documents the texts are not shuffled
-    joined = keyed.join(broadcast_if_small(gone, MAX_BROADCAST_ROWS), "_ld_k", "left").drop("_ld_k")
+    # up to MAX_BROADCAST_ROWS changed documents and lines the texts are not shuffled
+    joined = keyed.join(broadcast_if_small(gone, MAX_BROADCAST_ROWS, "_ld_gone"), "_ld_k", "left").drop("_ld_k")
     place = joined.columns.index("text")
     schema = joined.drop("_ld_gone").schema
 

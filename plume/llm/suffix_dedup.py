@@ -403,7 +403,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``_sd_kept`` (the bytes that are left) and ``_sd_spans`` (the maximal removed runs)."""
     ranges = staged(repeated_ranges(docs), "suffix-ranges")
     keyed = docs.withColumn("_sd_k", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    joined = keyed.join(broadcast_if_small(ranges, MAX_BROADCAST_ROWS), "_sd_k", "left").drop("_sd_k")
+    joined = keyed.join(broadcast_if_small(ranges, MAX_BROADCAST_ROWS, "_sd_ranges"), "_sd_k", "left").drop("_sd_k")
     place = joined.columns.index("text")
     added = StructType.fromDDL("_sd_kept binary, _sd_spans array<struct<s:long,e:long>>")
     schema = StructType([*joined.drop("_sd_ranges").schema.fields, *added.fields])

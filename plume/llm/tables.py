@@ -11,11 +11,20 @@ from plume.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_BREAK = r"[\x20\x09-\x0D]+"
 
+BATCH_ROWS = 1000
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most BATCH_ROWS rows: a batch of whole texts stays a few MB in each worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
@@ -23,11 +32,17 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     and gives later joins a real size for their broadcast decision.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name) + "/t"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only for a staged table that is counted to be small."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int, lists: str | None = None) -> DataFrame:
+    """Hint a broadcast only for a staged table that is counted to be small.
+
+    ``lists`` names an array column whose entries count as rows.
+    """
+    rows = df.count() if lists is None else df.agg(
+        F.count("*") + F.coalesce(F.sum(F.size(lists)), F.lit(0))).first()[0]
+    return F.broadcast(df) if rows <= max_rows else df
