@@ -169,11 +169,11 @@ def test_mix_meets_targets_and_is_repeatable(spark, monkeypatch):
     by: dict = {}
     for r in first:
         assert r.taken <= 3 * r["size"] and r.taken == r.copies * r["size"]
-        own = by.setdefault(r.target, [0, 0])
+        own = by.setdefault((r.target, r.source_size), [0, 0])  # two sources may share a target
         own[0] += r.taken
         own[1] += r["size"]
-    assert sum(by) == pytest.approx(sum(n for _, n in by.values()))
-    for target, (taken, _) in by.items():
+    assert len(by) == 4 and sum(t for t, _ in by) == pytest.approx(sum(n for _, n in by.values()))
+    for (target, _), (taken, _) in by.items():
         assert abs(taken - target) <= 0.01 * target
 
 
