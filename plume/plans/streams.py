@@ -182,7 +182,7 @@ def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land the posts with three mid-stream stops and restarts, then reconcile."""
     prepare(spark)
-    src = json_source(spark, sf_dir, "slow")
+    src = json_source(spark, sf_dir, "slow", files=max(32, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     landed = land_with_restart(spark, src, scratch_path(spark, "posts-restart"),
                                scratch_path(spark, "ckpt-restart"), files_per_batch=1,
                                stop_after_batches=1, timeout_s=TIMEOUT_S, stops=3)
