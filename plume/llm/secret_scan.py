@@ -31,7 +31,7 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "pem", "jwt", "der", "ssh")
 LEAST = {"assign": 8, "access": 16}
 
-BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40,}={0,2}")
+BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
 ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{48,}|[0-9A-F]{48,})(?![0-9A-Fa-f])")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")

@@ -87,6 +87,22 @@ def test_secret_spans():
     assert secret_scan.scan(None) == ([], []) and secret_scan.scan("") == ([], [])
 
 
+SSH_KEY = b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", b"k" * 32))
+OPENSSH = b"openssh-key-v1\0" + b"".join(len(x).to_bytes(4, "big") + x for x in (b"none", b"none", b"")) \
+    + b"\0\0\0\1" + b"".join(len(x).to_bytes(4, "big") + x for x in (SSH_KEY, b"p" * 136))
+DER_KEY = bytes([0x30, 0x82, 0, 200, 0x02, 1, 0, 0x04, 0x81, 194]) + bytes(range(32, 226))
+
+
+@pytest.mark.parametrize("before", ["KEY=", 'key="', "https://h/p?k=", "a=b&k=", "x=="])
+@pytest.mark.parametrize("kind, key", [
+    ("ssh", base64.b64encode(SSH_KEY).decode()), ("ssh", base64.b64encode(OPENSSH).decode()),
+    ("der", base64.b64encode(DER_KEY).decode()), ("der", DER_KEY.hex()), ("der", DER_KEY.hex().upper()),
+    ("jwt", ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (b'{"alg":"none"}', b"{}", b"s")))])
+def test_secret_after_an_equals_sign(before, kind, key):
+    assert [(secret_scan.KINDS[k], s, e) for s, k, e in secret_scan.confirmed_spans(f"{before}{key}\n")] == \
+        [(kind, len(before), len(before) + len(key))]
+
+
 def test_secret_base_patterns_match_plain_ones(spark):
     import re
     rnd = random.Random(4)
