@@ -5,7 +5,9 @@ base64 and hex candidates are decoded and reported as key material only if
 their structure holds: DER (every nested length fits, outermost SEQUENCE spans
 all bytes), OpenSSH key blobs (length-prefixed fields that end exactly at the
 end), PEM armour around such bytes, and signed tokens whose header decodes to a
-JSON object that names an algorithm.
+JSON object that names an algorithm.  A key may be wrapped, in armour or bare:
+its own lengths say how many of the lines that follow belong to it, and a line
+break may be written as an escape (JSON, env files).
 
 Each text is scanned whole by one Arrow pass, without any shuffle.  Defined
 results: NULL text is empty; empty texts have no spans; every input row gives
@@ -31,10 +33,17 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 KINDS = ("assign", "access", "hex", "pem", "jwt", "der", "ssh")
 LEAST = {"assign": 8, "access": 16}
 
-BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40,}={0,2}")
-ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{48,}|[0-9A-F]{48,})(?![0-9A-Fa-f])")
+#: First lines of candidates; a line break written as an escape may stand right before them.
+BASE64_RUN = re.compile(r"(?:(?<![A-Za-z0-9+/])|(?<=\\[nrt]))[MAb][A-Za-z0-9+/]{15,}={0,2}")
+ANY_HEX = re.compile(r"(?<![0-9A-Fa-f])(?:[0-9a-f]{16,}|[0-9A-F]{16,})(?![0-9A-Fa-f])")
+#: What wrapped lines have between them, and the lines after the first.
+BREAK = re.compile(r"(?:\s|\\++(?:[nrt]|(?=\s)))++")
+BASE64_LINE, LOWER_HEX, UPPER_HEX = (re.compile(x) for x in (
+    r"[A-Za-z0-9+/]+={0,2}", r"[0-9a-f]+(?![0-9A-Fa-f])", r"[0-9A-F]+(?![0-9A-Fa-f])"))
+LEAST_BASE64, LEAST_HEX = 40, 48  #: characters of a whole candidate
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(eyJ[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_-])")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----"
+                 r"([A-Za-z0-9+/=\s]*+(?:\\++(?:[nrt]|(?=\s))[A-Za-z0-9+/=\s]*+)*+)-----END \1-----")
 
 SCHEMA = ("doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, "
           "n_confirmed long")
@@ -115,13 +124,72 @@ def decode64(run: str, url: bool = False) -> bytes | None:
         return None
 
 
+def decode_hex(run: str) -> bytes | None:
+    return bytes.fromhex(run) if len(run) % 2 == 0 else None
+
+
+def key_size(data: bytes) -> int:
+    """Bytes of the key that data starts, as far as its lengths tell (beyond data: at least so many); 0: no key."""
+    if data[:1] == b"\x30" and len(data) > 6:
+        k = data[1] & 0x7F if data[1] & 0x80 else 0
+        if data[1] not in (*range(22, 128), 0x81, 0x82, 0x83) or data[2 + k] not in (0x02, 0x30):
+            return 0
+        return 2 + k + (int.from_bytes(data[2:2 + k], "big") if k else data[1])
+    magic = data.startswith(b"openssh-k")
+    if not magic and not data[4:].startswith((b"ssh-", b"ecdsa-", b"sk-")):
+        return 0
+    at, fields, most = 15 if magic else 0, 0, 4  # cipher, kdf, its options; number of keys; the keys and the private part
+    while not magic or fields < most:
+        if not magic and fields > 1 and at == len(data):
+            break
+        if at + 4 > len(data):
+            return at + 4
+        n = int.from_bytes(data[at:at + 4], "big")
+        at, fields = at + 4, fields + 1
+        if magic and fields == 4:
+            most = 5 + n
+        else:
+            at += n
+            if at > len(data):
+                return at
+    return at
+
+
+def whole_key(text: str, m: re.Match, line: re.Pattern, decode, per: int, least: int) -> tuple[int, int] | None:
+    """(kind index, end) of the key that m starts, alone or with the lines after it.
+
+    ``per`` characters are whole bytes.  The key's own lengths say how many lines belong to it.
+    """
+    run, end = m[0], m.end()
+
+    def held(n: int) -> int:
+        return n * (3 if per == 4 else 1) // per
+    while not run.endswith("="):
+        need = key_size(decode(run[:len(run) // per * per]))
+        if need <= held(len(run)) or need > held(len(text) - m.start()):
+            break
+        lines, size, to = [run], len(run), end
+        while held(size) < need and not lines[-1].endswith("=") and (gap := BREAK.match(text, to)) \
+                and (more := line.match(text, gap.end())):
+            lines.append(more[0])
+            size, to = size + len(more[0].rstrip("=")), more.end()
+        if held(size) < need:
+            break
+        run, end = "".join(lines), to
+    for body, to in ((run, end), (m[0], m.end())):
+        if len(body.rstrip("=")) >= least and (data := decode(body)) is not None and (kind := key_kind(data)) is not None:
+            return kind, to
+    return None
+
+
 def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
     """Spans whose decoded bytes have the structure of a key or a signed token."""
     out = []
     for m in PEM.finditer(text) if "PRIVATE KEY-----" in text else ():
-        data = decode64("".join(m[2].split()))
+        data = decode64(BREAK.sub("", m[2]))
         if data is not None and key_kind(data) is not None:
             out.append((m.start(), 3, m.end()))
+    armour = [(s, e) for s, _, e in out]
     for m in TOKEN.finditer(text) if "eyJ" in text else ():
         head = decode64(m[1], url=True)
         try:
@@ -130,13 +198,15 @@ def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
             head = None
         if isinstance(head, dict) and isinstance(head.get("alg"), str):
             out.append((m.start(), 4, m.end()))
-    for m in BASE64_RUN.finditer(text):
-        # a DER sequence starts with 0x30 ('M'), an OpenSSH blob with a zero byte or its magic
-        if m[0][0] in "MAb" and (data := decode64(m[0])) is not None and (kind := key_kind(data)) is not None:
-            out.append((m.start(), kind, m.end()))
-    for m in ANY_HEX.finditer(text):
-        if len(m[0]) % 2 == 0 and (kind := key_kind(bytes.fromhex(m[0]))) is not None:
-            out.append((m.start(), kind, m.end()))
+    # a DER sequence starts with 0x30 ('M'), an OpenSSH blob with a zero byte or its magic
+    first = [(m, BASE64_LINE, decode64, 4, LEAST_BASE64) for m in BASE64_RUN.finditer(text)]
+    first += [(m, UPPER_HEX if m[0].isupper() else LOWER_HEX, decode_hex, 2, LEAST_HEX) for m in ANY_HEX.finditer(text)
+              if m[0].startswith(("30", "0000", "6f70", "6F70"))]
+    for m, *how in first:
+        found = whole_key(text, m, *how)
+        # wrapped lines in armour are the armour's key
+        if found and (found[1] == m.end() or not any(s <= m.start() and found[1] <= e for s, e in armour)):
+            out.append((m.start(), *found))
     return out
 
 

@@ -103,6 +103,34 @@ def test_secret_after_an_equals_sign(before, kind, key):
         [(kind, len(before), len(before) + len(key))]
 
 
+@pytest.mark.parametrize("gap", ["\n", "\r\n", "\n    ", "\\n", "\\r\\n", "\\\\n", "\\\n"])
+@pytest.mark.parametrize("width", [32, 64, 65, 70, 76])
+@pytest.mark.parametrize("kind, key", [
+    ("ssh", base64.b64encode(SSH_KEY).decode()), ("ssh", base64.b64encode(OPENSSH).decode()),
+    ("der", base64.b64encode(DER_KEY).decode()), ("der", DER_KEY.hex()), ("der", DER_KEY.hex().upper())])
+def test_secret_keys_over_lines(gap, width, kind, key):
+    lines = [key[i:i + width] for i in range(0, len(key), width)]
+    for before, after in (("key: ", "\nword"), ('{"k": "', '"}'), (f"word{gap}", f"{gap}{'Q' * width}{gap}")):
+        text = before + gap.join(lines) + after
+        assert [(secret_scan.KINDS[k], s, e) for s, k, e in secret_scan.confirmed_spans(text)] == \
+            [(kind, len(before), len(text) - len(after))]
+
+
+@pytest.mark.parametrize("gap", ["\n", "\\n", "\\r\\n", "\\\\n"])
+def test_secret_armour_with_escaped_breaks(gap):
+    body = base64.b64encode(DER_KEY).decode()
+    text = gap.join(["-----BEGIN PRIVATE KEY-----", *(body[i:i + 64] for i in range(0, len(body), 64)),
+                     "-----END PRIVATE KEY-----", ""])
+    account = f'{{"type": "service_account", "private_key": "{text}", "id": 1}}'
+    assert [(secret_scan.KINDS[k], account[s:e] + gap) for s, k, e in secret_scan.confirmed_spans(account)] == [("pem", text)]
+
+
+def test_secret_lines_that_are_no_key():
+    broken = base64.b64encode(DER_KEY[:-1]).decode()  # one byte short
+    text = "\n".join(broken[i:i + 64] for i in range(0, len(broken), 64))
+    assert secret_scan.confirmed_spans(f"k={text}\n") == secret_scan.confirmed_spans(f"k={text}, word") == []
+
+
 def test_secret_base_patterns_match_plain_ones(spark):
     import re
     rnd = random.Random(4)
