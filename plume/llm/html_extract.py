@@ -11,11 +11,15 @@ id) are out at once.  Over the rest:
 2. both ratios are laid out in page order and smoothed with a Gaussian;
 3. they are fused to ``length * sqrt(1 + punctuation)``;
 4. paths whose mean fused value reaches ``THRESHOLD`` standard deviations are
-   content paths; the elements that hold their blocks are the content, with
-   everything in them that is not furniture (headings, short paragraphs).
+   content paths, and so are those whose own ratios, unsmoothed, reach
+   ``SHARE`` of the page's median block (``PROSE`` at least): one long block
+   raises the deviation, not the median.  The elements that hold their blocks
+   are the content, with everything in them that is not furniture (headings,
+   short paragraphs).
 
 If the page has ``article`` or ``main`` elements with text, only blocks inside
-them compete.  Pages are independent: one Arrow pass, no shuffle.
+them compete, and with any content path all of them are content that are not
+mostly links.  Pages are independent: one Arrow pass, no shuffle.
 
 Defined results: NULL or empty html, or a page without content, gives ''.
 Unclosed tags are closed at the end of the page or by the next block that
@@ -28,11 +32,14 @@ from __future__ import annotations
 import html as html_entities
 import math
 import re
+from statistics import median
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
 THRESHOLD = 0.8
+SHARE = 0.5       #: of the median block's fused value
+PROSE = 80.0      #: least fused value of a path that is chosen by SHARE: about 57 code points with one mark
 SMOOTHING = 1.0   #: standard deviation of the Gaussian, in blocks
 
 TAG = re.compile(
@@ -215,27 +222,30 @@ def extract(page: str | None) -> str:
         return ""
     totals: dict[str, list[float]] = {}
     for b, t in found:
-        own = totals.setdefault(b.path, [0, 0, 0, 0])
-        own[0] += max(0, len(t) - b.link)
-        own[1] += len(PUNCTUATION.findall(t))
-        own[2] += 1
-        own[3] += len(t)
-    length = _smooth([totals[b.path][0] / totals[b.path][2] for b, _ in found])
-    marks = _smooth([totals[b.path][1] / totals[b.path][2] for b, _ in found])
-    fused = [a * math.sqrt(1 + p) for a, p in zip(length, marks)]
+        sums = totals.setdefault(b.path, [0, 0, 0, 0])
+        sums[0] += max(0, len(t) - b.link)
+        sums[1] += len(PUNCTUATION.findall(t))
+        sums[2] += 1
+        sums[3] += len(t)
+    length = [totals[b.path][0] / totals[b.path][2] for b, _ in found]
+    marks = [totals[b.path][1] / totals[b.path][2] for b, _ in found]
+    own = {b.path: a * math.sqrt(1 + p) for (b, _), a, p in zip(found, length, marks)}
+    prose = max(PROSE, SHARE * median(own[b.path] for b, _ in found))
+    fused = [a * math.sqrt(1 + p) for a, p in zip(_smooth(length), _smooth(marks))]
     mean = sum(fused) / len(fused)
     least = THRESHOLD * math.sqrt(sum((f - mean) ** 2 for f in fused) / len(fused))
     by_path: dict[str, list[float]] = {}
     for (b, _), f in zip(found, fused):
         by_path.setdefault(b.path, []).append(f)
     # smoothing lends a list of links its neighbours' values, so links alone never make a content path
-    chosen = {p for p, fs in by_path.items() if sum(fs) / len(fs) >= least and totals[p][0] > 0.2 * totals[p][3]}
+    chosen = {p for p, fs in by_path.items()
+              if (sum(fs) / len(fs) >= least or own[p] >= prose) and totals[p][0] > 0.2 * totals[p][3]}
     if not chosen:
         return ""
     holders = {(b.owners[-2] if len(b.owners) > 1 else 0) for b, _ in found if b.path in chosen}
     keep = [t for b, t in found
-            if b.path in chosen or ((holders & set(b.owners) or 0 in holders)
-                                    and (b.semantic or b.link < 0.8 * len(t)))]
+            if b.path in chosen or (b.semantic and b.link < 0.8 * len(t))
+            or ((holders & set(b.owners) or 0 in holders) and (b.semantic or b.link < 0.8 * len(t)))]
     return "\n\n".join(keep)
 
 

@@ -171,6 +171,28 @@ def test_extract_without_semantic_tags():
     assert html_extract.extract(page) == "\n\n".join(["Title", long.strip(), long.strip()])
 
 
+@pytest.mark.parametrize("inner", ["blockquote><p", "ul><li", "table><tr><td", "pre", "div class=x><div"])
+@pytest.mark.parametrize("long", [1500, 3000, 20_000])
+@pytest.mark.parametrize("outer", ["article", "main", "div class=c9"])
+@pytest.mark.parametrize("at", [0, 7, 14])
+def test_extract_keeps_paragraphs_beside_a_long_block(inner, long, outer, at):
+    texts = [f"Paragraph {k}, with a mark, " + "and more words " * 12 + "to its end." for k in range(14)]
+    more = ("A long block goes on, and on. " * 1000)[:long].strip()
+    blocks = [f"<p>{t}</p>" for t in texts]
+    ends = "".join(f"</{x.split()[0].strip('<>')}>" for x in reversed(inner.split(">")))
+    blocks.insert(at, f"<{inner}>{more}{ends}")
+    texts.insert(at, more)
+    page = (f"<body><div class=top><a href=1>Home</a></div><{outer}><h1>Title</h1>{''.join(blocks)}<p>End.</p>"
+            f"</{outer.split()[0]}><div class=end>All rights</div></body>")
+    assert html_extract.extract(page) == "\n\n".join(["Title", *texts, "End."])
+
+
+def test_extract_article_keeps_short_blocks():
+    page = (f"<article><h1>Title</h1><section><p>{'Some words, more. ' * 300}</p></section><p>Short.</p>"
+            "<dl><dt>term<dd>meaning</dl></article>")
+    assert html_extract.extract(page).split("\n\n")[2:] == ["Short.", "term", "meaning"]
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<p", "<!-- open", "<script>x", "plain < text", "</p></div>",
                                   "<a title=\"open>x</a>", "<div><nav>all furniture"])
 def test_extract_broken_pages(page):
