@@ -340,6 +340,32 @@ def test_leaks_are_found_and_clean_texts_left(spark, documents):
     assert sorted((r.doc_id for r in left.collect()), key=str) == sorted((d for d, _ in docs if d not in gone), key=str)
 
 
+@pytest.mark.parametrize("n", [5, 8, 10, 11, 20, 60, 100, 200, 400])
+@pytest.mark.parametrize("kinds", ["sid", "s", "i", "d"])
+def test_recall_at_the_full_bound(documents, n, kinds):
+    """Items with as many edits as the bound allows, in texts of the same words."""
+    rnd = random.Random(n)
+    vocab = " ".join(r.text for r in documents.select("text").limit(60).collect()).split()
+    vocab = [v for v in vocab if v[0].isalnum()]
+    count, most = 40 if n <= 100 else 10, decontaminate.allowed(n)
+    items = [rnd.choices(vocab, k=n) for _ in range(count)]
+    texts = []
+    for item in items:
+        w = list(item)
+        for p in sorted(rnd.sample(range(n), most), reverse=True):
+            kind = rnd.choice(kinds)
+            w[p:p + 1] = [] if kind == "d" else [rnd.choice(vocab)] if kind == "s" else [w[p], rnd.choice(vocab)]
+        texts.append(" ".join(rnd.choices(vocab, k=30) + w + rnd.choices(vocab, k=30)))
+    bench = decontaminate.Benchmark([(i, " ".join(x)) for i, x in enumerate(items)])
+    w, bounds = decontaminate.sequence(*column_bytes(pa.array(texts)), Powers())
+    found = {(row, i): (start, edits) for row, item, start, edits in bench.leaks(w, bounds) for i in bench.ids[item]}
+    assert sum((i, i) in found for i in range(count)) >= 0.99 * count
+    for (row, i), (start, edits) in found.items():
+        text = w[bounds[row]:bounds[row + 1]][start:start + n + most].tolist()
+        item = decontaminate.sequence(*column_bytes(pa.array([" ".join(items[i])])), Powers())[0].tolist()
+        assert edits == min(brute.edit_distance(item, text)) <= most
+
+
 # ---- compression classifier
 
 def test_classifier_on_held_out_rows(spark):
