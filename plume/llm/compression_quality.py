@@ -9,7 +9,8 @@ built no dictionary.  The curve also takes the mean compressed size per byte:
 the same difference means less on a short text than on one that repeats itself.
 
 The fit reads at most ``MAX_FIT_ROWS`` labelled documents per class (a fixed
-pseudo-random choice) of at most ``MAX_FIT_BYTES`` each, and only documents
+pseudo-random choice among those that stand in the table with text), of texts
+above ``MAX_FIT_BYTES`` whole pieces from all over the text, and only documents
 whose crc32(doc_id) mod 5 is not 0.  Scoring reads every whole text in one
 Arrow pass, without shuffle; the two dictionaries (``DICT_BYTES`` each) are all
 that is broadcast.
@@ -47,15 +48,21 @@ def fit_rows(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int]]:
     """The bounded labelled sample: (text, quality), in a fixed order."""
     one = (labels.where("doc_id is not null and quality in (0, 1)").where(~held_out())
            .groupBy("doc_id").agg(F.min("quality").alias("quality")))
+    texts = (docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
+             .where(F.octet_length("text") > 0))
+    one = one.join(texts.select("doc_id"), "doc_id", "left_semi")
     picks = [one.where(F.col("quality") == q).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_FIT_ROWS)
              for q in (0, 1)]
     ids = F.broadcast(picks[0].unionByName(picks[1]))  # 2 * MAX_FIT_ROWS rows at most
-    text = F.col("text").cast("string")
-    rows = (docs.select("doc_id", text.alias("text"))
-            .where(F.octet_length("text").between(1, MAX_FIT_BYTES)).join(ids, "doc_id")
+    size, n = F.octet_length("text"), MAX_FIT_BYTES // PIECE
+    last = F.ceil(size / PIECE) - 1
+    spread = F.concat(*[F.substr("text", (F.floor(last * k / (n - 1)) * PIECE + 1).cast("int"), F.lit(PIECE))
+                        for k in range(n)])
+    rows = (texts.join(ids, "doc_id")
+            .select("doc_id", "quality", F.when(size > MAX_FIT_BYTES, spread).otherwise(F.col("text")).alias("text"))
             .groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
             .select(F.xxhash64("doc_id").alias("k"), "doc_id", "text", "quality").collect())
-    return [(r["text"].encode(), r["quality"]) for r in sorted(rows, key=lambda r: (r["k"], r["doc_id"]))]
+    return [(bytes(r["text"]), r["quality"]) for r in sorted(rows, key=lambda r: (r["k"], r["doc_id"]))]
 
 
 def pieces(text: bytes) -> list[bytes]:

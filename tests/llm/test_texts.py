@@ -395,3 +395,19 @@ def test_classifier_edge_rows(spark):
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")
     rows = compression_quality.classify(docs, labels).collect()
     assert len(rows) == 4 and all(r.score == 0.5 and r.predicted == 1 for r in rows)
+
+
+def test_classifier_replaces_picks_without_text_and_reads_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(compression_quality, "MAX_FIT_ROWS", 20)
+    long = "".join(f"{i:08d}" for i in range(12_501))  # 100,008 bytes
+    docs = [(i, ("", None, long, f"text {i}")[i % 4]) for i in range(400)]
+    labels = spark.createDataFrame([(i, i // 4 % 2) for i in range(800)], "doc_id long, quality int")  # half absent
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = compression_quality.fit_rows(df, labels)
+    assert [sum(q == k for _, q in rows) for k in (0, 1)] == [20, 20]
+    raw, cut = long.encode(), compression_quality.PIECE
+    spread = {t for t, _ in rows if len(t) > 100}
+    assert len(spread) == 1 and {len(t) <= compression_quality.MAX_FIT_BYTES for t in spread} == {True}
+    found = [raw.index(t) for t in compression_quality.pieces(spread.pop())]
+    assert all(x % cut == 0 for x in found) and found == sorted(set(found))
+    assert found[0] == 0 and found[-1] == (len(raw) - 1) // cut * cut and len(found) == 9
