@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from . import (compression_quality, decontaminate, html_extract, line_dedup, mixing, near_dup,
-               quality_rules, secret_scan, suffix_dedup, token_counts)
+               quality_rules, secret_scan, suffix_dedup, token_counts, warc)
 from .tables import table
 
 
@@ -49,6 +49,10 @@ def op10_minhash_near_dedup(spark, sf_dir):
     return near_dup.near_dups(table(spark, sf_dir, "documents"), width=2).drop("_nd_k")
 
 
+def op11_warc(spark, sf_dir):
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
@@ -60,5 +64,17 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_token_counts": op9_token_counts,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
+    "op11_warc": op11_warc,
+}
+
+#: DuckDB SQL where a result can be said in SQL.
+SQL: dict[str, str] = {
+    "op11_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        q AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+        r AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS low FROM q)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id <> low THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id <> low THEN low END AS refers_to
+        FROM r""",
 }
-SQL: dict[str, str] = {}
