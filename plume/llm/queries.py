@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from . import (compression_quality, decontaminate, html_extract, line_dedup, mixing, near_dup,
-               quality_rules, secret_scan, suffix_dedup, token_counts, warc)
+               quality_rules, ranked_search, secret_scan, spelling, suffix_dedup, token_counts,
+               warc)
 from .tables import table
 
 
@@ -53,6 +54,14 @@ def op11_warc(spark, sf_dir):
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
 
 
+def op12_ranked_search(spark, sf_dir):
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_spelling_variants(spark, sf_dir):
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_quality_classifier": op2_quality_classifier,
@@ -65,6 +74,8 @@ QUERIES = {
     "op9_token_counts": op9_token_counts,
     "op10_minhash_near_dedup": op10_minhash_near_dedup,
     "op11_warc": op11_warc,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 #: DuckDB SQL where a result can be said in SQL.
@@ -77,4 +88,27 @@ SQL: dict[str, str] = {
                CASE WHEN payload_bytes >= 100 AND page_id <> low THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 100 AND page_id <> low THEN low END AS refers_to
         FROM r""",
+    "op12_ranked_search": r"""
+        WITH d AS MATERIALIZED (
+            SELECT row_number() OVER () AS k, doc_id,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+        i AS MATERIALIZED (
+            SELECT row_number() OVER () AS j, item_id,
+                   translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM benchmark),
+        q AS (SELECT DISTINCT j, item_id,
+                     unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM i),
+        w AS (SELECT k, doc_id,
+                     unnest(regexp_extract_all(t, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+        tf AS (SELECT k, any_value(doc_id) AS doc_id, term, count(*) AS tf FROM w GROUP BY k, term),
+        n AS (SELECT k, sum(tf)::BIGINT AS n FROM tf GROUP BY k),
+        s AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM n),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        c AS (SELECT j, item_id, k, doc_id,
+                     sum(floor(1000 * ln((2 * nn + 2) / (2 * df + 1)))::BIGINT
+                         * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::BIGINT AS score
+              FROM q JOIN tf USING (term) JOIN df USING (term) JOIN n USING (k) CROSS JOIN s
+              GROUP BY j, item_id, k, doc_id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY j ORDER BY score DESC, doc_id, k)::INTEGER AS "rank"
+              FROM c WHERE score > 0)
+        SELECT item_id, "rank", doc_id, score FROM r WHERE "rank" <= 10""",
 }

@@ -103,3 +103,25 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     ends = np.flatnonzero(brk)
     end = ends[np.searchsorted(ends, start, side="right")]
     return start, end, np.searchsorted(offsets, start, side="right") - 1
+
+
+def runs(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, row) of the maximal runs of marked bytes; runs end at row ends."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[offsets] = True
+    start = np.flatnonzero(inside & (edge[:-1] | np.append(True, ~inside[:-1])[:len(inside)]))
+    end = np.flatnonzero(inside & (edge[1:] | np.append(~inside[1:], True)[:len(inside)])) + 1
+    return start, end, np.searchsorted(offsets, start, side="right") - 1
+
+
+def run_strings(data: np.ndarray, inside: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """The runs' bytes as one binary Arrow array, without a Python object per run."""
+    bounds = np.zeros(len(start) + 1, np.int64)
+    np.cumsum(end - start, out=bounds[1:])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start),
+                                            [None, pa.py_buffer(bounds), pa.py_buffer(data[inside])])
+
+
+def lower_bytes(data: np.ndarray) -> np.ndarray:
+    """A-Z as a-z."""
+    return data + (((data >= 65) & (data <= 90)) * np.uint8(32))

@@ -64,7 +64,7 @@ def test_pages_with_nulls(spark):
 
 
 def test_every_dealt_operator_is_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):
