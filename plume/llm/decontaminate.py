@@ -3,29 +3,31 @@
 Texts and benchmark items become word sequences (runs of non-white-space, ASCII
 punctuation trimmed at both ends, A-Z lower-cased).  A document leaks an item of
 n words if some stretch of it is within ``k = floor(MAX_EDITS * n)`` word edits
-of the item.  Every word position of every whole text is a possible start of an
-item-sized window; per Arrow batch:
-
-1. *count filter* (loses nothing): within k edits of an item, a window of n
-   words shares at least ``n - 1 - 2k`` word pairs with it, so windows with
-   fewer pairs known to items of that length are out;
-2. *items of up to EMBED_WORDS words*: a CGK random walk copies the current word
-   and moves on or stays by a random bit of (repetition, step, word).  Sequences
-   within edit distance d become strings that differ in O(d^2) places, wherever
-   the edits are.  Each of ``REPEATS`` walks is sampled at ``SAMPLES`` steps; an
-   item is a candidate of the windows that share all samples of one walk.
-   Target recall 0.99 at the full bound; simulated for 10 words: 0.999 or more;
-3. *longer items*: the differing share grows with the edits, and ever more walks
-   would be needed (simulated, 24 walks: 20 words, 4 deleted: 0.97; 200 words,
-   40 deleted: 0.19).  An
-   item is a candidate of the windows that hold ``n - 1 - 2k`` of its own word
-   pairs, by the pairs' posting lists (loses nothing);
-4. *verification*: candidates of a document and item are checked by exact
-   word-level edit distance with free end, those with most shared pairs first.
-
-Equal windows of a batch are embedded and checked once.  The benchmark is a
-stated query set: it is broadcast in blocks of at most ``BLOCK_ITEMS`` items and
-``BLOCK_BYTES`` bytes, and all documents pass each block.  No shuffle at all.
+of the item.  An item of up to ``PART_WORDS`` words is one part, a longer one is cut into even
+parts of at most so many words.  Of k edits in an item some part of m words gets
+``floor(MAX_EDITS * m)`` at most, whatever the cut, so parts are searched with their
+own bound and no item length needs other means.  Every word position of every whole
+text is a possible start of a part-sized window; per Arrow batch:
+
+1. *count filter* (loses nothing): within k edits of a part, a window of m words
+   shares at least ``m - 1 - 2k`` word pairs with it, so windows with fewer pairs
+   known to parts of that length are out;
+2. *embedding and LSH*: a CGK random walk copies the current word and moves on or
+   stays by a random bit of (repetition, step, word).  Sequences within edit
+   distance d become strings that differ in O(d^2) places, wherever the edits
+   are.  Each of ``REPEATS`` walks is sampled at ``SAMPLES`` steps; a part is a
+   candidate of the windows that share all samples of one walk.  Only such
+   candidates go on: nothing is found without a walk.  Target recall 0.99 at the
+   full bound, which holds a part of few words with one or two edits; measured by
+   the tests for items of 5 to 400 words;
+3. *verification*: a candidate puts its item at a place in the document; the
+   stretches around such places are compared with the whole item by exact
+   word-level edit distance, start and end free.
+
+Equal windows of a batch are embedded once, equal stretches verified once.  The
+benchmark is a stated query set: it is broadcast as plain arrays, in blocks of at
+most ``BLOCK_ITEMS`` items and ``BLOCK_BYTES`` bytes, and all documents pass each
+block.  No shuffle at all.
 
 Defined results: NULL and empty texts leak nothing.  Items without text or with
 fewer than ``MIN_WORDS`` words are no evidence and never match.  Items of equal
@@ -40,11 +42,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import small_batches
 from .textbytes import Powers, PrefixHash, byte_codes, column_bytes, mix64, row_slices, words
 
 MAX_EDITS = 0.2        #: edits per item word
 MIN_WORDS = 5
-EMBED_WORDS = 10       #: longest items that are searched by walks
+PART_WORDS = 14        #: longest part; two edits at most
 REPEATS = 24
 SAMPLES = 2
 STRIDE = 2             #: walk steps per item word
@@ -53,7 +56,6 @@ BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 64 << 20
 FILTER_BITS = 22
 WINDOWS_AT_ONCE = 1 << 14
-PAIRS_AT_ONCE = 1 << 21
 
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 PUNCT = np.zeros(256, bool)
@@ -106,59 +108,88 @@ def walk_keys(padded: np.ndarray, start: np.ndarray, end: np.ndarray, length: np
     return key
 
 
-def distance(item: np.ndarray, window: np.ndarray, most: int) -> int:
-    """Least word edits from ``item`` to a prefix of ``window``; above ``most``: most + 1.
+def last_row(item: np.ndarray, text: np.ndarray, most: int, free: bool) -> np.ndarray | None:
+    """Least word edits from ``item`` to text[s:j] for every j, with s = 0 or free; None if all exceed ``most``.
 
     The usual table, one row per item word; a row's left-to-right dependence is
     a running minimum, so each row is a few array steps.
     """
-    m = len(window)
+    m = len(text)
     column = np.arange(m + 1)
-    row = column.copy()  # no item word yet: j window words cost j
+    row = np.zeros(m + 1, np.int64) if free else column
     for i, word in enumerate(item, 1):
         best = np.empty(m + 1, np.int64)
         best[0] = i
-        best[1:] = np.minimum(row[:-1] + (window != word), row[1:] + 1)
+        best[1:] = np.minimum(row[:-1] + (text != word), row[1:] + 1)
         row = np.minimum.accumulate(best - column) + column
         if row.min() > most:
-            return most + 1
-    return int(min(row.min(), most + 1))
+            return None
+    return row
+
+
+def distance(item: np.ndarray, window: np.ndarray, most: int) -> int:
+    """Least word edits from ``item`` to a prefix of ``window``; above ``most``: most + 1."""
+    row = last_row(item, window, most, False)
+    return most + 1 if row is None else int(row.min())
+
+
+def stretch(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int] | None:
+    """(edits, start) of the stretch of ``text`` nearest to ``item``: the first to end, of those the shortest."""
+    row = last_row(item, text, most, True)
+    if row is None:
+        return None
+    edits, end = int(row.min()), int(row.argmin())
+    back = last_row(item[::-1], text[:end][::-1], most, False)
+    return edits, end - int(np.flatnonzero(back == edits)[0])
+
+
+def part_bounds(n: int) -> np.ndarray:
+    """Where an item of n words is cut into parts."""
+    count = -(-n // PART_WORDS)
+    return np.arange(count + 1) * n // count
+
+
+def index_of(items: list[tuple[int, str]]) -> dict:
+    """A block of items as plain arrays: sequences, parts, known pairs by part length, keys of the walks."""
+    data, offsets = column_bytes(pa.array([t for _, t in items], pa.string()))
+    hashes, bounds = sequence(data, offsets, Powers())
+    by_words: dict[bytes, list] = {}
+    for k, (item_id, _) in enumerate(items):
+        w = hashes[bounds[k]:bounds[k + 1]]
+        if len(w) >= MIN_WORDS:
+            by_words.setdefault(w.tobytes(), [w, []])[1].append(item_id)
+    own = [v[0] for v in by_words.values()]
+    cuts = [part_bounds(len(w)) for w in own]
+    parts = [(i, a, b) for i, c in enumerate(cuts) for a, b in zip(c[:-1].tolist(), c[1:].tolist())]
+    known: dict[int, list] = {}
+    for i, a, b in parts:
+        known.setdefault(b - a, []).append(pairs(own[i][a:b]))
+    size = np.array([len(w) for w in own], np.int64)
+    first = np.cumsum(size) - size
+    part = np.array(parts, np.int64).reshape(-1, 3)
+    start, length = first[part[:, 0]] + part[:, 1], part[:, 2] - part[:, 1]
+    flat = np.append(np.concatenate(own), PAD) if own else np.zeros(1, np.uint64)
+    keys = walk_keys(flat, start, start + length, length)
+    holder = np.broadcast_to(np.arange(len(parts)), keys.shape).ravel()
+    order = np.argsort(keys.ravel(), kind="stable")
+    return {"items": own, "ids": [sorted(v[1], key=lambda x: (x is None, x)) for v in by_words.values()],
+            "part_item": part[:, 0], "part_offset": part[:, 1],
+            "known": {n: np.unique(np.concatenate(v)) for n, v in sorted(known.items())},
+            "keys": keys.ravel()[order], "key_parts": holder[order]}
 
 
 class Benchmark:
-    """A block of items, ready for searching: sequences by length, known pairs, keys per repetition."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        data, offsets = column_bytes(pa.array([t for _, t in items], pa.string()))
-        hashes, bounds = sequence(data, offsets, Powers())
-        by_words: dict[bytes, list] = {}
-        for k, (item_id, _) in enumerate(items):
-            w = hashes[bounds[k]:bounds[k + 1]]
-            if len(w) >= MIN_WORDS:
-                by_words.setdefault(w.tobytes(), [w, []])[1].append(item_id)
-        self.items = [v[0] for v in by_words.values()]
-        self.ids = [sorted(v[1]) for v in by_words.values()]
-        known = [pairs(w) for w in self.items]
-        self.known = np.unique(np.concatenate(known)) if known else np.zeros(0, np.uint64)
+    """Searches an index of items; built in each Python worker from the broadcast arrays."""
+
+    def __init__(self, index: dict):
+        self.items, self.ids = index["items"], index["ids"]
+        self.part_item, self.part_offset = index["part_item"], index["part_offset"]
+        self.keys, self.key_parts = index["keys"], index["key_parts"]
+        self.known_by_length = index["known"]
+        self.known = np.unique(np.concatenate(list(self.known_by_length.values()))) if self.items \
+            else np.zeros(0, np.uint64)
         self.maybe = np.zeros(1 << FILTER_BITS, bool)
         self.maybe[(self.known >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        lengths = np.array([len(w) for w in self.items], np.int64)
-        self.known_by_length = {n: np.unique(np.concatenate([known[i] for i in np.flatnonzero(lengths == n)]))
-                                for n in sorted(set(lengths.tolist()))}
-        self.postings = {}  # of the longer items: pairs in order, and the items that hold them
-        for n in self.known_by_length:
-            if n > EMBED_WORDS:
-                held = [(np.unique(known[i]), i) for i in np.flatnonzero(lengths == n)]
-                values = np.concatenate([v for v, _ in held])
-                order = np.argsort(values, kind="stable")
-                self.postings[n] = values[order], np.repeat([i for _, i in held], [len(v) for v, _ in held])[order]
-        flat = np.append(np.concatenate(self.items), PAD) if self.items else np.zeros(1, np.uint64)
-        short = np.flatnonzero(lengths <= EMBED_WORDS)
-        first, size = (np.cumsum(lengths) - lengths)[short], lengths[short]
-        keys = walk_keys(flat, first, first + size, size)
-        item = np.broadcast_to(short, keys.shape).ravel()
-        order = np.argsort(keys.ravel(), kind="stable")
-        self.keys, self.key_items = keys.ravel()[order], item[order]
 
     def known_pairs(self, w: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and values of the word pairs inside rows that the benchmark has."""
@@ -169,26 +200,15 @@ class Benchmark:
         some = some[~np.isin(some, across)]
         return some, p[some]
 
-    def candidates(self, w: np.ndarray, bounds: np.ndarray):
-        """(row, item, start, shared pairs, window end, key of the window) of all windows that share
-        a sampled walk with a short item or enough pairs with a longer one."""
-        if len(w) < 2 or not self.items:
-            return
-        up, down = Powers().upto(len(w) + 1)
-        sums = np.zeros(len(w) + 1, np.uint64)
-        np.cumsum(w * up[:len(w)], out=sums[1:])
-
-        def window_key(s, far, length):
-            return mix64(mix64((sums[far] - sums[s]) * down[s] + (far - s).astype(np.uint64))
-                         + length.astype(np.uint64))
+    def windows(self, w: np.ndarray, bounds: np.ndarray):
+        """(row, start, end, length) of the part-sized windows with enough known pairs."""
         places, values = self.known_pairs(w, bounds)
         row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
         found = []
         for n, known in self.known_by_length.items():
             k = allowed(n)
-            least = max(1, n - 1 - 2 * k)
-            of_length = np.isin(values, known)
-            at = places[of_length]
+            least = n - 1 - 2 * k
+            at = places[np.isin(values, known)]
             if len(at) < least:
                 continue
             # a window that starts in [last - n + 2, first] holds the `least` pairs from first to last
@@ -198,92 +218,65 @@ class Benchmark:
             low = np.maximum(last - n + 2, bounds[row[first]])
             size = first - low + 1
             s = np.unique(np.repeat(low - np.cumsum(size) + size, size) + np.arange(size.sum()))
-            row_end = bounds[1:][row[s]]
-            end = np.minimum(s + n, row_end)
-            s, end, row_end = (x[end - s >= n - k] for x in (s, end, row_end))
-            if n > EMBED_WORDS and len(s):
-                before = np.searchsorted(s, at, "right") - 1
-                inside = (before >= 0) & (at - s[before] <= n - 2)
-                for i, start, both, far in self.counted(n, k, at[inside], values[of_length][inside], row, bounds):
-                    same = window_key(start, far, np.full(len(start), n))
-                    yield from zip(row[start].tolist(), i.tolist(), start.tolist(), both.tolist(), far.tolist(),
-                                   same.tolist())
-            elif len(s):
-                shared = np.searchsorted(at, end - 1) - np.searchsorted(at, s)
-                found.append((s, shared, end, np.minimum(s + n + k, row_end), np.full(len(s), n)))
-        if not found:
-            return
-        s, shared, end, far, length = (np.concatenate(c) for c in zip(*found))
-        # equal windows (with the words that an edit may pull in) are looked at once
-        same = window_key(s, far, length)
+            end = np.minimum(s + n, bounds[1:][row[s]])
+            s, end = s[end - s >= n - k], end[end - s >= n - k]
+            found.append((row[s], s, end, np.full(len(s), n)))
+        return [np.concatenate(c) for c in zip(*found)] if found else None
+
+    def candidates(self, w: np.ndarray, bounds: np.ndarray, sums: np.ndarray, down: np.ndarray):
+        """(row, item, place of the item's first word) of every window that shares a sampled walk with a part."""
+        none = np.zeros(0, np.int64)
+        found = self.windows(w, bounds) if len(w) > 1 and self.items else None
+        if found is None:
+            return none, none, none
+        row, s, end, length = found
+        # equal windows are embedded once
+        same = mix64(mix64((sums[end] - sums[s]) * down[s] + (end - s).astype(np.uint64)) + length.astype(np.uint64))
         _, first, which = np.unique(same, return_index=True, return_inverse=True)
-        padded, matches = np.append(w, PAD), {}
+        padded, hits = np.append(w, PAD), [np.zeros((0, 2), np.int64)]
         for lo in range(0, len(first), WINDOWS_AT_ONCE):
             f = first[lo:lo + WINDOWS_AT_ONCE]
             keys = walk_keys(padded, s[f], end[f], length[f])
             left = np.searchsorted(self.keys, keys, "left")
-            hit = np.argwhere(self.keys[np.minimum(left, len(self.keys) - 1)] == keys)
-            for rep, j in hit:
-                for t in range(left[rep, j], np.searchsorted(self.keys, keys[rep, j], "right")):
-                    if len(self.items[self.key_items[t]]) == length[f[j]]:
-                        matches.setdefault(lo + int(j), set()).add(int(self.key_items[t]))
-        if matches:
-            for m in np.flatnonzero(np.isin(which, np.fromiter(matches, np.int64))):
-                for i in matches[int(which[m])]:
-                    yield int(row[s[m]]), i, int(s[m]), int(shared[m]), int(far[m]), int(same[m])
-
-    def counted(self, n: int, k: int, at: np.ndarray, values: np.ndarray, row: np.ndarray, bounds: np.ndarray):
-        """(items, starts, shared pairs, window ends) of the windows that hold enough pairs of one item of n words.
-
-        ``at`` and ``values`` are the places and values of the known pairs; whole rows go at once, as many as have
-        about ``PAIRS_AT_ONCE`` postings.
-        """
-        pairs_of, item_of = self.postings[n]
-        left = np.searchsorted(pairs_of, values, "left")
-        size = np.searchsorted(pairs_of, values, "right") - left
-        least, width = n - 1 - 2 * k, len(row) + n
-        part = (np.cumsum(size) - size) // PAIRS_AT_ONCE
-        new_row = np.append(True, row[at[1:]] != row[at[:-1]])
-        part = part[np.maximum.accumulate(np.where(new_row, np.arange(len(at)), 0))]  # a row's part is its first place's
-        edges = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])), len(at))
-        for lo, hi in zip(edges[:-1], edges[1:]):
-            m = size[lo:hi]
-            total = int(m.sum())
-            item = item_of[np.repeat(left[lo:hi] - np.cumsum(m) + m, m) + np.arange(total)]
-            code = np.sort(item * width + np.repeat(at[lo:hi], m))  # by item, then place
-            a, b = code[:total - least + 1], code[least - 1:]
-            ok = b - a <= n - 2
-            a, b = a[ok], b[ok]
-            ok = row[a % width] == row[b % width]
-            a, b = a[ok], b[ok]
-            if not len(a):
-                continue
-            low = np.maximum(b - n + 2, a - a % width + bounds[row[a % width]])
-            m = a - low + 1
-            c = np.unique(np.repeat(low - np.cumsum(m) + m, m) + np.arange(m.sum()))
-            s = c % width
-            row_end = bounds[1:][row[s]]
-            end = np.minimum(s + n, row_end)
-            c, s, end, row_end = (x[end - s >= n - k] for x in (c, s, end, row_end))
-            shared = np.searchsorted(code, c - s + end - 1) - np.searchsorted(code, c)
-            yield c // width, s, shared, np.minimum(s + n + k, row_end)
+            rep, j = np.nonzero(self.keys[np.minimum(left, len(self.keys) - 1)] == keys)
+            left = left[rep, j]
+            size = np.searchsorted(self.keys, keys[rep, j], "right") - left
+            to = np.repeat(left - np.cumsum(size) + size, size) + np.arange(size.sum())
+            hits.append(np.unique(np.stack([lo + np.repeat(j, size), self.key_parts[to]], axis=1), axis=0))
+        window, part = np.concatenate(hits).T
+        # spread to all windows equal to the embedded one
+        order = np.argsort(which, kind="stable")
+        begin = np.searchsorted(which[order], np.arange(len(first) + 1))
+        size = begin[window + 1] - begin[window]
+        m = order[np.repeat(begin[window] - np.cumsum(size) + size, size) + np.arange(size.sum())]
+        part = np.repeat(part, size)
+        return row[m], self.part_item[part], s[m] - self.part_offset[part]
 
     def leaks(self, w: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(row, item, start word, edits) per leaked pair: the verified window with most shared pairs."""
-        groups: dict[tuple[int, int], list] = {}
-        for row, item, start, shared, end, same in self.candidates(w, bounds):
-            groups.setdefault((row, item), []).append((-shared, start, end, same))
-        out, known = [], {}
-        for (row, item), tries in groups.items():
-            most = allowed(len(self.items[item]))
-            for _, start, end, same in sorted(tries):
-                d = known.get((same, item))
-                if d is None:
-                    d = known[same, item] = distance(self.items[item], w[start:end], most)
-                if d <= most:
-                    out.append((row, item, start - int(bounds[row]), d))
-                    break
-        return out
+        """(row, item, start word, edits) per leaked pair: the nearest stretch at a candidate's place, first on ties."""
+        up, down = Powers().upto(len(w) + 1)
+        sums = np.zeros(len(w) + 1, np.uint64)
+        np.cumsum(w * up[:len(w)], out=sums[1:])
+        row, item, place = self.candidates(w, bounds, sums, down)
+        order = np.lexsort((place, item, row))
+        row, item, place = row[order], item[order], place[order]
+        n = np.array([len(x) for x in self.items] or [0], np.int64)[item]
+        new = np.append(True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (place[1:] - place[:-1] > n[1:]))[:len(row)]
+        head = np.flatnonzero(new)  # places of an item within its own length are one stretch of text
+        tail = np.append(head[1:], len(row))[:len(head)] - 1
+        out, known = {}, {}
+        for r, i, a, b in zip(row[head].tolist(), item[head].tolist(), place[head].tolist(), place[tail].tolist()):
+            size, most = len(self.items[i]), allowed(len(self.items[i]))
+            lo = max(int(bounds[r]), a - most)
+            hi = max(lo, min(int(bounds[r + 1]), b + size + 2 * most))
+            key = ((int(sums[hi]) - int(sums[lo])) * int(down[lo]) % (1 << 64), hi - lo, i)
+            if key not in known:
+                known[key] = stretch(self.items[i], w[lo:hi], most)
+            if known[key] is not None:
+                edits, at = known[key]
+                if (r, i) not in out or edits < out[r, i][1]:
+                    out[r, i] = lo + at - int(bounds[r]), edits
+        return [(r, i, start, edits) for (r, i), (start, edits) in out.items()]
 
 
 def blocks_of(benchmark: DataFrame):
@@ -307,16 +300,24 @@ def _search(bench: Benchmark, column):
             yield lo + row, item, start, edits
 
 
+def _bench(held: dict) -> Benchmark:
+    """The searcher of a broadcast index, built once per Python worker."""
+    if "bench" not in held:
+        held["bench"] = Benchmark(held)
+    return held["bench"]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per leaked (document, item): doc_id, item_id, start_word, n_words, edits."""
     out = None
+    small_batches(docs.sparkSession)
     slim = docs.select("doc_id", docs["text"].cast("string"))
     schema = "doc_id long, item_id long, start_word long, n_words long, edits long"
     for items in blocks_of(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast({"bench": Benchmark(items)})
+        sent = docs.sparkSession.sparkContext.broadcast(index_of(items))
 
         def run(batches, sent=sent):
-            bench = sent.value["bench"]
+            bench = _bench(sent.value)
             for batch in batches:
                 rows = [(row, i, start, len(bench.items[item]), edits)
                         for row, item, start, edits in _search(bench, batch.column(1)) for i in bench.ids[item]]
@@ -332,12 +333,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that leak no item, with the columns of ``docs``."""
+    small_batches(docs.sparkSession)
     place = docs.columns.index("text")
     for items in blocks_of(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast({"bench": Benchmark(items)})
+        sent = docs.sparkSession.sparkContext.broadcast(index_of(items))
 
         def run(batches, sent=sent):
-            bench = sent.value["bench"]
+            bench = _bench(sent.value)
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
                 for row, *_ in _search(bench, batch.column(place)):

@@ -25,9 +25,16 @@ lost by it:
 4. Repeated windows become byte ranges per document, which are merged and cut.
 
 Contexts are dealt by their anchor string and sorted in bounded chunks.  A
-string with more than ``HOT`` different contexts would make a chunk unbounded;
-its windows are counted by 128-bit hashes instead, with a partial count per
-task.
+string with more than ``HOT`` different contexts is dealt on: all windows that start
+lo to hi bytes before the anchor share the bytes from lo before it to ``LENGTH``
+- hi after it, so the range of starts is halved and each half dealt by the hash
+of what its windows share, until a group is small enough to be sorted or its
+range is one window, which then is equal in the whole group.  No group is ever
+larger than ``HOT`` when it is sorted, and no pair of equal windows is parted.
+
+Texts are written once, with a row id, as a table bucketed by that id; the two
+joins that bring places back to texts (cutting contexts, cutting repeats) read
+the buckets where they are.  Texts are shuffled once at any size.
 
 Defined results: NULL and empty texts have 0 bytes and the digest of no bytes;
 texts shorter than ``LENGTH`` stay whole.  Matches never cross documents, and
@@ -38,13 +45,17 @@ Extra columns are kept by ``remove_repeats``; working columns start with
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .tables import broadcast_if_small, staged
+from plume.session import scratch_path
+
+from .tables import small_batches, staged
 from .textbytes import Powers, PrefixHash, byte_codes, column_bytes, mix64, row_slices
 
 LENGTH = 400
@@ -53,7 +64,7 @@ SHALLOW = 32
 HOT = 4096
 CHUNK = 16_384           #: contexts sorted at once, at least
 PER_TASK = 65_536        #: contexts of a task, about
-MAX_BROADCAST_ROWS = 1_000_000
+MAX_BUCKETS = 100_000     #: Spark's own limit
 PLACE_BITS = 24          #: places in a slice; longer texts are cut into overlapping segments
 
 
@@ -238,17 +249,21 @@ def deep_shallow(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.array(order, np.int64), np.array(lcp, np.int64)
 
 
-def repeated_windows(contexts: list[bytes], left: np.ndarray) -> list[tuple[int, int, int]]:
-    """(context, o1, o2): windows that start o1..o2 bytes before the anchor and equal one of another context."""
+def repeated_windows(contexts: list[bytes], left: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> list[tuple[int, int, int]]:
+    """(context, o1, o2): windows that start o1..o2 bytes before the anchor and equal one of another context.
+
+    A context stands for the windows that start lo..hi bytes before its anchor only.
+    """
     n = len(contexts)
     right_order, right_lcp = deep_shallow([c[k:] for c, k in zip(contexts, left)])
     left_order, left_lcp = deep_shallow([c[:k][::-1] for c, k in zip(contexts, left)])
     size = np.array([len(c) for c in contexts])
-    low = LENGTH - (size - left)  # least o with LENGTH - o bytes from the anchor on
+    low = np.maximum(lo, LENGTH - (size - left))  # least o with LENGTH - o bytes from the anchor on
+    high = np.minimum(hi, left)
     marks = np.zeros((n, int(left.max()) + 1), bool)
     r, l = np.empty(n, np.int64), np.empty(n, np.int64)
-    for o in range(max(0, int(low.min())), int(left.max()) + 1):
-        some = np.flatnonzero((low <= o) & (o <= left))
+    for o in range(max(0, int(low.min())), int(high.max()) + 1):
+        some = np.flatnonzero((low <= o) & (o <= high))
         if len(some) < 2:
             continue
         r[right_order] = np.cumsum(right_lcp < LENGTH - o)
@@ -274,38 +289,53 @@ def _runs(seeds, contexts, found) -> pa.RecordBatch:
 
 
 def _sort_batches(batches):
-    """Rows come ordered by seed; a chunk ends where the seed changes."""
-    seeds, contexts, left, texts = [], [], [], []
+    """Rows come ordered by group; a chunk ends where the group changes."""
+    held: list[list] = [[] for _ in range(6)]
+    last = None
+
+    def flush():
+        seeds, contexts, left, lo, hi, texts = held
+        return _runs(seeds, contexts, repeated_windows(texts, *(np.array(x) for x in (left, lo, hi))))
     for batch in batches:
-        for seed, context, k, text in zip(*(batch.column(c).to_pylist() for c in ("seed", "context", "left", "bytes"))):
-            if len(seeds) >= CHUNK and seed != seeds[-1]:
-                yield _runs(seeds, contexts, repeated_windows(texts, np.array(left)))
-                seeds, contexts, left, texts = [], [], [], []
-            seeds.append(seed)
-            contexts.append(context)
-            left.append(k)
-            texts.append(text)
-    if len(seeds) > 1:
-        yield _runs(seeds, contexts, repeated_windows(texts, np.array(left)))
-
-
-def _window_batches(batches):
-    """A row per window of hot contexts: its 128-bit hash and place."""
+        columns = (batch.column(c).to_pylist() for c in ("seed", "context", "left", "lo", "hi", "bytes", "k1", "k2"))
+        for *row, k1, k2 in zip(*columns):
+            group = (row[0], k1, k2)
+            if len(held[0]) >= CHUNK and group != last:
+                yield flush()
+                held = [[] for _ in range(6)]
+            last = group
+            for column, value in zip(held, row):
+                column.append(value)
+    if len(held[0]) > 1:
+        yield flush()
+
+
+GROUP = ["seed", "lo", "hi", "k1", "k2"]
+HALVES = "seed long, context long, left long, lo long, hi long, k1 long, k2 long, bytes binary"
+
+
+def _halve_batches(batches):
+    """Every (context, range of window starts) as its two halves, keyed by what each half's windows share."""
     powers, codes = Powers(), byte_codes(False)
     other = mix64(codes ^ np.uint64(0x2545F4914F6CDD1D))
     for batch in batches:
         data, offsets = column_bytes(batch.column("bytes"))
-        left, seed, context = (batch.column(c).to_numpy() for c in ("left", "seed", "context"))
-        for lo, hi in row_slices(offsets):
-            part, bounds = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
-            count = np.diff(bounds) - LENGTH + 1
-            row = np.repeat(np.arange(hi - lo), count)
-            start = bounds[:-1][row] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            w1, w2 = (PrefixHash(part, powers, c).ranges(start, start + LENGTH).view(np.int64) for c in (codes, other))
-            o = left[lo + row] - (start - bounds[:-1][row])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w1), pa.array(w2), pa.array(seed[lo + row]), pa.array(context[lo + row]),
-                 pa.array(o, pa.int64())], names=["w1", "w2", "seed", "context", "o"])
+        left, lo, hi = (batch.column(c).to_numpy() for c in ("left", "lo", "hi"))
+        for start, stop in row_slices(offsets):
+            part, bounds = data[offsets[start]:offsets[stop]], offsets[start:stop + 1] - offsets[start]
+            hashes = [PrefixHash(part, powers, c) for c in (codes, other)]
+            size = np.diff(bounds)
+            middle = (lo[start:stop] + hi[start:stop] + 1) // 2
+            for a, b in ((lo[start:stop], middle - 1), (middle, hi[start:stop])):
+                own = left[start:stop]
+                some = np.flatnonzero((own >= a) & (size - own >= LENGTH - b))  # else no window of this half
+                at = bounds[:-1][some] + own[some]
+                k1, k2 = (h.ranges(at - a[some], at + LENGTH - b[some]).view(np.int64) for h in hashes)
+                rows = pa.array(start + some)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("seed").take(rows), batch.column("context").take(rows), batch.column("left").take(rows),
+                     pa.array(a[some], pa.int64()), pa.array(b[some], pa.int64()), pa.array(k1), pa.array(k2),
+                     batch.column("bytes").take(rows)], names=["seed", "context", "left", "lo", "hi", "k1", "k2", "bytes"])
 
 
 # ---- the job ---------------------------------------------------------------
@@ -326,50 +356,60 @@ def _context_batches(batches):
             names=["seed", "context", "left", "bytes"])
 
 
-def partial_runs(slim: DataFrame, classes: DataFrame) -> DataFrame:
+def partial_runs(texts: DataFrame, classes: DataFrame) -> DataFrame:
     """(seed, context, o1, o2) of the repeated windows among different contexts of a seed."""
-    spark = slim.sparkSession
-    seeds = classes.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1")
-    mixed = staged(classes.join(seeds, "seed").select("seed", "context", "kinds", "place.*"), "suffix-mixed")
-    total = mixed.count()
+    spark = texts.sparkSession
+    seeds = classes.groupBy("seed").agg(F.count("*").alias("kinds")).where("kinds > 1").select("seed")
+    mixed = classes.join(seeds, "seed", "left_semi").select("seed", "context", "place.*")
     wanted = staged(mixed.groupBy("_sd_k").agg(F.collect_list(F.struct("seed", "context", "anchor", "lo", "hi"))
                                                .alias("wanted")), "suffix-wanted")  # a text's own anchors
-    hint = F.broadcast(wanted) if total <= MAX_BROADCAST_ROWS else wanted
-    # rows equal in doc_id and text share their key: a context cut twice is told from two by its hash
-    cut = (slim.join(hint, "_sd_k").select("text", "wanted")
-           .mapInArrow(_context_batches, "seed long, context long, left long, bytes binary")
-           .join(broadcast_if_small(staged(mixed.select("seed", "kinds").distinct(), "suffix-kinds"),
-                                    MAX_BROADCAST_ROWS), "seed"))
-    cut = staged(cut, "suffix-contexts")
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PER_TASK))
-    dealt = (cut.where(F.col("kinds") <= HOT).dropDuplicates(["seed", "context"])
-             .repartition(parts, "seed").sortWithinPartitions("seed", "context"))
-    runs = dealt.select("seed", "context", "left", "bytes").mapInArrow(_sort_batches, RUNS)
-    hot = cut.where(F.col("kinds") > HOT)
-    if hot.isEmpty():
-        return runs
-    windows = (hot.select("seed", "context", "left", "bytes")
-               .mapInArrow(_window_batches, "w1 long, w2 long, seed long, context long, o long"))
-    windows = staged(windows, "suffix-windows")
-    again = (windows.groupBy("w1", "w2").agg(F.min(F.struct("seed", "context")).alias("x"),
-                                             F.max(F.struct("seed", "context")).alias("y"))
-             .where("x < y").select("w1", "w2"))
-    marked = windows.join(again, ["w1", "w2"]).select("seed", "context", F.col("o").alias("o1"), F.col("o").alias("o2"))
-    return runs.unionByName(marked)
-
-
-def repeated_ranges(docs: DataFrame) -> DataFrame:
-    """Per text key ``_sd_k``: the byte ranges (start, end) covered by repeated windows, not yet merged."""
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    slim = docs.select(key.alias("_sd_k"), docs["text"].cast("string").alias("text")) \
-        .where(F.octet_length("text") >= LENGTH)
+    cut = (texts.select("_sd_k", "text").join(wanted.hint("shuffle_hash"), "_sd_k").select("text", "wanted")
+           .mapInArrow(_context_batches, "seed long, context long, left long, bytes binary"))
+    none = F.lit(0).cast("long")
+    rows = cut.select("seed", "context", "left", none.alias("lo"), F.lit(LENGTH - SEED).cast("long").alias("hi"),
+                      none.alias("k1"), none.alias("k2"), "bytes")
+    small, whole = None, None
+    while True:  # each level halves the range of window starts of the groups that are too large
+        rows = staged(rows, "suffix-contexts")
+        sizes = staged(rows.groupBy(*GROUP).count().where("count > 1"), "suffix-groups")
+        large = F.col("count") > HOT
+        ready = rows.join(sizes.where(~large).drop("count"), GROUP, "left_semi")
+        small = ready if small is None else small.unionByName(ready)
+        one = rows.join(sizes.where(large & (F.col("lo") == F.col("hi"))).drop("count"), GROUP, "left_semi") \
+            .select("seed", "context", F.col("lo").alias("o1"), F.col("lo").alias("o2"))
+        whole = one if whole is None else whole.unionByName(one)
+        more = sizes.where(large & (F.col("lo") < F.col("hi"))).drop("count")
+        if more.isEmpty():
+            break
+        rows = rows.join(more, GROUP, "left_semi").select("seed", "context", "left", "lo", "hi", "bytes") \
+            .mapInArrow(_halve_batches, HALVES)
+    small = staged(small, "suffix-small")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-small.count() // PER_TASK))
+    dealt = small.repartition(parts, *GROUP).sortWithinPartitions(*GROUP, "context")
+    return dealt.mapInArrow(_sort_batches, RUNS).unionByName(whole)
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` with a row id ``_sd_k``, written bucketed by it: joins on the id move no text again."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    n = min(MAX_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    name = f"plume_texts_{uuid.uuid4().hex[:12]}"
+    (docs.withColumn("text", docs["text"].cast("string")).withColumn("_sd_k", F.monotonically_increasing_id())
+     .repartition(n, "_sd_k").write.bucketBy(n, "_sd_k").option("path", scratch_path(spark, "suffix-texts") + "/t")
+     .option("compression", "zstd").saveAsTable(name))
+    return spark.table(name)
+
+
+def repeated_ranges(texts: DataFrame) -> DataFrame:
+    """Per row id ``_sd_k``: ``_sd_spans``, the maximal byte ranges covered by repeated windows."""
+    slim = texts.where(F.octet_length("text") >= LENGTH).select("_sd_k", "text")
     all_anchors = staged(slim.mapInArrow(_anchor_batches, ANCHORS), "suffix-anchors")
-    twice = staged(all_anchors.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed"), "suffix-seeds")
-    some = staged(all_anchors.join(broadcast_if_small(twice, MAX_BROADCAST_ROWS), "seed", "left_semi"),
-                  "suffix-candidates")
+    twice = all_anchors.groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed")
+    some = staged(all_anchors.join(twice, "seed", "left_semi"), "suffix-candidates")
     classes = staged(some.groupBy("seed", "context").agg(
         F.sum("n").alias("n"), F.min(F.struct("_sd_k", "anchor", "lo", "hi")).alias("place")), "suffix-classes")
-    runs = staged(partial_runs(slim, classes), "suffix-runs")
+    runs = staged(partial_runs(texts, classes), "suffix-runs")
     # a class of several anchors repeats in all its windows
     whole = classes.where("n > 1").select("seed", "context", F.lit(None).cast("long").alias("o1"),
                                           F.lit(None).cast("long").alias("o2"))
@@ -377,7 +417,18 @@ def repeated_ranges(docs: DataFrame) -> DataFrame:
     found = some.join(whole.unionByName(single), ["seed", "context"])
     start = F.when(F.col("o2").isNull(), F.col("lo")).otherwise(F.col("anchor") - F.col("o2"))
     end = F.when(F.col("o1").isNull(), F.col("run_end")).otherwise(F.col("anchor") - F.col("o1")) + LENGTH
-    return found.groupBy("_sd_k").agg(F.collect_list(F.struct(start.alias("s"), end.alias("e"))).alias("_sd_ranges"))
+    lists = found.groupBy("_sd_k").agg(F.collect_list(F.struct(start.alias("s"), end.alias("e"))).alias("r"))
+    return staged(lists.mapInArrow(_merge_batches, f"_sd_k long, {SPANS}"), "suffix-ranges")
+
+
+SPANS = "_sd_spans array<struct<s:long,e:long>>"
+SPAN_TYPE = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
+
+def _merge_batches(batches):
+    for batch in batches:
+        spans = [[{"s": s, "e": e} for s, e in merged([(r["s"], r["e"]) for r in rs])] for rs in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, SPAN_TYPE)], names=["_sd_k", "_sd_spans"])
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[list[int]]:
@@ -401,24 +452,20 @@ def _left_over(raw: bytes, spans: list[list[int]]) -> bytes:
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` plus ``_sd_kept`` (the bytes that are left) and ``_sd_spans`` (the maximal removed runs)."""
-    ranges = staged(repeated_ranges(docs), "suffix-ranges")
-    keyed = docs.withColumn("_sd_k", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
-    joined = keyed.join(broadcast_if_small(ranges, MAX_BROADCAST_ROWS, "_sd_ranges"), "_sd_k", "left").drop("_sd_k")
-    place = joined.columns.index("text")
-    added = StructType.fromDDL("_sd_kept binary, _sd_spans array<struct<s:long,e:long>>")
-    schema = StructType([*joined.drop("_sd_ranges").schema.fields, *added.fields])
+    texts = keyed_texts(docs)
+    joined = texts.join(repeated_ranges(texts).hint("shuffle_hash"), "_sd_k", "left").drop("_sd_k")
+    place, last = joined.columns.index("text"), len(joined.columns) - 1
+    schema = StructType([*joined.drop("_sd_spans").schema.fields, *StructType.fromDDL(f"_sd_kept binary, {SPANS}").fields])
 
     def run(batches):
         for batch in batches:
             kept, spans = [], []
-            for text, rs in zip(batch.column(place), batch.column(batch.num_columns - 1).to_pylist()):
+            for text, own in zip(batch.column(place), batch.column(last).to_pylist()):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                own = merged([(r["s"], r["e"]) for r in rs]) if rs else []
-                spans.append([{"s": s, "e": e} for s, e in own])
-                kept.append(_left_over(raw, own) if own else raw)
-            kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+                spans.append(own or [])
+                kept.append(_left_over(raw, [[r["s"], r["e"]] for r in own]) if own else raw)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(kept, pa.binary()), pa.array(spans, kind)],
+                [*batch.columns[:-1], pa.array(kept, pa.binary()), pa.array(spans, SPAN_TYPE)],
                 names=[*batch.schema.names[:-1], "_sd_kept", "_sd_spans"])
 
     return joined.mapInArrow(run, schema)

@@ -193,6 +193,59 @@ def test_extract_article_keeps_short_blocks():
     assert html_extract.extract(page).split("\n\n")[2:] == ["Short.", "term", "meaning"]
 
 
+@pytest.mark.parametrize("wrap", ['div class="with-sidebar"', 'div class="no-comments"', 'div id="search-results-page"',
+                                  'div class="page widget"', "section id=related", "form"])
+@pytest.mark.parametrize("core", ["article", "main", 'div class="c1"'])
+def test_extract_below_a_wrapper_with_a_furniture_name(wrap, core):
+    texts = [f"Paragraph {k}, with a mark, " + "and more words " * 9 + "to its end." for k in range(5)]
+    if wrap == "form" and core.startswith("div"):
+        return  # a form without an article in it is a form
+    page = (f"<body><div class=top-bar><a href=1>Home</a></div><{wrap}><{core}><h1>Title</h1>"
+            + "".join(f"<p>{t}</p>" for t in texts) + f"</{core.split()[0]}><div class=comments><p>{texts[0]}</p></div>"
+            f"</{wrap.split()[0]}><footer>All rights, reserved, for ever.</footer></body>")
+    assert html_extract.extract(page) == "\n\n".join(["Title", *texts])
+
+
+ARTICLE_WITH_LINKS = ("<article><h1>Title</h1>" + "".join(
+    f"<p>Paragraph {k}, with a mark, and <a href=x>a link</a> in it, and then some more words.</p>" for k in range(6))
+    + "<div class=z3><ul>" + "".join(f"<li><a href={k}>Another story that is told elsewhere {k}</a></li>" for k in range(5))
+    + "</ul></div><p>End.</p></article>")
+
+
+def test_path_ratios_decide_inside_an_article(monkeypatch):
+    """A list of links without any telling name goes by its path's ratio alone."""
+    texts = [f"Paragraph {k}, with a mark, and a link in it, and then some more words." for k in range(6)]
+    assert html_extract.extract(ARTICLE_WITH_LINKS) == "\n\n".join(["Title", *texts, "End."])
+    monkeypatch.setattr(html_extract, "path_ratios", lambda found: {b.path: (100.0, 1.0, 1.0) for b, _ in found})
+    assert "Another story" in html_extract.extract(ARTICLE_WITH_LINKS)
+
+
+def test_path_ratios_find_the_text_without_any_telling_tag_or_name(monkeypatch):
+    texts = [f"Paragraph {k}, with a mark, " + "and more words " * 9 + "to its end." for k in range(6)]
+    page = ("<body><div class=a1><div>Home</div><div>News</div><div>Sport</div></div><div class=b2><h2>Title</h2>"
+            + "".join(f"<p>{t}</p>" for t in texts) + "</div><div class=c3><div>About</div><div>Terms</div>"
+            "<div>Jobs</div></div></body>")
+    assert html_extract.extract(page) == "\n\n".join(["Title", *texts])
+    monkeypatch.setattr(html_extract, "path_ratios", lambda found: {b.path: (100.0, 1.0, 1.0) for b, _ in found})
+    assert "Sport" in html_extract.extract(page)
+
+
+def test_extract_leaves_a_comment_section_of_articles():
+    long = "A sentence, with marks, and then some more words. " * 3
+    page = (f"<article><p>{long}</p></article><section id=comments><article><p>{long}</p></article>"
+            f"<article class=reply><p>{long}</p></article></section>")
+    assert html_extract.extract(page) == long.strip()
+    assert html_extract.extract(page[page.index("<section"):]) == long.strip()  # no other article: the first is it
+
+
+def test_extract_repeated_rows_long_pages_and_clashing_columns(spark):
+    long = "<article>" + "<p>Words, and words. </p>" * 60_000 + "</article>"
+    rows = [(1, "u", long, "x", 1), (1, "u", long, "y", 2), (2, None, "<p>Some text here.</p>", None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    got = sorted((r.page_id, r.n_chars, r.text.count("Words")) for r in html_extract.extract_pages(df).collect())
+    assert got == [(1, 60_000 * 19 - 2, 60_000), (1, 60_000 * 19 - 2, 60_000), (2, 15, 0)]
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<p", "<!-- open", "<script>x", "plain < text", "</p></div>",
                                   "<a title=\"open>x</a>", "<div><nav>all furniture"])
 def test_extract_broken_pages(page):
@@ -340,7 +393,7 @@ def test_leaks_are_found_and_clean_texts_left(spark, documents):
     assert sorted((r.doc_id for r in left.collect()), key=str) == sorted((d for d, _ in docs if d not in gone), key=str)
 
 
-@pytest.mark.parametrize("n", [5, 8, 10, 11, 20, 60, 100, 200, 400])
+@pytest.mark.parametrize("n", [5, 8, 10, 11, 14, 15, 20, 29, 60, 100, 200, 400])
 @pytest.mark.parametrize("kinds", ["sid", "s", "i", "d"])
 def test_recall_at_the_full_bound(documents, n, kinds):
     """Items with as many edits as the bound allows, in texts of the same words."""
@@ -356,7 +409,7 @@ def test_recall_at_the_full_bound(documents, n, kinds):
             kind = rnd.choice(kinds)
             w[p:p + 1] = [] if kind == "d" else [rnd.choice(vocab)] if kind == "s" else [w[p], rnd.choice(vocab)]
         texts.append(" ".join(rnd.choices(vocab, k=30) + w + rnd.choices(vocab, k=30)))
-    bench = decontaminate.Benchmark([(i, " ".join(x)) for i, x in enumerate(items)])
+    bench = decontaminate.Benchmark(decontaminate.index_of([(i, " ".join(x)) for i, x in enumerate(items)]))
     w, bounds = decontaminate.sequence(*column_bytes(pa.array(texts)), Powers())
     found = {(row, i): (start, edits) for row, item, start, edits in bench.leaks(w, bounds) for i in bench.ids[item]}
     assert sum((i, i) in found for i in range(count)) >= 0.99 * count
@@ -366,6 +419,35 @@ def test_recall_at_the_full_bound(documents, n, kinds):
         assert edits == min(brute.edit_distance(item, text)) <= most
 
 
+def test_nothing_is_found_without_a_walk(documents):
+    """The walks alone give the candidates: with keys that match nothing no item is found, not even a copy."""
+    index = decontaminate.index_of([(1, "a b c d e f g h"), (2, " ".join(f"w{i}" for i in range(60)))])
+    w, bounds = decontaminate.sequence(*column_bytes(pa.array([" ".join(f"w{i}" for i in range(60))])), Powers())
+    assert [(i, d) for _, i, _, d in decontaminate.Benchmark(index).leaks(w, bounds)] == [(1, 0)]
+    assert decontaminate.Benchmark({**index, "keys": index["keys"] + np.uint64(1)}).leaks(w, bounds) == []
+
+
+def test_nearest_stretch():
+    rnd = random.Random(4)
+    for _ in range(200):
+        a, b = (np.array(rnd.choices(range(4), k=rnd.randint(1, 9)), np.uint64) for _ in range(2))
+        want = min(min(brute.edit_distance(a.tolist(), b[s:].tolist())) for s in range(len(b) + 1))
+        for most in (1, 9):
+            got = decontaminate.stretch(a, b, most)
+            assert got is None if want > most else \
+                got[0] == want == min(brute.edit_distance(a.tolist(), b[got[1]:].tolist()))
+
+
+def test_long_texts_items_of_one_part_and_clashing_columns(spark):
+    item = " ".join(f"w{i}" for i in range(50))
+    docs = spark.createDataFrame([(1, "x y " * 200_000 + item + " z" * 100_000, 5, "k"), (2, item[:-4], 6, None)],
+                                 "doc_id long, text string, item_id int, edits string")
+    bench = spark.createDataFrame([(9, item, "t")], "item_id long, text string, doc_id string")
+    got = sorted(tuple(r) for r in decontaminate.find_leaks(docs, bench).collect())
+    assert got == [(1, 9, 400_000, 50, 0), (2, 9, 0, 50, 1)]
+    assert decontaminate.drop_leaks(docs, bench).count() == 0
+
+
 # ---- compression classifier
 
 def test_classifier_on_held_out_rows(spark):
