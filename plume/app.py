@@ -74,14 +74,11 @@ def cmd_stream(spark: SparkSession, a) -> int:
     queries.append(SK.sink_posts(P.posts_flat(events), f"{a.out}/posts", f"{a.checkpoint}/posts",
                                  trigger=a.commit_interval, partition_by_day=a.partition_by_day))
     for name in V.VIEWS:
-        if name == "lang_post_rate_1m":  # kept by the spike view below
-            continue
         q, _ = V.start_view(name, events, f"{a.out}/{name}", f"{a.checkpoint}/{name}",
                             trigger=a.view_interval)
         queries.append(q)
-    spikes = V.SpikeView(f"{a.out}/lang_post_rate_1m", f"{a.out}/lang_spike_detector")
-    queries.append(spikes.start(events, f"{a.checkpoint}/lang_spike_detector",
-                                trigger=a.view_interval))
+    queries.append(V.start_spikes(events, f"{a.out}/lang_spike_detector", f"{a.checkpoint}/lang_spike_detector",
+                                  trigger=a.view_interval)[0])
     if a.trigger_available_now:
         for q in queries:
             q.awaitTermination()
@@ -152,12 +149,12 @@ def dashboard_panels(spark: SparkSession, out: str, as_of=None) -> dict[str, Dat
     from .operators import spikes as K
 
     def view(name: str) -> DataFrame:
-        return SK.UpsertSink(f"{out}/{name}", list(V.VIEWS[name].keys)).read(spark)
+        return SK.UpdateSink(f"{out}/{name}", list(V.VIEWS[name].keys)).read(spark)
 
     posts = RD.scan_posts(spark, f"{out}/posts")
     ppm = view("posts_per_minute_by_lang")
-    rates = SK.UpsertSink(f"{out}/lang_post_rate_1m", V.SpikeView.KEYS).read(spark)
-    spikes = SK.UpsertSink(f"{out}/lang_spike_detector", V.SpikeView.KEYS).read(spark)
+    rates = view("lang_post_rate_1m")
+    spikes = SK.UpdateSink(f"{out}/lang_spike_detector", V.SPIKE_KEYS).read(spark)
     t5 = view("trending_hashtags_5m")
     hist = M.history_hourly(posts)
     pps = view("posts_per_second")

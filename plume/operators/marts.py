@@ -2,10 +2,11 @@
 history queries of the dashboard.
 
 Scale: every aggregate is partial-then-final on (hour, language) keys; the
-24-row rolling sum runs over the *hourly* rows of each language (at most
-8,760 per language per year), so partitioning it by language is safe even
-when one language holds most posts.  The distinct-user count shuffles on
-(language, did) pairs after a map-side distinct, never on language alone.
+24-row rolling sum runs over the *hourly* rows of each language in slices of a
+year, each with the rows before it that its frames reach.  The distinct-user
+count shuffles on (language, did) pairs after a map-side distinct, never on
+language alone; where a bounded error is enough, sketches per (day, language)
+are kept and merged.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from ..functions import columns as C
 from .serving import TOP_LANGS, pivot_by_lang
 
 ROLLING_ROWS = 24
+APPROX_RSD = 0.05    #: relative standard deviation of the approximate distinct count
 
 
 def hourly(stg: DataFrame) -> DataFrame:
@@ -28,11 +30,42 @@ def hourly(stg: DataFrame) -> DataFrame:
                      .cast("long").alias("long_posts")))
 
 
+def rolling_sum(rows: DataFrame, keys: list[str], order: str, value: str, name: str,
+                frame: int = ROLLING_ROWS, slice_of=None) -> DataFrame:
+    """SUM(value) over the last ``frame`` present rows per key, in slices with a halo.
+
+    ``slice_of`` gives the slice of a row, rising with ``order`` (default: the
+    year).  Frames count present rows, which may lie any time back, so a slice's
+    halo is the last ``frame - 1`` rows of *all* before it: each slice keeps its
+    last rows only, and those are handed on over slices that are too short.
+    """
+    own = F.coalesce(F.year(order), F.lit(-1)) if slice_of is None else slice_of  # rows without a time are the oldest
+    sliced = rows.withColumn("_slice", own)
+    newest = Window.partitionBy(*keys, "_slice").orderBy(F.col(order).desc())
+    tails = sliced.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") < frame)
+    # per key and slice: its number of tail rows, and the next slices until frame - 1 rows lie between
+    held = tails.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(1, frame)
+    next_slices = held.withColumn("_next", F.collect_list(F.struct("_slice", "_n")).over(ahead))
+    reach = next_slices.select(*keys, F.col("_slice").alias("_from"), F.posexplode("_next").alias("_k", "_to"),
+                               F.col("_next").alias("_all")) \
+        .select(*keys, "_from", F.col("_to._slice").alias("_slice"),
+                F.aggregate(F.slice("_all", F.lit(1), F.col("_k")), F.lit(0).cast("long"),
+                            lambda acc, x: acc + x["_n"]).alias("_between")) \
+        .filter(F.col("_between") < frame - 1)
+    lent = (tails.withColumnRenamed("_slice", "_from")
+            .join(reach.select(*[F.col(k).alias(f"_r_{k}") for k in keys], F.col("_from").alias("_r_from"), "_slice", "_between"),
+                  [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys] + [F.col("_from") == F.col("_r_from")])
+            .filter(F.col("_back") < frame - F.col("_between"))
+            .select(*rows.columns, "_slice", F.lit(False).alias("_own")))
+    both = sliced.withColumn("_own", F.lit(True)).select(*rows.columns, "_slice", "_own").unionByName(lent)
+    w = Window.partitionBy(*keys, "_slice").orderBy(order).rowsBetween(-(frame - 1), Window.currentRow)
+    return both.withColumn(name, F.sum(value).over(w).cast("long")).filter("_own").drop("_slice", "_own")
+
+
 def fct_posts_hourly(stg: DataFrame) -> DataFrame:
     """Hourly facts + SUM(post_count) over the 24 most recent *present* rows."""
-    w = (Window.partitionBy("primary_lang").orderBy("hour_bucket")
-               .rowsBetween(-(ROLLING_ROWS - 1), Window.currentRow))
-    return hourly(stg).withColumn("rolling_24h_count", F.sum("post_count").over(w).cast("long"))
+    return rolling_sum(hourly(stg), ["primary_lang"], "hour_bucket", "post_count", "rolling_24h_count")
 
 
 def on_or_after(df: DataFrame, since) -> DataFrame:
@@ -81,7 +114,7 @@ def dim_languages(stg: DataFrame, approx: bool = False) -> DataFrame:
     ``approx=True`` swaps the exact distinct for HyperLogLog++, which is
     what a stream can maintain.
     """
-    users = (F.approx_count_distinct("did") if approx else F.countDistinct("did"))
+    users = (F.approx_count_distinct("did", APPROX_RSD) if approx else F.countDistinct("did"))
     return (stg.filter(F.col("primary_lang").isNotNull())
                .groupBy(F.col("primary_lang").alias("lang_code"))
                .agg(F.min("event_time").alias("first_seen"),
@@ -120,6 +153,43 @@ def dim_from_user_days(user_days: DataFrame) -> DataFrame:
                          F.count(F.lit(1)).alias("distinct_users")))
 
 
+HLL_LG_K = 12
+#: three standard errors of a HyperLogLog sketch of 2^12 registers (1.04 / sqrt(2^12) each)
+HLL_BOUND = 3 * 1.04 / 2 ** (HLL_LG_K / 2)
+
+
+def lang_day_sketches(stg: DataFrame) -> DataFrame:
+    """Per (day, language): first and last post, posts, and a mergeable sketch of the users.
+
+    The bounded form of ``lang_user_days``: a few KB per day and language instead
+    of a row per user, so a day can be rewritten alone and any range of days
+    merged.
+    """
+    return (stg.filter(F.col("primary_lang").isNotNull())
+               .groupBy(F.to_date("event_time").alias("event_date"), F.col("primary_lang").alias("lang_code"))
+               .agg(F.min("event_time").alias("first_seen"), F.max("event_time").alias("last_seen"),
+                    F.count(F.lit(1)).alias("total_posts"),
+                    F.hll_sketch_agg("did", HLL_LG_K).alias("users")))
+
+
+def dim_from_sketches(days: DataFrame) -> DataFrame:
+    """dim_languages from per-day sketches: distinct users within ``HLL_BOUND`` of the exact number."""
+    return days.groupBy("lang_code").agg(
+        F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
+        F.sum("total_posts").cast("long").alias("total_posts"),
+        F.hll_sketch_estimate(F.hll_union_agg("users")).alias("distinct_users"))
+
+
+def users_within_bound(approx: DataFrame, exact: DataFrame, bound: float) -> DataFrame:
+    """Per language the exact number of users, and whether the estimate is within ``bound`` of it."""
+    e = exact.select("lang_code", "first_seen", "last_seen", "total_posts", "distinct_users")
+    a = approx.select("lang_code", F.col("distinct_users").alias("estimate"), F.col("total_posts").alias("posts"))
+    off = F.abs(F.col("estimate") - F.col("distinct_users"))
+    ok = (off <= F.greatest(F.lit(1.0), bound * F.col("distinct_users"))) & (F.col("posts") == F.col("total_posts"))
+    return (e.join(a, "lang_code", "full_outer")
+            .select("lang_code", "total_posts", "distinct_users", F.coalesce(ok, F.lit(False)).alias("within_bound")))
+
+
 def history_hourly(posts: DataFrame) -> DataFrame:
     """COUNT per (hour, language) of the landed table; non-empty language,
     no test markers; NULL text is kept."""

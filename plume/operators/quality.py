@@ -68,11 +68,17 @@ def row_counts(frames: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def sink_files(df: DataFrame) -> DataFrame:
+    """Per file behind a file-backed table: path, size and rows, from the scan's hidden metadata."""
+    return (df.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("bytes"))
+              .groupBy("file", "bytes").agg(F.count(F.lit(1)).alias("rows")))
+
+
 def sink_file_count(df: DataFrame) -> DataFrame:
-    """Number of Parquet files behind a file-backed table (distinct input
-    files, counted by the executors)."""
-    return df.select(F.input_file_name().alias("f")).agg(
-        F.countDistinct("f").alias("parquet_file_count"))
+    """One row: Parquet files behind a file-backed table, their rows, and rows of the smallest and largest."""
+    return sink_files(df).agg(F.count(F.lit(1)).alias("parquet_file_count"),
+                              F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"),
+                              F.min("rows").alias("least_rows"), F.max("rows").alias("most_rows"))
 
 
 def topic_offsets(landed: DataFrame) -> DataFrame:

@@ -113,19 +113,53 @@ def fault_summary(log: DataFrame) -> DataFrame:
     return log.filter(F.col("event") == "scenario_start").select("ts", "name")
 
 
-def same_multiset(a: DataFrame, b: DataFrame) -> DataFrame:
+FINGERPRINT_BUCKETS = 256
+
+
+def _row_hashes(df: DataFrame, buckets: int) -> DataFrame:
+    """Two 64-bit hashes of every whole row, and its bucket.
+
+    Rows are hashed as JSON with explicit NULLs: a hash over columns skips
+    NULLs, so it could not tell (NULL, x) from (x, NULL).
+    """
+    row = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    return (df.withColumn("_row", row)
+              .withColumn("_h1", F.xxhash64("_row")).withColumn("_h2", F.xxhash64(F.lit("second"), F.col("_row")))
+              .withColumn("_bucket", F.pmod("_h1", F.lit(buckets)).cast("int")).drop("_row"))
+
+
+def fingerprint(df: DataFrame, buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
+    """Order-free fingerprint of the rows: per bucket their number and the sums of both hashes.
+
+    Sums do not depend on order and add up over tasks, so a task shuffles at
+    most one row per bucket, however wide or many its rows are.
+    """
+    wide = "decimal(38,0)"
+    return (_row_hashes(df, buckets).groupBy("_bucket")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_h1").cast(wide)).alias("s1"),
+                 F.sum(F.col("_h2").cast(wide)).alias("s2")))
+
+
+def same_multiset(a: DataFrame, b: DataFrame, buckets: int = FINGERPRINT_BUCKETS) -> DataFrame:
     """One row: sizes of both sides and whether they are equal as multisets.
 
-    Rows are tagged by side, unioned and grouped on every column: one
-    shuffle with map-side partial sums, so a value repeated in a third of
-    all rows reaches its reducer as one row per map task, and no rows are
-    replicated (``exceptAll`` both ways would shuffle twice and re-expand
-    duplicates).
+    Fingerprints first; where all buckets agree the sides are equal (up to the
+    collision of two independent 64-bit sums).  Only the rows of buckets that
+    differ are compared exactly, grouped on all columns with a count per side.
     """
+    spark = a.sparkSession
+    fa, fb = fingerprint(a, buckets), fingerprint(b, buckets)
+    both = fa.select("_bucket", F.struct("n", "s1", "s2").alias("x")).join(
+        fb.select("_bucket", F.struct("n", "s1", "s2").alias("y")), "_bucket", "full_outer")
+    rows = both.select("_bucket", F.coalesce("x.n", F.lit(0)).alias("na"), F.coalesce("y.n", F.lit(0)).alias("nb"),
+                       F.col("x").eqNullSafe(F.col("y")).alias("same")).collect()  # a row per bucket
+    sent, received = sum(r.na for r in rows), sum(r.nb for r in rows)
+    differ = [r._bucket for r in rows if not r.same]
+    counts = f"{sent}L AS sent", f"{received}L AS received"
+    if not differ:
+        return spark.range(1).selectExpr(*counts, "true AS match")
     cols = a.columns
-    tagged = (a.select(*cols, F.lit(1).alias("_in_a"), F.lit(0).alias("_in_b"))
-               .unionByName(b.select(*cols, F.lit(0).alias("_in_a"), F.lit(1).alias("_in_b"))))
-    per_row = tagged.groupBy(*cols).agg(F.sum("_in_a").alias("na"), F.sum("_in_b").alias("nb"))
-    return per_row.agg(F.coalesce(F.sum("na"), F.lit(0)).cast("long").alias("sent"),
-                       F.coalesce(F.sum("nb"), F.lit(0)).cast("long").alias("received"),
-                       (F.count_if(F.col("na") != F.col("nb")) == 0).alias("match"))
+    sides = [_row_hashes(df.select(*cols), buckets).filter(F.col("_bucket").isin(differ)).select(
+        *cols, F.lit(ia).alias("_in_a"), F.lit(1 - ia).alias("_in_b")) for df, ia in ((a, 1), (b, 0))]
+    per_row = sides[0].unionByName(sides[1]).groupBy(*cols).agg(F.sum("_in_a").alias("na"), F.sum("_in_b").alias("nb"))
+    return per_row.agg((F.count_if(F.col("na") != F.col("nb")) == 0).alias("match")).selectExpr(*counts, "match")

@@ -6,10 +6,10 @@ a - 60 min <= b <= a - 1 min; no such b means no row; spiking when
 a > 2 x that average (strict).
 
 Batch plan: a RANGE window frame [-60, -1] minutes over the per-minute
-counts, partitioned by language: one shuffle, no join and no pair
-expansion.  The partitions hold aggregated rows (at most 1,440 per language
-per day), so a language holding a third of all posts costs no more than any
-other.  The join form is kept as an exact cross-check
+counts, partitioned by (language, day): one shuffle, no join and no pair
+expansion.  A day's partition also gets the last hour of the day before (its
+halo), which is all that a frame can reach, so the history of a language is as
+many tasks as it has days, of at most 1,500 rows each.  The join form is kept as an exact cross-check
 (``spike_detector_join``): each b row is fanned out to the 60 minutes it
 serves and joined on equality, so the work is bounded by 60 x the number of
 per-minute rows, never by the square of a language's row count.
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 
 LOOKBACK_MIN = 60
+SLICE_MIN = 24 * 60     #: minutes of a language in one window partition
 
 
 def _minute_index(col: str = "minute_bucket"):
@@ -32,13 +33,16 @@ def _minute_index(col: str = "minute_bucket"):
 def spike_stats(rate: DataFrame) -> DataFrame:
     """rate (minute_bucket, lang, posts_in_minute) + trailing-hour sum/count;
     rows without a prior minute in the hour are dropped (inner-join rule)."""
-    w = (Window.partitionBy("lang").orderBy("m")
+    w = (Window.partitionBy("lang", "slice").orderBy("m")
                .rangeBetween(-LOOKBACK_MIN, -1))
+    own = C.floor_div(F.col("m"), SLICE_MIN)
+    halo = F.when(F.pmod("m", F.lit(SLICE_MIN)) >= SLICE_MIN - LOOKBACK_MIN, F.array(own, own + 1)).otherwise(F.array(own))
     return (rate.withColumn("m", _minute_index())
+                .withColumn("slice", F.explode(halo))
                 .withColumn("hr_sum", F.sum("posts_in_minute").over(w))
                 .withColumn("hr_cnt", F.count("posts_in_minute").over(w))
-                .filter(F.col("hr_cnt") > 0)
-                .drop("m"))
+                .filter((F.col("hr_cnt") > 0) & (F.col("slice") == own))
+                .drop("m", "slice"))
 
 
 def _finish(stats: DataFrame) -> DataFrame:

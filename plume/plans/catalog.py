@@ -8,6 +8,7 @@ table's own timestamps (``slow``); the streaming views use the squeezed
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,7 @@ from ..operators import stats as ST
 from ..session import prepare, scratch_path
 from ..sources import fixtures as FX
 from ..sources import readers as RD
+from ..streaming import sinks as SK
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -182,14 +184,87 @@ def _topic_offsets(spark, sf_dir):
     return Q.topic_offsets(ev.select((id_ % 4).alias("partition"), C.floor_div(id_, 4).alias("offset")))
 
 
-def _fault_summary(spark, sf_dir):
-    """Scenario starts of a fault log made of the error events."""
-    prepare(spark)
+def _fault_log(spark, sf_dir):
+    """A fault log made of the events, errors as scenario starts."""
     ev = FX.table(spark, sf_dir, "events")
     event = F.when(F.col("event_type") == "error", F.lit("scenario_start")).otherwise(F.col("event_type"))
-    return X.fault_summary(ev.select(
+    return ev.select(
         F.date_format(F.col("ts").cast("timestamp"), FX.ISO_FORMAT).alias("ts"), event.alias("event"),
-        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("name")))
+        F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("name"))
+
+
+def _fault_summary(spark, sf_dir):
+    """Scenario starts of a fault log made of the error events."""
+    prepare(spark)
+    return X.fault_summary(_fault_log(spark, sf_dir))
+
+
+def _dim_sketch(spark, sf_dir):
+    """Users per language from day sketches that are written and read back, against the exact number."""
+    s = stg(spark, sf_dir)
+    out = scratch_path(spark, "lang-day-sketches") + "/t"
+    M.lang_day_sketches(s).write.partitionBy("event_date").parquet(out)
+    return M.users_within_bound(M.dim_from_sketches(spark.read.parquet(out)), M.dim_languages(s), M.HLL_BOUND)
+
+
+def _dim_approx(spark, sf_dir):
+    """HyperLogLog++ users per language against the exact number."""
+    s = stg(spark, sf_dir)
+    return M.users_within_bound(M.dim_languages(s, approx=True), M.dim_languages(s), 3 * M.APPROX_RSD)
+
+
+def _tag_sketches(spark, sf_dir):
+    """Top tags per hop window from merged pane sketches, against the exact counts."""
+    r = fast(spark, sf_dir)
+    return H.sketch_agrees(H.top_from_sketches(H.tag_sketches(r)), H.trending_hashtags_1h_hop(r))
+
+
+def _sink_files(spark, sf_dir):
+    """Files and rows of a sink written with a fixed number of files."""
+    out = scratch_path(spark, "sink-files") + "/t"
+    posts(spark, sf_dir).repartition(8).write.parquet(out)
+    return Q.sink_file_count(RD.scan_posts(spark, out)).select("parquet_file_count", "rows")
+
+
+def _posts_table(spark, sf_dir):
+    """The landed table by its catalogue name: created, filled, scanned."""
+    prepare(spark)
+    name = f"default.plume_posts_{uuid.uuid4().hex[:12]}"
+    SK.ensure_posts_table(spark, name, scratch_path(spark, "posts-table"))
+    posts(spark, sf_dir).write.insertInto(name)
+    return RD.scan_posts(spark, name)
+
+
+def _materialized(spark, sf_dir):
+    """The language mart as a table over the staging view."""
+    name = f"plume_{uuid.uuid4().hex[:12]}"
+    staging = SK.materialize(stg(spark, sf_dir), f"{name}_stg", "view")
+    return SK.materialize(M.dim_languages(staging), f"{name}_dim", "table", scratch_path(spark, "mart-table") + "/t")
+
+
+def _expected_file(spark, sf_dir):
+    """The ground-truth file: ids of landed markers written one a line, read back as a set."""
+    out = scratch_path(spark, "expected-file") + "/t"
+    SK.write_expected(X.expected_from_landed(posts(spark, sf_dir)), out)
+    return RD.read_expected(spark, out)
+
+
+def _fault_log_file(spark, sf_dir):
+    """Scenario starts read from a fault log file of JSON lines with blank ones between."""
+    prepare(spark)
+    out = scratch_path(spark, "fault-log") + "/t"
+    line = F.to_json(F.struct(*_fault_log(spark, sf_dir).columns))
+    _fault_log(spark, sf_dir).select(F.concat(line, F.lit("\n")).alias("value")).write.text(out)
+    return X.fault_summary(RD.read_fault_log(spark, out))
+
+
+def _made_markers(spark, sf_dir):
+    """As many marker events as there are signups, through the decoder and the flattening."""
+    prepare(spark)
+    n = FX.table(spark, sf_dir, "events").filter(F.col("event_type") == "signup").count()
+    made = X.make_markers(spark, n)
+    sent = made.select(F.to_json(F.struct(*made.columns)).alias("value"))
+    return P.posts_flat(RD.decode_events(sent))
 
 
 def _lateness_csv(spark, sf_dir):
@@ -205,7 +280,15 @@ BATCH: dict[str, Builder] = {
     "fault_summary": _fault_summary,
     "lateness_csv": _lateness_csv,
     "event_age_series": lambda s, d: V.ordered_series(_age(s, d), "lateness_seconds"),
-    "dim_languages_approx": lambda s, d: M.dim_languages(stg(s, d), approx=True),
+    "dim_languages_approx": _dim_approx,
+    "dim_languages_sketch": _dim_sketch,
+    "sink_file_count": _sink_files,
+    "posts_table_scan": _posts_table,
+    "materialized_mart": _materialized,
+    "expected_file": _expected_file,
+    "fault_log_file": _fault_log_file,
+    "made_markers": _made_markers,
+    "top_hashtags_sketch": _tag_sketches,
     # landed table and marts
     "posts_flat": posts,
     "stg_posts": stg,

@@ -14,13 +14,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import hashtags as H
+from ..operators import marts as M
 from ..operators import posts as P
+from ..operators import rates as R
 from ..operators import reconcile as X
+from ..operators import stats as ST
 from ..session import prepare, scratch_path
 from ..sources import fixtures as FX
 from ..sources import readers as RD
-from ..streaming.restart import land_with_restart
-from ..streaming.views import SpikeView, _append, event_stream, start_landing, start_posts_flat, start_view
+from ..streaming.restart import land_with_kill, land_with_restart
+from ..streaming.views import (_append, dedupe_untimed, event_stream, start_landing, start_posts_flat,
+                               start_spike_join_pipeline, start_spikes, start_view)
 
 _SOURCES: dict[tuple, str] = {}
 TIMEOUT_S = 600
@@ -74,10 +79,10 @@ def _await(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-def stream_view(name: str):
+def stream_view(name: str, clock: str = "fast"):
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
-        ev = _events(spark, sf_dir, "fast")
+        ev = _events(spark, sf_dir, clock)
         q, sink = start_view(name, ev, scratch_path(spark, f"view-{name}"),
                              scratch_path(spark, f"ckpt-{name}"), trigger="availableNow")
         _await(q)
@@ -104,16 +109,23 @@ def stream_view_batches(name: str):
     return build
 
 
+def _spikes(spark: SparkSession, events: DataFrame) -> DataFrame:
+    q, sink = start_spikes(events, scratch_path(spark, "spikes"), scratch_path(spark, "ckpt-spikes"),
+                           trigger="availableNow")
+    _await(q)
+    return sink.read(spark).select("minute_bucket", "lang", "posts_in_minute", "rolling_hr_avg", "is_spiking")
+
+
+def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spike view from keyed state."""
+    prepare(spark)
+    return _spikes(spark, _events(spark, sf_dir, "fast"))
+
+
 def stream_spikes_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stacked spike view over 8 micro-batches with compaction every 3."""
+    """The same over 8 micro-batches: counts carried in the state, rows of earlier minutes emitted again."""
     prepare(spark)
-    view = SpikeView(scratch_path(spark, "ratesb"), scratch_path(spark, "spikesb"),
-                     compact_every=3)
-    q = view.start(_batched_events(spark, sf_dir), scratch_path(spark, "ckptb-spikes"),
-                   trigger="availableNow")
-    _await(q)
-    return view.read(spark).select("minute_bucket", "lang", "posts_in_minute",
-                                   "rolling_hr_avg", "is_spiking")
+    return _spikes(spark, _batched_events(spark, sf_dir))
 
 
 def stream_posts_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -135,14 +147,19 @@ def stream_land_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedupe_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replays dropped in the stream, one row per delivery."""
+    """Replays dropped in the stream, one row per delivery: timed events within
+    the watermark, those without a time by their own query."""
     prepare(spark)
-    events = event_stream(RD.read_raw_stream(spark, fmt="files", path=json_source(spark, sf_dir, "slow")))
-    timed = events.filter(F.col("event_time").isNotNull())  # the watermark bounds the state by time
-    out = scratch_path(spark, "deduped")
-    once = P.dedupe_posts(timed).select(*P.EVENT_KEY)
-    _await(_append(once, out, scratch_path(spark, "ckpt-deduped"), "availableNow"))
-    return spark.read.parquet(out)
+
+    def events():
+        return event_stream(RD.read_raw_stream(spark, fmt="files", path=json_source(spark, sf_dir, "slow")))
+    timed, untimed = scratch_path(spark, "deduped"), scratch_path(spark, "deduped-untimed")
+    once = P.dedupe_posts(events().filter(F.col("event_time").isNotNull())).select(*P.EVENT_KEY)
+    _await(_append(once, timed, scratch_path(spark, "ckpt-deduped"), "availableNow"))
+    _await(_append(dedupe_untimed(event_stream(RD.read_raw_stream(
+        spark, fmt="files", path=json_source(spark, sf_dir, "slow")), watermark=False)), untimed,
+        scratch_path(spark, "ckpt-untimed"), "availableNow"))
+    return spark.read.parquet(timed).unionByName(spark.read.parquet(untimed))
 
 
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,14 +186,63 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark)
 
 
-def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
+JOIN_HOLDBACK = "INTERVAL 70 MINUTES"   #: the join's hour, its watermark delay and the rates' own, rounded up
+
+
+def stream_spikes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The literal self-join of two streams of closed minutes, in append mode.
+
+    Append mode holds back what is not final, so the answer is the minutes that
+    are ``JOIN_HOLDBACK`` older than the newest one.
+    """
+    prepare(spark)
+    rates, spikes = scratch_path(spark, "join-rates"), scratch_path(spark, "join-spikes")
+    q, second = start_spike_join_pipeline(_events(spark, sf_dir, "fast"), rates, spikes, scratch_path(spark, "ckpt-join-1"),
+                                          scratch_path(spark, "ckpt-join-2"), trigger="availableNow")
+    _await(q)
+    _await(second())
+    newest = R.lang_post_rate_1m(RD.with_event_time(FX.raw_events(spark, sf_dir, "fast", with_documents=False))) \
+        .select(F.max("minute_bucket")).scalar()
+    return spark.read.parquet(spikes).filter(F.col("minute_bucket") <= newest - F.expr(JOIN_HOLDBACK))
+
+
+def stream_top_hashtags_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top tags per hop window from sketches that the stream keeps up, against the exact counts."""
+    panes = stream_view("tag_sketches")(spark, sf_dir)
+    exact = H.trending_hashtags_1h_hop(RD.with_event_time(FX.raw_events(spark, sf_dir, "fast")))
+    return H.sketch_agrees(H.top_from_sketches(panes), exact)
+
+
+def stream_dim_languages_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users per language from day sketches that the stream keeps up, against the exact number of timed posts."""
+    days = stream_view("lang_day_sketches", "slow")(spark, sf_dir)
+    posts = P.posts_flat(FX.raw_events(spark, sf_dir, "slow")).filter(F.col("time_us").isNotNull())
+    return M.users_within_bound(M.dim_from_sketches(days), M.dim_languages(P.stg_posts(posts)), M.HLL_BOUND)
+
+
+def stream_ingest_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events and payload bytes as the landing query itself observed them, summed over its micro-batches."""
     prepare(spark)
-    ev = _events(spark, sf_dir, "fast")
-    view = SpikeView(scratch_path(spark, "rates"), scratch_path(spark, "spikes"))
-    q = view.start(ev, scratch_path(spark, "ckpt-spikes"), trigger="availableNow")
+    values = RD.read_raw_stream(spark, fmt="files", path=json_source(spark, sf_dir, "slow"))
+    q = _append(ST.observe_ingest(values), scratch_path(spark, "observed"), scratch_path(spark, "ckpt-observed"),
+                "availableNow")
     _await(q)
-    return view.read(spark).select("minute_bucket", "lang", "posts_in_minute",
-                                   "rolling_hr_avg", "is_spiking")
+    seen = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p.get("observedMetrics")]
+    return spark.createDataFrame([(sum(m["events"] or 0 for m in seen), sum(m["bytes"] or 0 for m in seen))],
+                                 "events long, bytes long")
+
+
+def stream_exactly_once_killed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land the posts with the driver process killed in mid-batch, restart on its checkpoint, reconcile.
+
+    ``left_files``: did the dead attempt leave files that the restart had to pass over?
+    """
+    prepare(spark)
+    src = json_source(spark, sf_dir, "slow", files=max(32, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    landed, left = land_with_kill(spark, src, scratch_path(spark, "posts-killed"), scratch_path(spark, "ckpt-killed"),
+                                  timeout_s=TIMEOUT_S)
+    rec = X.reconcile(FX.expected_markers(spark, sf_dir), X.marker_counts(landed))
+    return X.reconcile_report(rec).withColumn("left_files", F.lit(left > 0))
 
 
 def stream_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,13 +268,20 @@ STREAM = {
     "stream_trending_hashtags_1h_hop": stream_view("trending_hashtags_1h_hop"),
     "stream_lang_spike_detector": stream_spikes,
     "stream_exactly_once": stream_exactly_once,
+    "stream_exactly_once_killed": stream_exactly_once_killed,
+    "stream_spikes_join": stream_spikes_join,
+    "stream_top_hashtags_sketch": stream_top_hashtags_sketch,
+    "stream_dim_languages_sketch": stream_dim_languages_sketch,
+    "stream_ingest_stats": stream_ingest_stats,
     "stream_trending_hashtags_5m_batches": stream_view_batches("trending_hashtags_5m"),
     "stream_lang_spike_detector_batches": stream_spikes_batches,
 }
 
-# Stream twin -> batch oracle with the same answer (the per-minute twin has its own).
+# Stream twin -> batch oracle with the same answer (others have their own).
 STREAM_ORACLE = {
     "stream_land_raw": "land_raw",
+    "stream_dedupe_posts": "dedupe_posts",
+    "stream_top_hashtags_sketch": "top_hashtags_sketch",
     "stream_late_rows": "posts_per_second",
     "stream_posts_flat": "posts_flat",
     "stream_posts_per_second": "posts_per_second",

@@ -3,11 +3,18 @@
 Markers and posts are streamed into the append-only posts sink; the query is
 stopped while it still has input to read, then restarted on the same
 checkpoint; finally the landed table is reconciled against the expected ids.
+``land_with_kill`` is the hard form: the writing process is killed in mid-batch.
 With exactly-once delivery the report says PASS (no duplicate, no missing).
 """
 
 from __future__ import annotations
 
+import os
+import signal
+import subprocess
+import sys
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +27,6 @@ def _run_until_progress(q: StreamingQuery, batches: int, timeout_s: float,
                         idle_s: float = 5.0) -> None:
     """Wait until ``q`` has run ``batches`` micro-batches with data, or has
     had no new data for ``idle_s`` seconds (input drained), or timed out."""
-    import time
     start = time.time()
     last_seen, last_change = 0, start
     while time.time() < start + timeout_s and q.isActive:
@@ -75,6 +81,72 @@ def land_with_restart(spark: SparkSession, source_dir: str, out_path: str, check
     return RD.scan_posts(spark, out_path)
 
 
+def part_files(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the data files in a folder, committed or not, on any file system Spark reads."""
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        return set()
+    return {f.getPath().getName() for f in system.listStatus(path) if f.getPath().getName().startswith("part-")}
+
+
+def committed_files(spark: SparkSession, folder: str) -> set[str]:
+    """Names of the data files that the sink's commit log holds."""
+    jvm = spark._jvm
+    log = jvm.org.apache.hadoop.fs.Path(f"{folder}/_spark_metadata")
+    if not log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        return set()
+    return {f.rsplit("/", 1)[1] for f in RD.scan_posts(spark, folder).inputFiles()}
+
+
+def _child(source_dir: str, out_path: str, checkpoint: str, files_per_batch: int) -> None:
+    """The process that gets killed: land posts until then."""
+    from ..session import build_session
+    spark = build_session("local[2]", app="plume-killed", shuffle_partitions=2)
+    events = event_stream(RD.read_raw_stream(spark, fmt="files", path=source_dir, max_files_per_trigger=files_per_batch))
+    start_posts_flat(events, out_path, checkpoint, trigger="0 seconds").awaitTermination()
+
+
+def land_with_kill(spark: SparkSession, source_dir: str, out_path: str, checkpoint: str, files_per_batch: int = 8,
+                   kills: int = 5, timeout_s: float = 300.0) -> tuple[DataFrame, int]:
+    """Land posts_flat with the writing driver killed in mid-batch, then drain the rest on its checkpoint.
+
+    Another process (driver, JVM and tasks) lands the posts; once files of a
+    batch stand in the folder that its commit log does not have yet, the whole
+    process group is killed without notice.  A kill that came after the commit is
+    repeated with a new process, ``kills`` times at most.  Returns the landed
+    table and the number of files that dead attempts left: the commit log passes
+    over them, and the restarted query writes the batch again.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = {**os.environ, "PYTHONPATH": os.pathsep.join([root, os.environ.get("PYTHONPATH", "")])}
+    for _ in range(kills):
+        child = subprocess.Popen([sys.executable, "-m", "plume.streaming.restart", source_dir, out_path, checkpoint,
+                                  str(files_per_batch)], env=env, start_new_session=True,
+                                 stdout=subprocess.DEVNULL, stderr=subprocess.DEVNULL)
+        try:
+            deadline = time.time() + timeout_s
+            # the file system's names first, the log after: a file that is in neither is not yet written
+            while not (part_files(spark, out_path) - committed_files(spark, out_path)):
+                if child.poll() is not None or time.time() > deadline:
+                    raise RuntimeError("the landing process ended or wrote nothing before it could be killed")
+                time.sleep(0.02)
+        finally:
+            os.killpg(child.pid, signal.SIGKILL)
+            child.wait()
+        left = part_files(spark, out_path) - committed_files(spark, out_path)
+        if left:
+            break
+    q = start_posts_flat(event_stream(RD.read_raw_stream(spark, fmt="files", path=source_dir)), out_path, checkpoint,
+                         trigger="availableNow")
+    q.awaitTermination(timeout_s)
+    if q.isActive:
+        q.stop()
+        raise TimeoutError("restart run did not drain its input")
+    return RD.scan_posts(spark, out_path), len(left)
+
+
 def exactly_once_run(spark: SparkSession, n: int, files: int = 40, stop_after_batches: int = 2,
                      timeout_s: float = 600.0, stops: int = 3) -> DataFrame:
     """The reference's end-to-end check at its own scale: n marker events are
@@ -101,3 +173,7 @@ def exactly_once_run(spark: SparkSession, n: int, files: int = 40, stop_after_ba
                                stops=stops, stopped=stopped)
     report = X.reconcile_report(X.reconcile(delivered, X.marker_counts(landed)))
     return report.withColumn("stops", F.lit(len(stopped)))
+
+
+if __name__ == "__main__":
+    _child(*sys.argv[1:4], int(sys.argv[4]))

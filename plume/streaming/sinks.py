@@ -4,11 +4,9 @@
   Exactly once: the file sink commits each micro-batch in its own log,
   keyed by the batch id, and the checkpoint binds that id to the source
   offsets, so a restart neither loses nor repeats a batch.
-* ``UpsertSink``: the writer for update-mode views.  The Parquet sink takes
-  append only and MERGE needs a table format; so each micro-batch's updated
-  rows are written to ``batch_id=N`` with overwrite (a replayed batch
-  rewrites the same folder), and readers take the latest version of each
-  key (one partial-then-final aggregate on the key).
+* ``UpdateSink``: the writer for update-mode views.  Parquet takes no updates, so
+  a micro-batch's rows are one partition of one table, and readers take the
+  newest row of each key.  On a table format, ``merge_batch`` updates in place.
 """
 
 from __future__ import annotations
@@ -66,120 +64,59 @@ def sink_posts(flat: DataFrame, path: str, checkpoint: str, trigger: str | None
     return w.option("path", path).start()
 
 
-class UpsertSink:
-    """Idempotent keyed sink for ``update`` mode (see module docstring).
+class UpdateSink:
+    """Update-mode rows of a keyed view: one Parquet table, a partition per micro-batch.
 
-    Layout: ``<path>/batch_id=N/`` holds the rows a micro-batch changed and
-    ``<path>/_batch_commits/batch_id=N/`` marks it complete;
-    ``<path>/_snapshots/upto=N/`` holds the latest version of every key as of
-    batch N (written by ``compact``; the leading underscore keeps it out of
-    partition discovery of ``<path>``).  A reader takes the newest snapshot
-    plus the batch folders after it, so read cost stays bounded by the
-    snapshot and the batches since, however long the stream has run.
+    A batch is written by a dynamic overwrite of its own ``batch_id`` partition, so
+    a replayed batch replaces itself and a write that fails changes nothing.  A
+    reader takes the row of the largest ``batch_id`` per key.
     """
 
     def __init__(self, path: str, keys: list[str]):
-        self.path = path.rstrip("/")
-        self.keys = keys
-
-    @property
-    def snapshot_root(self) -> str:
-        return f"{self.path}/_snapshots"
-
-    @property
-    def commit_root(self) -> str:
-        return f"{self.path}/_snapshot_commits"
-
-    @property
-    def batch_commit_root(self) -> str:
-        return f"{self.path}/_batch_commits"
+        self.path, self.keys = path.rstrip("/"), keys
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
-        """Rows of one micro-batch, then its commit marker (both idempotent
-        overwrites, so a replayed batch rewrites both)."""
-        df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        df.sparkSession.range(1).select(F.lit(True).alias("committed")) \
-          .write.mode("overwrite").parquet(f"{self.batch_commit_root}/batch_id={batch_id}")
-
-    @staticmethod
-    def _if_there(spark: SparkSession, path: str) -> DataFrame | None:
-        """The Parquet folder, or None where it does not exist; any other failure is an error."""
-        try:
-            return spark.read.parquet(path)
-        except AnalysisException as ex:
-            if ex.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-
-    def _last_committed_batch(self, spark: SparkSession) -> int | None:
-        commits = self._if_there(spark, self.batch_commit_root)
-        return None if commits is None else commits.select(F.max("batch_id")).first()[0]
+        (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
+           .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(self.path))
 
     def start(self, view: DataFrame, checkpoint: str, trigger: str | None = None,
-              query_name: str | None = None, compact_every: int | None = None) -> StreamingQuery:
-        def write(df: DataFrame, batch_id: int) -> None:
-            self.write_batch(df, batch_id)
-            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                self.compact(df.sparkSession, batch_id)
-
-        w = (view.writeStream.outputMode("update")
-                 .option("checkpointLocation", checkpoint)
-                 .foreachBatch(write))
+              query_name: str | None = None) -> StreamingQuery:
+        w = (view.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+                 .foreachBatch(self.write_batch))
         if query_name:
             w = w.queryName(query_name)
         return _trigger(w, trigger).start()
 
-    def _latest_snapshot(self, spark: SparkSession) -> int | None:
-        """Newest *committed* snapshot: a snapshot counts only once its commit
-        marker exists, and the marker is written after the snapshot's write
-        job has finished, so a snapshot cut short by a failure is ignored."""
-        commits = self._if_there(spark, self.commit_root)
-        # one number (partition values come from the folder listing)
-        return None if commits is None else commits.select(F.max("upto")).first()[0]
-
-    def _versions(self, spark: SparkSession, upto: int | None = None) -> DataFrame:
-        # micro-batches run one after another, so every batch up to the last
-        # committed one is complete; a batch still being written is skipped
-        last = self._last_committed_batch(spark)
-        if last is None:
-            raise FileNotFoundError(self.path)
-        upto = last if upto is None else min(upto, last)
-        batches = spark.read.parquet(self.path)
-        snap = self._latest_snapshot(spark)
-        if snap is not None:
-            batches = batches.filter(F.col("batch_id") > snap)
-            base = (spark.read.parquet(f"{self.snapshot_root}/upto={snap}")
-                         .withColumn("batch_id", F.lit(snap)))
-            batches = base.unionByName(batches.select(*base.columns))
-        if upto is not None:
-            batches = batches.filter(F.col("batch_id") <= upto)
-        return batches
-
-    def _latest(self, versions: DataFrame) -> DataFrame:
+    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
+        """The newest row of every key; with ``schema``, a view that has written nothing yet is empty."""
+        if schema is None:
+            versions = spark.read.parquet(self.path)
+        else:
+            try:
+                versions = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])) \
+                    .parquet(self.path)
+            except AnalysisException as ex:
+                if ex.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                return spark.createDataFrame([], schema)
         values = [c for c in versions.columns if c not in self.keys and c != "batch_id"]
-        latest = (versions.groupBy(*self.keys)
-                          .agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v")))
-        return latest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])
+        newest = versions.groupBy(*self.keys).agg(F.max_by(F.struct(*values), F.col("batch_id")).alias("v"))
+        return newest.select(*self.keys, *[F.col(f"v.{c}").alias(c) for c in values])
 
-    def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
-        """Latest version of every key (max batch_id wins)."""
-        if schema is not None and self._last_committed_batch(spark) is None:
-            return spark.createDataFrame([], schema)
-        return self._latest(self._versions(spark))
-
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        """Fold every version up to batch ``upto`` into ``_snapshots/upto=N``.
-
-        Two steps, both idempotent overwrites: the folded rows, then a commit
-        marker.  Readers switch to the snapshot only when its marker exists,
-        so a compaction interrupted by a failure is invisible and is simply
-        redone.  Older batch folders are no longer read and can be removed by
-        the storage lifecycle.
-        """
-        folded = self._latest(self._versions(spark, upto))
-        folded.write.mode("overwrite").parquet(f"{self.snapshot_root}/upto={upto}")
-        spark.range(1).select(F.lit(True).alias("committed")) \
-             .write.mode("overwrite").parquet(f"{self.commit_root}/upto={upto}")
+
+def merge_statement(table: str, keys: list[str], source: str) -> str:
+    """Upsert of the rows of the view ``source`` into ``table`` by key (NULL keys match)."""
+    on = " AND ".join(f"t.`{k}` <=> s.`{k}`" for k in keys)
+    return (f"MERGE INTO {table} t USING {source} s ON {on} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *")
+
+
+def merge_batch(table: str, keys: list[str]):
+    """``foreachBatch`` writer for a table whose format takes MERGE (none is bundled here)."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.createOrReplaceTempView("plume_updates")
+        df.sparkSession.sql(merge_statement(table, keys, "plume_updates"))
+    return write
 
 
 def write_expected(ids: DataFrame, path: str) -> None:

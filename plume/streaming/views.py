@@ -7,8 +7,9 @@ decoded, watermarked event stream:
                  -> view function -> writeStream
 
 Views emit on update (no close-only emission in the reference), so they run
-in ``update`` mode into an idempotent ``UpsertSink``; ``append`` mode is
-available for consumers that want closed windows only.  State lives in the
+in ``update`` mode into an ``UpdateSink``; ``append`` mode is available for
+consumers that want closed windows only.  The stacked spike view is keyed state
+(``spike_state``).  State lives in the
 RocksDB state store under the checkpoint.
 """
 
@@ -26,7 +27,8 @@ from ..operators import posts as P
 from ..operators import rates as R
 from ..operators import spikes as K
 from ..sources import readers as RD
-from .sinks import UpsertSink, _trigger, sink_posts
+from .sinks import UpdateSink, _trigger, sink_posts
+from .spike_state import spike_stream
 
 
 @dataclass(frozen=True)
@@ -42,6 +44,19 @@ def dim_languages_stream(events: DataFrame) -> DataFrame:
     return M.dim_languages(P.stg_posts(P.posts_flat(events)), approx=True)
 
 
+def lang_day_sketches_stream(events: DataFrame) -> DataFrame:
+    """Per (day, language) a mergeable sketch of the users, state bounded by the watermark (R12)."""
+    from ..functions import columns as C
+    from ..operators import marts as M
+    posts = (events.filter(C.is_create_post() & F.col("commit.record.text").isNotNull() & C.not_marker_did("did"))
+             .select("event_time", "did", C.event_time_seconds("time_us").alias("seen"),
+                     C.primary_lang("commit.record.langs").alias("lang_code")))
+    return (posts.groupBy(F.window("event_time", "1 day").alias("w"), "lang_code")
+            .agg(F.min("seen").alias("first_seen"), F.max("seen").alias("last_seen"),
+                 F.count(F.lit(1)).alias("total_posts"), F.hll_sketch_agg("did", M.HLL_LG_K).alias("users"))
+            .select(F.to_date("w.start").alias("event_date"), "lang_code", "first_seen", "last_seen", "total_posts", "users"))
+
+
 VIEWS: dict[str, View] = {
     "posts_per_minute_by_lang": View(R.posts_per_minute_by_lang, ("minute_bucket", "lang")),
     "posts_per_second": View(R.posts_per_second, ("second_bucket",)),
@@ -50,6 +65,8 @@ VIEWS: dict[str, View] = {
     "trending_hashtags_1h_hop": View(lambda r: H.trending_hashtags_1h_hop(r, direct=True),
                                      ("window_start", "window_end", "hashtag")),
     "dim_languages": View(dim_languages_stream, ("lang_code",)),
+    "lang_day_sketches": View(lang_day_sketches_stream, ("event_date", "lang_code")),
+    "tag_sketches": View(H.tag_sketches, ("bucket_start",)),
 }
 
 
@@ -79,6 +96,23 @@ def start_landing(values: DataFrame, path: str, checkpoint: str, trigger: str |
     return _append(RD.land_raw(values), path, checkpoint, trigger)
 
 
+UNTIMED_DELAY = "1 hour"
+
+
+def dedupe_untimed(events: DataFrame) -> DataFrame:
+    """Event keys of the events without a time, replays dropped.
+
+    No event-time watermark ever passes them, so the time of arrival (the
+    source's, or else the micro-batch's) bounds their state: a replay that
+    arrives within ``UNTIMED_DELAY`` is dropped.
+    """
+    untimed = P.with_event_key(events.filter(F.col("time_us").isNull()))
+    if "arrival_time" not in untimed.columns:
+        untimed = untimed.withColumn("arrival_time", F.current_timestamp())
+    return (untimed.withWatermark("arrival_time", UNTIMED_DELAY)
+            .dropDuplicatesWithinWatermark(P.EVENT_KEY).select(*P.EVENT_KEY))
+
+
 def start_corrupt(values: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
     """Payloads that do not decode, kept aside."""
     return _append(RD.corrupt_events(values), path, checkpoint, trigger)
@@ -119,15 +153,14 @@ def bronze_events(spark: SparkSession, path: str, max_files: int | None = None,
 
 
 def start_view(name: str, events: DataFrame, out_path: str, checkpoint: str,
-               trigger: str | None = None, mode: str = "update",
-               compact_every: int | None = 100) -> tuple[StreamingQuery, UpsertSink | None]:
-    """Start one view.  ``update``: UpsertSink at out_path; ``append``: closed
+               trigger: str | None = None, mode: str = "update") -> tuple[StreamingQuery, UpdateSink | None]:
+    """Start one view.  ``update``: UpdateSink at out_path; ``append``: closed
     windows appended to Parquet at out_path."""
     view = VIEWS[name]
     df = view.build(events)
     if mode == "update":
-        sink = UpsertSink(out_path, list(view.keys))
-        return sink.start(df, checkpoint, trigger, query_name=None, compact_every=compact_every), sink
+        sink = UpdateSink(out_path, list(view.keys))
+        return sink.start(df, checkpoint, trigger), sink
     if mode == "append":
         w = (df.writeStream.outputMode("append").format("parquet")
                .option("path", out_path).option("checkpointLocation", checkpoint))
@@ -141,50 +174,14 @@ def start_posts_flat(events: DataFrame, out_path: str, checkpoint: str,
     return sink_posts(P.posts_flat(events), out_path, checkpoint, trigger, table=table)
 
 
-class SpikeView:
-    """Stacked views: lang_post_rate_1m (update) -> lang_spike_detector.
+SPIKE_KEYS = ["minute_bucket", "lang"]
 
-    Each micro-batch upserts the changed per-minute counts, then recomputes
-    the spike rows whose trailing hour touches a changed minute: minutes
-    a in [lo, hi + 60 min], reading counts in [lo - 60 min, hi + 60 min].
-    Spike rows only ever appear (counts only grow and late rows are dropped
-    by the watermark), so the latest version per (minute, lang) is exact.
-    Both writes are keyed by the batch id, so a replayed batch is idempotent.
-    """
-
-    KEYS = ["minute_bucket", "lang"]
-
-    def __init__(self, rate_path: str, spike_path: str, compact_every: int | None = 100):
-        self.rates = UpsertSink(rate_path, self.KEYS)
-        self.spikes = UpsertSink(spike_path, self.KEYS)
-        self.compact_every = compact_every
-
-    def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
-            self.rates.compact(spark, batch_id - 1)
-            self.spikes.compact(spark, batch_id - 1)
-        self.rates.write_batch(batch, batch_id)
-        written = spark.read.parquet(f"{self.rates.path}/batch_id={batch_id}")
-        # Changed range as scalar subqueries: no value passes through Python.
-        lo = written.select(F.min("minute_bucket")).scalar()
-        hi = written.select(F.max("minute_bucket")).scalar()
-        hour = F.expr(f"INTERVAL {K.LOOKBACK_MIN} MINUTES")
-        rates = self.rates.read(spark).filter(
-            F.col("minute_bucket").between(lo - hour, hi + hour))
-        spikes = K.lang_spike_detector(rates).filter(
-            F.col("minute_bucket").between(lo, hi + hour))
-        self.spikes.write_batch(spikes, batch_id)
-
-    def start(self, events: DataFrame, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
-        rate = R.lang_post_rate_1m(events)
-        w = (rate.writeStream.outputMode("update")
-                 .option("checkpointLocation", checkpoint)
-                 .foreachBatch(self.process))
-        return _trigger(w, trigger).start()
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        return self.spikes.read(spark)
+def start_spikes(events: DataFrame, out_path: str, checkpoint: str,
+                 trigger: str | None = None) -> tuple[StreamingQuery, UpdateSink]:
+    """The spike view from keyed state, on update."""
+    sink = UpdateSink(out_path, SPIKE_KEYS)
+    return sink.start(spike_stream(events), checkpoint, trigger), sink
 
 
 # --- the self-join form of the spike view (append mode) ---------------------

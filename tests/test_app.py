@@ -61,8 +61,8 @@ def test_cli_stream_through_bronze(spark):
     assert app.main(["stream", "--source", f"files:{src}", "--out", out, "--checkpoint", ck,
                      "--bronze", "--partition-by-day", "--trigger-available-now"]) == 0
     import __spark_entry__ as E
-    from plume.streaming.sinks import UpsertSink
-    tags = UpsertSink(f"{out}/trending_hashtags_5m", ["bucket_start", "hashtag"]).read(spark)
+    from plume.streaming.sinks import UpdateSink
+    tags = UpdateSink(f"{out}/trending_hashtags_5m", ["bucket_start", "hashtag"]).read(spark)
     batch = E.queries()["trending_hashtags_5m"](spark, SF_SMALL)
     assert tags.count() == batch.count() > 0
     assert tags.exceptAll(batch).count() == 0
@@ -121,11 +121,11 @@ def test_cli_stream_runs_continuously_until_stopped(spark):
         mine = [q for q in spark.streams.active if q.id not in before]
         # stateful views also run no-data batches (watermark), so look at all
         # recent progress, not only the last one
-        if len(mine) == 7 and all(any(p.get("numInputRows", 0) > 0 for p in q.recentProgress)
+        if len(mine) == 10 and all(any(p.get("numInputRows", 0) > 0 for p in q.recentProgress)
                                   for q in mine):
             break
         time.sleep(0.5)
-    assert len(mine) == 7          # posts sink + 5 views + spike view (which keeps the minute rates)
+    assert len(mine) == 10         # posts sink + 8 views + spike view
     for q in mine:
         q.stop()
     t.join(60)

@@ -186,14 +186,13 @@ def test_integer_division_is_exact_beyond_doubles(spark):
 def test_sink_read_errors_are_not_empty_views(spark, tmp_path):
     import pytest
 
-    from plume.streaming.sinks import UpsertSink
-    path = str(tmp_path / "view")
-    sink = UpsertSink(path, ["k"])
+    from plume.streaming.sinks import UpdateSink
+    sink = UpdateSink(str(tmp_path / "view"), ["k"])
     schema = spark.createDataFrame([(1, 2)], "k int, v int").schema
     assert sink.read(spark, schema).count() == 0
     sink.write_batch(spark.createDataFrame([(1, 2)], schema), 0)
     assert sink.read(spark, schema).count() == 1
-    for f in (tmp_path / "view" / "_batch_commits" / "batch_id=0").glob("part-*.parquet"):
+    for f in (tmp_path / "view" / "batch_id=0").glob("part-*.parquet"):
         f.write_bytes(b"broken")
     with pytest.raises(Exception):
         sink.read(spark, schema).collect()

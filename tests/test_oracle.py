@@ -1,6 +1,7 @@
 """The correctness gate in miniature: every registered query against its
 DuckDB oracle on the smallest tables."""
 import os
+import re
 import sys
 
 
@@ -12,8 +13,11 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 def test_every_query_matches_its_oracle(spark):
     from check_oracle import compare
     import __spark_entry__ as E
-    assert set(E.oracle_sql()) == set(E.queries())
-    res = compare(spark, SF_SMALL, verbose=False)
+    # every query of the package itself has SQL; training-data operators (where present) have tests of their own
+    other = {k for k in E.queries() if k == "pipeline" or re.match(r"op\d+_", k)}
+    assert set(E.queries()) - set(E.oracle_sql()) <= other
+    assert set(E.oracle_sql()) <= set(E.queries())
+    res = compare(spark, SF_SMALL, sorted(E.oracle_sql()), verbose=False)
     bad = {k: v for k, v in res.items() if v[0] != "OK"}
     assert not bad, bad
 

@@ -8,7 +8,7 @@ from conftest import B, SF_SMALL
 from plume.operators import posts as P
 from plume.session import scratch_path
 from plume.sources import readers as RD
-from plume.streaming.sinks import UpsertSink
+from plume.streaming.sinks import UpdateSink, merge_statement
 from plume.streaming.views import event_stream, start_posts_flat, start_view
 
 
@@ -50,20 +50,40 @@ def test_x6_late_row_kept_in_flat_dropped_from_windows(spark):
     assert tags == {"now"}
 
 
-def test_upsert_sink_replay_is_idempotent(spark):
-    path = scratch_path(spark, "upsert")
-    sink = UpsertSink(path, ["k"])
-    v1 = spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long")
-    v2 = spark.createDataFrame([("a", 3)], "k string, n long")
-    sink.write_batch(v1, 0)
-    sink.write_batch(v2, 1)
-    sink.write_batch(v2, 1)  # replay of batch 1
-    got = {r.k: r.n for r in sink.read(spark).collect()}
-    assert got == {"a": 3, "b": 1}
-    # rows of a batch whose write has not committed yet are not read
-    spark.createDataFrame([("a", 50)], "k string, n long").write.mode("overwrite") \
-         .parquet(f"{path}/batch_id=2")
-    assert {r.k: r.n for r in sink.read(spark).collect()} == got
+def test_update_sink_replay_is_idempotent(spark):
+    path = scratch_path(spark, "update") + "/t"
+    sink = UpdateSink(path, ["k"])
+    schema = "k string, n long"
+    empty = spark.createDataFrame([], schema)
+    assert sink.read(spark, empty.schema).count() == 0
+    sink.write_batch(spark.createDataFrame([("a", 1), ("b", 1), (None, 4)], schema), 0)
+    sink.write_batch(spark.createDataFrame([("a", 3)], schema), 1)
+    sink.write_batch(spark.createDataFrame([("a", 3)], schema), 1)  # replay of batch 1
+    want = {"a": 3, "b": 1, None: 4}
+    assert {r.k: r.n for r in sink.read(spark).collect()} == want
+    # batch 10 is newer than batch 9, and a batch without rows changes nothing
+    sink.write_batch(spark.createDataFrame([("b", 9)], schema), 9)
+    sink.write_batch(spark.createDataFrame([("b", 10)], schema), 10)
+    sink.write_batch(empty, 11)
+    assert {r.k: r.n for r in sink.read(spark, empty.schema).collect()} == {**want, "b": 10}
+
+
+def test_update_sink_failed_write_changes_nothing(spark):
+    path = scratch_path(spark, "update-fail") + "/t"
+    sink = UpdateSink(path, ["k"])
+    sink.write_batch(spark.createDataFrame([("a", 1)], "k string, n long"), 0)
+    broken = spark.range(100).select(F.col("id").cast("string").alias("k"), F.when(F.col("id") == 99, F.raise_error(
+        F.lit("stop"))).otherwise(F.col("id")).cast("long").alias("n"))
+    import pytest
+    with pytest.raises(Exception, match="stop"):
+        sink.write_batch(broken, 1)
+    assert [(r.k, r.n) for r in sink.read(spark).collect()] == [("a", 1)]
+
+
+def test_merge_statement_parses(spark):
+    text = merge_statement("cat.db.view", ["minute_bucket", "lang"], "plume_updates")
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    assert "MergeIntoTable" in plan and "minute_bucket" in plan
 
 
 def test_hop_stream_direct_equals_batch_rollup(spark):
@@ -113,24 +133,6 @@ def test_dedupe_within_watermark_drops_replays(spark):
     assert RD.scan_posts(spark, out).count() == 5
 
 
-def test_upsert_sink_compaction_keeps_latest(spark):
-    path = scratch_path(spark, "upsert-compact")
-    sink = UpsertSink(path, ["k"])
-    sink.write_batch(spark.createDataFrame([("a", 1), ("b", 1)], "k string, n long"), 0)
-    sink.write_batch(spark.createDataFrame([("a", 2)], "k string, n long"), 1)
-    sink.compact(spark, 1)
-    sink.compact(spark, 1)          # idempotent
-    sink.write_batch(spark.createDataFrame([("b", 5), ("c", 1)], "k string, n long"), 2)
-    got = {r.k: r.n for r in sink.read(spark).collect()}
-    assert got == {"a": 2, "b": 5, "c": 1}
-    sink.compact(spark, 2)
-    assert {r.k: r.n for r in sink.read(spark).collect()} == got
-    # a snapshot without its commit marker (a compaction cut short) is ignored
-    spark.createDataFrame([("a", 99)], "k string, n long").write.mode("overwrite") \
-         .parquet(f"{sink.snapshot_root}/upto=7")
-    assert {r.k: r.n for r in sink.read(spark).collect()} == got
-
-
 def test_posts_sink_partitioned_by_day(spark):
     src = scratch_path(spark, "day-src")
     sec = 1_000_000
@@ -199,29 +201,67 @@ def test_dim_languages_stream_approx_distinct(spark):
         assert abs(g.distinct_users - e.distinct_users) <= max(1, 0.1 * e.distinct_users)
 
 
-def test_spike_view_with_compaction_equals_batch(spark):
+def _state(held, changed):
+    from plume.streaming.spike_state import changed_spikes
+    return [tuple(r) for r in changed_spikes("en", held, changed).itertuples(index=False)]
+
+
+def test_changed_spikes_reach_an_hour_ahead():
+    held = {0: 10, 30: 5, 60: 21, 61: 2, 200: 1}
+    # minute 0 changed: 30 and 60 look back to it, 61 and 200 do not, 0 itself has no hour before it
+    assert _state(held, [0]) == [("en", 30, 5, 10.0, False), ("en", 60, 21, 7.5, True)]
+    assert _state(held, [200]) == []
+    assert _state(held, [61]) == [("en", 61, 2, 13.0, False)]
+    assert _state({}, []) == []
+
+
+def test_spike_state_is_cleared_and_late_rows_dropped(spark):
+    """One language over many micro-batches: rows behind the watermark add nothing, the state stays an hour long."""
+    from plume.streaming.views import start_spikes
+    src = scratch_path(spark, "spike-src")
+    local, sec = src.replace("file:", ""), 1_000_000
+    events = event_stream(RD.read_raw_stream(spark, fmt="files", path=src))
+    out, ck = scratch_path(spark, "spike-out") + "/t", scratch_path(spark, "spike-ck")
+
+    def run(name, minutes):
+        _write(local, name, [_event(B + m * 60 * sec, "x", f"{name}{m}") for m in minutes])
+        q, sink = start_spikes(events, out, ck, trigger="availableNow")
+        q.awaitTermination(120)
+        assert q.exception() is None
+        state = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
+        return {(r.minute_bucket.hour * 60 + r.minute_bucket.minute, r.posts_in_minute, r.rolling_hr_avg)
+                for r in sink.read(spark).collect()}, state[-1]
+    rows, _ = run("a.json", [0, 10, 10, 20])
+    assert rows == {(10, 2, 1.0), (20, 1, 1.5)}
+    rows, _ = run("b.json", [200, 201])                 # passes the hour after minute 20
+    assert rows == {(10, 2, 1.0), (20, 1, 1.5), (201, 1, 1.0)}
+    rows, held = run("c.json", [30, 201, 202])          # minute 30 is late now
+    assert rows == {(10, 2, 1.0), (20, 1, 1.5), (201, 2, 1.0), (202, 1, 1.5)}
+    assert held <= 3 + 3 + 3    # minutes 200 to 202, their timers (kept twice: by key and by time)
+
+
+def test_killed_driver_leaves_files_and_loses_nothing(spark):
     import __spark_entry__ as E
-    from plume.plans.streams import json_source
-    from plume.streaming.views import SpikeView
-    # The file source replays files by modification time: write the time
-    # slices one job after another so that arrival order is time order
-    # (otherwise later batches hold rows behind the watermark, which Spark
-    # rightly drops).
-    whole = json_source(spark, SF_SMALL, "fast")
-    parts = sorted(f for f in os.listdir(whole.replace("file:", "")) if f.startswith("part-"))
-    src = scratch_path(spark, "cs-src")
-    for f in parts:
-        spark.read.text(f"{whole}/{f}").coalesce(1).write.mode("append").text(src)
-    ev = event_stream(RD.read_raw_stream(spark, fmt="files", path=src, max_files_per_trigger=1))
-    view = SpikeView(scratch_path(spark, "cs-rates"), scratch_path(spark, "cs-spikes"),
-                     compact_every=3)
-    q = view.start(ev, scratch_path(spark, "cs-ck"), trigger="availableNow")
-    q.awaitTermination(300)
-    got = view.read(spark).select("minute_bucket", "lang", "posts_in_minute",
-                                  "rolling_hr_avg", "is_spiking")
-    batch = E.queries()["lang_spike_detector"](spark, SF_SMALL)
-    assert got.count() == batch.count()
-    assert got.exceptAll(batch).count() == 0
+    rep = E.queries()["stream_exactly_once_killed"](spark, SF_SMALL).first()
+    want = E.queries()["reconcile_report"](spark, SF_SMALL).first()
+    assert rep.left_files and rep.asDict() == {**want.asDict(), "left_files": True}
+
+
+def test_untimed_events_are_deduplicated(spark):
+    from plume.streaming.views import _append, dedupe_untimed
+    src = scratch_path(spark, "untimed-src")
+    lines = [json.dumps({"did": d, "time_us": t, "kind": "identity"}) for d, t in
+             [("a", None), ("a", None), ("b", None), ("c", 5), ("a", 7)]]
+    _write(src.replace("file:", ""), "a.json", lines)
+    out, ck = scratch_path(spark, "untimed"), scratch_path(spark, "untimed-ck")
+
+    def run():
+        ev = event_stream(RD.read_raw_stream(spark, fmt="files", path=src), watermark=False)
+        _append(dedupe_untimed(ev), out, ck, "availableNow").awaitTermination(120)
+        return sorted(r.did for r in spark.read.parquet(out).collect())
+    assert run() == ["a", "b"]
+    _write(src.replace("file:", ""), "b.json", [lines[2], json.dumps({"did": "d", "kind": "identity"})])
+    assert run() == ["a", "b", "d"]
 
 
 def test_bronze_reports_ingest_metrics(spark):
