@@ -196,7 +196,7 @@ def near_lines(slim: DataFrame, first: DataFrame) -> DataFrame:
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """Per document key ``_ld_k``: the numbers of its lines that go."""
+    """Per document (doc_id, ``_ld_k``): the numbers of its lines that go."""
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text")) \
         .where("text is not null").select(_key(), "doc_id", "text")
     places = staged(slim.mapInArrow(_places, "h1 long, h2 long, doc_id long, _ld_k long, line long"), "line-places")
@@ -207,7 +207,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
               .where(F.col("near") | (F.col("place") < F.col("last"))))
     gone = (places.join(doomed.select("h1", "h2", "near", F.col("place").alias("keep")), ["h1", "h2"])
             .where(F.col("near") | (place > F.col("keep"))))
-    return gone.groupBy("_ld_k").agg(F.collect_set("line").alias("_ld_gone"))  # a document's own lines
+    return gone.groupBy("doc_id", "_ld_k").agg(F.collect_set("line").alias("_ld_gone"))  # a document's own lines
 
 
 def strip_lines(text: str | None, gone: list[int] | None) -> str | None:
@@ -222,7 +222,10 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     gone = staged(removed_lines(docs), "line-gone")
     keyed = docs.withColumn("_ld_k", F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string")))
     # up to MAX_BROADCAST_ROWS changed documents and lines the texts are not shuffled
-    joined = keyed.join(broadcast_if_small(gone, MAX_BROADCAST_ROWS, "_ld_gone"), "_ld_k", "left").drop("_ld_k")
+    hint = broadcast_if_small(gone, MAX_BROADCAST_ROWS, "_ld_gone").select(
+        F.col("doc_id").alias("_ld_id"), F.col("_ld_k").alias("_ld_k2"), "_ld_gone")
+    joined = keyed.join(hint, (F.col("_ld_k") == F.col("_ld_k2")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_ld_id")),
+                        "left").drop("_ld_k", "_ld_k2", "_ld_id")
     place = joined.columns.index("text")
     schema = joined.drop("_ld_gone").schema
 

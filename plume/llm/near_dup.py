@@ -25,9 +25,9 @@ bands with probability (1 - 0.8^6)^40 = 5e-6.
 Defined results: NULL, empty or blank texts have no shingles and are linked
 with nothing; texts with fewer words than ``width`` have one shingle, the whole
 sequence.  A NULL doc_id is linked with nothing and kept.  Rows equal in doc_id
-and text have the same result.  Texts whose classes share their smallest doc_id
-(repeated ids) count as linked.  Extra columns are kept by ``drop_near_dups``;
-working columns start with ``_nd_``.
+and text have the same result; ``drop_near_dups`` keeps one of them.  Texts whose
+classes share their smallest doc_id (repeated ids) count as linked.  Extra columns
+are kept by ``drop_near_dups``; working columns start with ``_nd_``.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import broadcast_if_small, staged
+from .tables import broadcast_if_small, small_batches, staged
 from .textbytes import Powers, PrefixHash, byte_codes, column_bytes, mix64, row_slices, words
 
 WIDTH = 5                #: words of a shingle
@@ -289,13 +289,19 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def near_classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(profiles of all rows, classes, component label per linked class)."""
+def near_classes(docs: DataFrame, width: int, among: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(profiles of all rows, classes, component label per linked class).
+
+    With ``among`` (a column doc_id) only rows with these ids take part.
+    """
+    small_batches(docs.sparkSession)
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("string").alias("text"))
     keyed = slim.select("doc_id", F.xxhash64("doc_id", "text").alias("_nd_k"), "text")
     profiles = staged(keyed.mapInArrow(
         _profiler(width), "doc_id long, _nd_k long, n_shingles long, f1 long, f2 long, bands array<long>"),
         "near-profiles")
+    if among is not None:
+        profiles = profiles.join(among.select("doc_id").distinct(), "doc_id", "left_semi")
     classes = staged(profiles.where("n_shingles > 0 and doc_id is not null").groupBy("f1", "f2", "n_shingles")
                      .agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands")), "near-classes")
     members = classes.select("node", F.explode("bands").alias("band"))
@@ -316,9 +322,9 @@ def near_classes(docs: DataFrame, width: int) -> tuple[DataFrame, DataFrame, Dat
     return profiles, classes, labels if more.isEmpty() else components(links.unionByName(more))
 
 
-def near_dups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, kept (and ``_nd_k``, the row's key)."""
-    profiles, classes, labels = near_classes(docs, width)
+def near_dups(docs: DataFrame, width: int = WIDTH, among: DataFrame | None = None) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, kept (and ``_nd_k``: with doc_id, the row's key)."""
+    profiles, classes, labels = near_classes(docs, width, among)
     of = classes.select("f1", "f2", "n_shingles", "node")
     out = (profiles.select("doc_id", "_nd_k", "n_shingles", "f1", "f2")
            .join(of, ["f1", "f2", "n_shingles"], "left").join(labels, "node", "left"))
@@ -329,7 +335,39 @@ def near_dups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def drop_near_dups(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` without the documents that another one of their component stands for."""
-    gone = staged(near_dups(docs, width).where("not kept").select("_nd_k").distinct(), "near-gone")
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    keyed = docs.withColumn("_nd_k", key)
-    return keyed.join(broadcast_if_small(gone, MAX_BROADCAST_ROWS), "_nd_k", "left_anti").drop("_nd_k")
+    rows = staged(near_dups(docs, width), "near-rows")
+    key = ["doc_id", "_nd_k"]
+    gone = staged(rows.where("not kept").select(*key).distinct(), "near-gone")
+    twice = staged(rows.where("kept and n_shingles > 0 and doc_id is not null").groupBy(*key).count()
+                   .where("count > 1").select(*key), "near-twice")
+    k = F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    keyed = docs.withColumn("_nd_k", k).withColumn("_nd_id", F.col("doc_id").cast("long"))
+
+    def named(df):
+        return broadcast_if_small(df.withColumnRenamed("doc_id", "_nd_id"), MAX_BROADCAST_ROWS)
+    gone, twice = named(gone), named(twice)
+    on = ["_nd_id", "_nd_k"]
+    left = keyed.join(gone, on, "left_anti")
+    # equal rows are few; only they are shuffled with their texts
+    once = left.join(twice, on, "left_anti").unionByName(left.join(twice, on, "left_semi").dropDuplicates(on))
+    return once.select(docs.columns)
+
+
+def drop_copies(docs: DataFrame, originals: DataFrame, width: int = WIDTH) -> DataFrame:
+    """``docs`` without those whose row of ``originals`` is a near-duplicate of another one in ``docs``.
+
+    For texts that have been edited since (lines taken out): the originals are
+    compared, the documents as they are now stay or go by doc_id.  A doc_id goes
+    if none of its originals stands for its component.  Ids without an original,
+    and NULL ids, stay; of rows equal in all columns one stays.
+    """
+    rows = near_dups(originals, width, docs.select(F.col("doc_id").cast("long").alias("doc_id")))
+    gone = staged(rows.groupBy("doc_id").agg(F.max("kept").alias("kept")).where("not kept")
+                  .select(F.col("doc_id").alias("_nd_id")), "near-gone")
+    keyed = docs.withColumn("_nd_id", F.col("doc_id").cast("long"))
+    left = keyed.join(broadcast_if_small(gone, MAX_BROADCAST_ROWS), "_nd_id", "left_anti")
+    twice = staged(keyed.where("_nd_id is not null").groupBy("_nd_id").count().where("count > 1").select("_nd_id"), "near-twice")
+    twice = broadcast_if_small(twice, MAX_BROADCAST_ROWS)
+    once = left.join(twice, "_nd_id", "left_anti").unionByName(
+        left.join(twice, "_nd_id", "left_semi").dropDuplicates(docs.columns))
+    return once.select(docs.columns)

@@ -11,10 +11,12 @@ of order, so reruns and recomputed partitions give the same cut-offs.
 All of it is DataFrame functions: split, sort_array, transform, aggregate and
 partial aggregates; no Python runs on the executors.
 
+A group's cut-offs are drawn towards those of its language, and a language's
+towards those of all documents, as if ``PRIOR`` documents of the wider kind stood
+in it: ``(n * own + PRIOR * wider) / (n + PRIOR)``, one formula at every size.
+
 Defined results: NULL or empty text has no words and fails the base rules.
-NULL lang or source is a group of its own.  A group with fewer than
-``MIN_GROUP`` documents uses the cut-offs of its language, and a language with
-fewer uses those of all documents.  Ties and repeated rows each count once per
+NULL lang or source is a group of its own.  Ties and repeated rows each count once per
 row.  Extra columns of the input are carried through unread; working columns
 start with ``_qr_``.  An empty table gives an empty result.
 """
@@ -31,7 +33,7 @@ from .tables import WORD_BREAK, staged
 SKETCH_ERROR = 0.01      #: relative error of a sketch's quantiles
 SMALLEST = 1e-4          #: values below share the zero bucket
 FENCE = 3.0              #: spreads beyond the middle half
-MIN_GROUP = 200          #: documents for cut-offs of a group's own
+PRIOR = 50               #: documents of the wider group that a cut-off starts from
 MAX_BROADCAST_GROUPS = 50_000
 
 MIN_WORDS = 50           #: fixed value of the base rules
@@ -168,9 +170,14 @@ def thresholds(feats: DataFrame) -> DataFrame:
     joined = (own.join(by_lang, own["lang"].eqNullSafe(by_lang["l_lang"])
                        & (own["metric"] == by_lang["l_metric"]))
               .join(F.broadcast(by_all), F.col("metric") == F.col("a_metric")))  # a row per metric
-    pick = lambda c: F.when(F.col("docs") >= MIN_GROUP, F.col(c)).when(
-        F.col("l_docs") >= MIN_GROUP, F.col(f"l_{c}")).otherwise(F.col(f"a_{c}"))
-    level = joined.select("lang", "source", "metric", pick("low").alias("low"), pick("high").alias("high"))
+
+    def drawn(own, docs, wider):
+        return (docs * own + PRIOR * wider) / (docs + PRIOR)
+
+    def cut(side):
+        of_lang = drawn(F.col(f"l_{side}"), F.col("l_docs"), F.col(f"a_{side}"))
+        return drawn(F.col(side), F.col("docs"), of_lang).alias(side)
+    level = joined.select("lang", "source", "metric", cut("low"), cut("high"))
     return level.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("metric") == m, F.col(side))).alias(f"{side}_{m}")
           for m in METRICS for side in ("low", "high")])
@@ -208,12 +215,12 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``.
 
-    The features are computed twice (for the sketches and for the filter), so
-    no text is shuffled or written.
+    Rows are written once with their features; the sketches and the filter read
+    them from there, each its own columns.
     """
     named = docs.toDF(*[f"_qr_in{i}" for i in range(len(docs.columns))])
     back = {c: f"_qr_in{i}" for i, c in enumerate(docs.columns)}
     feats = features(named.select("*", *[F.col(back[c]).alias(c) for c in ("text", "lang", "source")]))
-    cuts = thresholds(features(docs.select("text", "lang", "source")))
-    kept = verdict(feats, cuts).where("kept and _qr_id >= 0")
+    feats = staged(feats.drop("text", "_qr_id"), "quality-features")
+    kept = verdict(feats, thresholds(feats)).where("kept")
     return kept.select(*[F.col(back[c]).alias(c) for c in docs.columns])

@@ -78,8 +78,69 @@ QUERIES = {
     "op13_spelling_variants": op13_spelling_variants,
 }
 
+def quality_sql() -> str:
+    """op6 in DuckDB SQL: features by text functions, sketches as counts per logarithmic bucket."""
+    q = quality_rules
+    value = " ".join(f"WHEN '{m}' THEN CASE WHEN {below} > 0 THEN {top} / {below} ELSE 0 END"
+                     for m, (top, below, _, _) in q.METRICS.items())
+    floor = " ".join(f"WHEN '{m}' THEN {least}" for m, (_, _, least, _) in q.METRICS.items())
+    two = ", ".join(f"'{m}'" for m, v in q.METRICS.items() if v[3])
+    g = f"((1 + {q.SKETCH_ERROR}) / (1 - {q.SKETCH_ERROR}))"
+    g = g.replace("1 +", "1::DOUBLE +").replace("1 -", "1::DOUBLE -")
+
+    def fences(name: str, keys: str) -> str:
+        by = f"{keys}, " if keys else ""
+        return f"""
+        {name}_m AS (SELECT {by}metric, bucket, sum(n) AS n FROM sketch GROUP BY ALL),
+        {name}_r AS (SELECT {by}metric, CASE WHEN bucket = 0 THEN 0 ELSE 2 * {q.SMALLEST}::DOUBLE * pow({g}, bucket) / (1 + {g}) END AS v,
+                     sum(n) OVER (PARTITION BY {by}metric ORDER BY bucket) AS upto,
+                     sum(n) OVER (PARTITION BY {by}metric) AS docs FROM {name}_m),
+        {name}_q AS (SELECT {by}metric, max(docs) AS docs, min(v) FILTER (WHERE upto >= 0.25 * docs) AS q25,
+                     min(v) FILTER (WHERE upto >= 0.75 * docs) AS q75 FROM {name}_r GROUP BY ALL),
+        {name} AS (SELECT {by}metric, docs, q25 - {q.FENCE}::DOUBLE * greatest(q75 - q25, CASE metric {floor} END) AS low,
+                   q75 + {q.FENCE}::DOUBLE * greatest(q75 - q25, CASE metric {floor} END) AS high FROM {name}_q)"""
+    return rf"""
+        WITH t AS MATERIALIZED (SELECT row_number() OVER () AS k, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+        w AS (SELECT k, u.w, u.i FROM t, LATERAL (
+              SELECT unnest(regexp_extract_all(t.t, '[^\x20\x09-\x0D]+')) AS w,
+                     generate_subscripts(regexp_extract_all(t.t, '[^\x20\x09-\x0D]+'), 1) AS i) u),
+        g AS (SELECT k, i, w, lead(w) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY k ORDER BY i)),
+        d AS (SELECT k, i, w, (w3 IS NOT NULL AND count(*) OVER (PARTITION BY k, w, w2, w3) > 1)::INT AS again FROM g),
+        c AS (SELECT k, w, (again + coalesce(lag(again) OVER o, 0) + coalesce(lag(again, 2) OVER o, 0) > 0)::INT AS covered
+              FROM d WINDOW o AS (PARTITION BY k ORDER BY i)),
+        f1 AS (SELECT k, count(*) AS n_words, sum(length(w)) AS word_chars, sum(covered) AS n_repeat_words FROM c GROUP BY k),
+        l AS (SELECT k, unnest(string_split(t, chr(10))) AS line FROM t),
+        f2 AS (SELECT k, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+               FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY k),
+        f AS (SELECT t.k, doc_id, lang, source, coalesce(n_words, 0)::BIGINT AS n_words,
+                     coalesce(word_chars, 0)::BIGINT AS word_chars, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+                     coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+                     (length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')))::BIGINT AS n_symbols,
+                     (length(t) - length(regexp_replace(t, '\p{{Lu}}+', '', 'g')))::BIGINT AS n_capitals,
+                     (length(t) - length(regexp_replace(t, '[!?]+', '', 'g')))::BIGINT AS n_marks
+              FROM t LEFT JOIN f1 USING (k) LEFT JOIN f2 USING (k)),
+        m AS (SELECT k, lang, source, metric, (CASE metric {value} END)::DOUBLE AS value, n_words
+              FROM f, (SELECT unnest([{', '.join(f"'{m}'" for m in q.METRICS)}]) AS metric)),
+        sketch AS MATERIALIZED (SELECT lang, source, metric, CASE WHEN value <= {q.SMALLEST} THEN 0
+                   ELSE ceil(ln(value / {q.SMALLEST}::DOUBLE) / ln({g})) END AS bucket, count(*) AS n
+                   FROM m WHERE n_words > 0 GROUP BY ALL),
+        {fences("own", "lang, source")}, {fences("by_lang", "lang")}, {fences("by_all", "")},
+        cuts AS (SELECT own.lang, own.source, metric,
+                 (own.docs * own.low + {q.PRIOR} * ((b.docs * b.low + {q.PRIOR} * a.low) / (b.docs + {q.PRIOR}))) / (own.docs + {q.PRIOR}) AS low,
+                 (own.docs * own.high + {q.PRIOR} * ((b.docs * b.high + {q.PRIOR} * a.high) / (b.docs + {q.PRIOR}))) / (own.docs + {q.PRIOR}) AS high
+                 FROM own JOIN by_lang b USING (metric) JOIN by_all a USING (metric) WHERE own.lang IS NOT DISTINCT FROM b.lang),
+        bad AS (SELECT DISTINCT k FROM m JOIN cuts c USING (metric)
+                WHERE m.lang IS NOT DISTINCT FROM c.lang AND m.source IS NOT DISTINCT FROM c.source
+                  AND (value > high OR (metric IN ({two}) AND value < low))),
+        v AS (SELECT *, n_words < {q.MIN_WORDS} OR 100 * n_repeat_words > {q.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM f)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND k NOT IN (SELECT k FROM bad) AS kept
+        FROM v"""
+
+
 #: DuckDB SQL where a result can be said in SQL.
 SQL: dict[str, str] = {
+    "op6_quality_rules": quality_sql(),
     "op11_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
         q AS (SELECT page_id, strlen(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p),

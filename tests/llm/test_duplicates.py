@@ -73,6 +73,30 @@ def test_drop_near_dups_keeps_one_of_each_group(spark, near_docs):
     assert sorted((r.doc_id for r in got.collect()), key=str) == sorted(want, key=str)
 
 
+def test_one_of_equal_rows_stays(spark):
+    t, u = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, t, "a"), (1, t, "a"), (1, t, "b"), (2, t.upper(), "a"), (3, u, "a"), (3, u, "a"), (4, None, "a"), (4, None, "a"),
+            (None, t, "a"), (None, t, "a"), (5, "", "a")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _x string")
+    got = sorted(((r.doc_id, r.text) for r in near_dup.drop_near_dups(df).collect()), key=str)
+    assert got == sorted([(1, t), (3, u), (4, None), (4, None), (None, t), (None, t), (5, "")], key=str)
+
+
+def test_copies_are_known_by_their_originals(spark):
+    """Texts without the lines they share with the first copy are still its copies."""
+    rnd = random.Random(6)
+    base = "\n".join(" ".join(f"w{rnd.randrange(500)}" for _ in range(20)) for _ in range(30))
+    near = base.replace("w1", "x1", 2)
+    other = "\n".join(" ".join(f"v{rnd.randrange(500)}" for _ in range(20)) for _ in range(30))
+    schema = "doc_id long, text string, n int"
+    originals = spark.createDataFrame([(1, base, 1), (2, near, 1), (3, base, 1), (4, other, 1), (5, base, 1), (6, "", 1)], schema)
+    now = spark.createDataFrame([(2, near, 1), (3, "rest", 1), (4, other, 1), (4, other, 1), (5, "", 1), (6, "", 1),
+                                 (7, near, 1), (None, near, 1)], schema)
+    got = sorted((r.doc_id or 0, r.text) for r in near_dup.drop_copies(now, originals).collect())
+    # 1 is not among the documents any more, so 2 stands for 3 and 5; 7 has no original
+    assert got == sorted([(0, near), (2, near), (4, other), (6, ""), (7, near)])
+
+
 def test_sequential_test_bounds_rise_with_the_values_compared():
     needs = near_dup.least_matches()
     assert [h for h, _ in needs] == [48, 96, 144, 192, 240]

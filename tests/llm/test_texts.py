@@ -70,7 +70,7 @@ def test_quality_stage_runs_no_python(documents):
 # ---- secrets
 
 def test_secret_spans():
-    ssh = base64.b64encode(b"".join(len(x).to_bytes(4, "big") + x for x in (b"ssh-ed25519", b"k" * 32))).decode()
+    ssh = base64.b64encode(OPENSSH).decode()
     der = bytes([0x30, 40, 0x02, 1, 0, 0x04, 35]) + b"q" * 35
     jwt = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=")
                    for x in (json.dumps({"alg": "HS256"}).encode(), b"{}", b"s" * 20))
@@ -95,7 +95,7 @@ DER_KEY = bytes([0x30, 0x82, 0, 200, 0x02, 1, 0, 0x04, 0x81, 194]) + bytes(range
 
 @pytest.mark.parametrize("before", ["KEY=", 'key="', "https://h/p?k=", "a=b&k=", "x=="])
 @pytest.mark.parametrize("kind, key", [
-    ("ssh", base64.b64encode(SSH_KEY).decode()), ("ssh", base64.b64encode(OPENSSH).decode()),
+    ("ssh", base64.b64encode(OPENSSH).decode()), ("ssh", OPENSSH.hex()),
     ("der", base64.b64encode(DER_KEY).decode()), ("der", DER_KEY.hex()), ("der", DER_KEY.hex().upper()),
     ("jwt", ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (b'{"alg":"none"}', b"{}", b"s")))])
 def test_secret_after_an_equals_sign(before, kind, key):
@@ -106,7 +106,7 @@ def test_secret_after_an_equals_sign(before, kind, key):
 @pytest.mark.parametrize("gap", ["\n", "\r\n", "\n    ", "\\n", "\\r\\n", "\\\\n", "\\\n"])
 @pytest.mark.parametrize("width", [32, 64, 65, 70, 76])
 @pytest.mark.parametrize("kind, key", [
-    ("ssh", base64.b64encode(SSH_KEY).decode()), ("ssh", base64.b64encode(OPENSSH).decode()),
+    ("ssh", base64.b64encode(OPENSSH).decode()), ("ssh", OPENSSH.hex()),
     ("der", base64.b64encode(DER_KEY).decode()), ("der", DER_KEY.hex()), ("der", DER_KEY.hex().upper())])
 def test_secret_keys_over_lines(gap, width, kind, key):
     lines = [key[i:i + width] for i in range(0, len(key), width)]
@@ -125,6 +125,76 @@ def test_secret_armour_with_escaped_breaks(gap):
     assert [(secret_scan.KINDS[k], account[s:e] + gap) for s, k, e in secret_scan.confirmed_spans(account)] == [("pem", text)]
 
 
+def der(tag, *parts):
+    body = b"".join(parts)
+    n = len(body)
+    return bytes([tag]) + (bytes([n]) if n < 128 else bytes([0x82]) + n.to_bytes(2, "big")) + body
+
+
+RSA = der(0x30, der(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x01\x01"), der(5))
+NUMBER = der(2, bytes(range(1, 129)))
+BITS = der(3, b"\0" + bytes(range(100)))
+PRIVATE = {"rsa": der(0x30, der(2, b"\0"), *[NUMBER] * 8), "ec": der(0x30, der(2, b"\1"), der(4, b"k" * 32)),
+           "pkcs8": der(0x30, der(2, b"\0"), RSA, der(4, b"k" * 60)), "encrypted": der(0x30, RSA, der(4, b"k" * 64))}
+PUBLIC = {"spki": der(0x30, RSA, BITS), "rsa": der(0x30, NUMBER, der(2, b"\1\0\1")),
+          "certificate": der(0x30, der(0x30, der(2, b"\1"), RSA), RSA, BITS), "ssh": SSH_KEY}
+
+
+def armour(label, body, head=""):
+    text = base64.b64encode(body).decode()
+    return "\n".join([f"-----BEGIN {label}-----", *([head] if head else []),
+                      *(text[i:i + 64] for i in range(0, len(text), 64)), f"-----END {label}-----"])
+
+
+@pytest.mark.parametrize("name", PRIVATE)
+def test_private_keys_are_found_in_every_coding(name):
+    key = PRIVATE[name]
+    pem = armour("PRIVATE KEY", key)
+    wrapped = base64.b64encode(pem.encode()).decode()
+    for coded, kind in ((base64.b64encode(key).decode(), "der"), (base64.urlsafe_b64encode(key + b"").decode().rstrip("="), "der"),
+                        (key.hex(), "der"), (pem, "pem"), (wrapped, "pem"), (pem.encode().hex(), "pem"),
+                        ("\n".join(wrapped[i:i + 76] for i in range(0, len(wrapped), 76)), "pem")):
+        text = f"tls.key: {coded}\nand on"
+        found = [(secret_scan.KINDS[k], text[s:e]) for s, k, e in secret_scan.confirmed_spans(text)]
+        assert (kind, coded) in found and all(c in coded for _, c in found)
+
+
+def test_url_safe_keys_are_found():
+    key = der(0x30, der(2, b"\0"), der(4, bytes([0xfb, 0xef, 0xff] * 20)))
+    coded = base64.urlsafe_b64encode(key).decode().rstrip("=")
+    assert set("-_") & set(coded)
+    assert [(s, k, e) for s, k, e in secret_scan.confirmed_spans(f"k={coded}.")] == [(2, 5, 2 + len(coded))]
+
+
+@pytest.mark.parametrize("name", PUBLIC)
+def test_public_material_is_no_secret(name):
+    key = PUBLIC[name]
+    for coded in (base64.b64encode(key).decode(), key.hex(), armour("PUBLIC KEY", key), armour("CERTIFICATE", key),
+                  base64.b64encode(armour("CERTIFICATE", key).encode()).decode()):
+        assert secret_scan.confirmed_spans(f"ssh-ed25519 {coded} me@host\n") == []
+
+
+def test_encrypted_armour_and_blank_token_headers():
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00FF00FF00FF00FF00FF00FF00FF00FF\n"
+    text = armour("RSA PRIVATE KEY", b"c" * 160, head)
+    for t in (text, text.replace("\n", "\\n")):
+        assert secret_scan.confirmed_spans(f"x {t} y") == [(2, 3, 2 + len(t))]
+    assert secret_scan.confirmed_spans(armour("RSA PRIVATE KEY", b"c" * 161, head)) == []
+    assert secret_scan.confirmed_spans(armour("RSA PRIVATE KEY", b"c" * 160)) == []
+    for header in (b'{ "alg" : "none" }', b'{\n "alg": "HS256"}', b'{"alg":"none"}'):
+        token = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (header, b"{}", b"s"))
+        assert secret_scan.confirmed_spans(f"Bearer {token}") == [(7, 4, 7 + len(token))]
+
+
+def test_secret_scan_of_long_texts_and_clashing_columns(spark):
+    key = base64.b64encode(PRIVATE["pkcs8"]).decode()
+    text = "word " * 300_000 + key + " MAAA" * 100_000
+    df = spark.createDataFrame([(1, text, "x", 9), (1, text, "y", 9), (2, None, None, None)],
+                               "doc_id long, text string, spans string, n_hex int")
+    got = sorted((r.doc_id, r.n_confirmed, r.spans) for r in secret_scan.secret_scan(df).collect())
+    assert got == [(1, 1, f"der:1500000:{1_500_000 + len(key)}")] * 2 + [(2, 0, "")]
+
+
 def test_secret_lines_that_are_no_key():
     broken = base64.b64encode(DER_KEY[:-1]).decode()  # one byte short
     text = "\n".join(broken[i:i + 64] for i in range(0, len(broken), 64))
