@@ -5,8 +5,7 @@ text.  A text is compressed with each, in pieces of ``PIECE`` bytes so that the
 dictionary matters as much at the end of a long text as at its start.  The
 difference ``bad - good`` of the compressed sizes, normalised by the text's own
 size, is turned into a probability by a logistic curve fitted on labelled rows that
-built no dictionary.  The curve also takes the mean compressed size per byte:
-the same difference means less on a short text than on one that repeats itself.
+built no dictionary.
 
 The fit reads at most ``MAX_FIT_ROWS`` labelled documents per class (a fixed
 pseudo-random choice among those that stand in the table with text), of texts
@@ -15,8 +14,8 @@ whose crc32(doc_id) mod 5 is not 0.  Scoring reads every whole text in one
 Arrow pass, without shuffle; the two dictionaries (``DICT_BYTES`` each) are all
 that is broadcast.
 
-Defined results: NULL and empty texts have difference 0 at full size and get the
-curve's value there.  Labels that are NULL or not 0/1 are not used; a document labelled
+Defined results: NULL and empty texts have difference 0 and get the curve's value
+there.  Labels that are NULL or not 0/1 are not used; a document labelled
 both ways counts as bad; repeated doc_ids are used once.  Without labels of
 both classes every score is 0.5.  Extra columns are not read.
 """
@@ -31,6 +30,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .tables import small_batches
+
 MAX_FIT_ROWS = 1500
 MAX_FIT_BYTES = 40_000
 DICT_BYTES = 64 * 1024
@@ -87,13 +88,10 @@ def compressors(dicts: tuple[bytes, bytes]) -> list:
     return [zstandard.ZstdCompressor(dict_data=d, compression_params=params) for d in made]
 
 
-def difference(text: bytes, made: list) -> tuple[float, float]:
-    """Per byte of text: difference of the compressed sizes (above 0, the good dictionary fits better), and their mean."""
-    good = bad = 0
-    for p in pieces(text):
-        good += len(made[1].compress(p))
-        bad += len(made[0].compress(p))
-    return ((bad - good) / len(text), (bad + good) / 2 / len(text)) if text else (0.0, 1.0)
+def difference(text: bytes, made: list) -> float:
+    """Difference of the compressed sizes per byte of text; above 0 the good dictionary fits better."""
+    parts = pieces(text)
+    return sum(len(made[0].compress(p)) - len(made[1].compress(p)) for p in parts) / len(text) if text else 0.0
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> list[float]:
@@ -116,12 +114,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict:
     rows = fit_rows(docs, labels)
     sides = [[t for t, q in rows if q == k] for k in (0, 1)]
     if not all(len(s) > 1 for s in sides):
-        return {"dicts": None, "curve": [0.0, 0.0, 0.0]}
+        return {"dicts": None, "curve": [0.0, 0.0]}
     # two thirds build the dictionaries, every third row fits the curve
     dicts = tuple(dictionary([t for i, t in enumerate(s) if i % 3]) for s in sides)
     made = compressors(dicts)
     spare = [[t for i, t in enumerate(s) if i % 3 == 0] for s in sides]
-    x = np.array([difference(t, made) for s in spare for t in s])
+    x = np.array([[difference(t, made)] for s in spare for t in s])
     y = np.array([k for k, s in enumerate(spare) for _ in s], float)
     return {"dicts": dicts, "curve": logistic(x, y)}
 
@@ -132,18 +130,18 @@ def sigmoid(v: float) -> float:
 
 def scores(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score and the size difference for every row of ``docs``."""
+    small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
         m = sent.value
         made = compressors(m["dicts"]) if m["dicts"] else None
         for batch in batches:
-            d = [difference((t.as_py() or "").encode(), made) if made else (0.0, 1.0) for t in batch.column(1)]
-            a, b, c = m["curve"]
-            s = [sigmoid(a * v + b * size + c) for v, size in d]
+            d = [difference((t.as_py() or "").encode(), made) if made else 0.0 for t in batch.column(1)]
+            slope, offset = m["curve"]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(s, pa.float64()), pa.array([v for v, _ in d], pa.float64())],
-                names=["doc_id", "score", "difference"])
+                [batch.column(0), pa.array([sigmoid(slope * v + offset) for v in d], pa.float64()),
+                 pa.array(d, pa.float64())], names=["doc_id", "score", "difference"])
 
     return docs.select("doc_id", docs["text"].cast("string")).mapInArrow(
         run, "doc_id long, score double, difference double")

@@ -135,6 +135,9 @@ def distance(item: np.ndarray, window: np.ndarray, most: int) -> int:
 
 def stretch(item: np.ndarray, text: np.ndarray, most: int) -> tuple[int, int] | None:
     """(edits, start) of the stretch of ``text`` nearest to ``item``: the first to end, of those the shortest."""
+    held = set(text.tolist())
+    if sum(word not in held for word in item.tolist()) > most:  # a word that the text does not have is an edit
+        return None
     row = last_row(item, text, most, True)
     if row is None:
         return None

@@ -63,6 +63,30 @@ def test_pages_with_nulls(spark):
     assert html_extract.extract_pages(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_columns_named_like_results(spark, name):
+    """Extra columns with the names that operators use themselves change nothing."""
+    clash = ["size", "taken", "score", "kept", "n_words", "n_tokens", "row", "key", "seed", "place", "draw", "rank",
+             "block", "p", "node", "label", "h1", "line", "held_out", "predicted", "target", "metric", "bucket", "docs"]
+    rows = [(i, f"some words of text number {i}, and then some more of them " * (1 + i % 9), "en", f"s{i % 3}", 9) for i in range(40)]
+    plain = spark.createDataFrame(rows, DOCS)
+    wide = spark.createDataFrame([(*r, *["x"] * len(clash)) for r in rows], DOCS + "".join(f", {c} string" for c in clash))
+    got = operators(spark, wide)[name]()
+    want = operators(spark, plain)[name]()
+    assert [c for c in want.columns if c not in got.columns] == []
+    kept = [c for c in want.columns if c != "_nd_k"]
+    assert sorted(map(str, got.select(kept).collect())) == sorted(map(str, want.select(kept).collect()))
+
+
+def test_very_long_texts(spark):
+    """A text of two million words beside short ones: counted whole, linked by whole sets."""
+    long = " ".join(f"w{i % 1009}x{i % 997}" for i in range(1_000_000))
+    docs = spark.createDataFrame([(1, long, "en", "s", 0), (2, long + " end", "en", "s", 0), (3, "w0x0 w1x1", "en", "s", 0)], DOCS)
+    assert sorted((r.doc_id, r.n_words) for r in token_counts.token_counts(docs).collect()) == \
+        [(1, 1_000_000), (2, 1_000_001), (3, 2)]
+    assert sorted((r.doc_id, r.component_id) for r in near_dup.near_dups(docs).collect()) == [(1, 1), (2, 1), (3, 3)]
+
+
 def test_every_dealt_operator_is_registered():
     assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 14))
 

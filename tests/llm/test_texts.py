@@ -542,6 +542,33 @@ def test_classifier_never_learns_from_held_out_rows(spark, documents):
     assert compression_quality.fit(documents, flipped) == first
 
 
+def test_classifier_scores_match_plain_ones(spark, documents):
+    """Whole texts compressed piece by piece with either dictionary, one at a time."""
+    import math
+
+    import zstandard
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = compression_quality.fit(documents, labels)
+    slope, offset = model["curve"]
+    assert slope > 0
+    params = zstandard.ZstdCompressionParameters.from_level(
+        compression_quality.LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False)
+    bad, good = (zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(d), compression_params=params)
+                 for d in model["dicts"])
+
+    def score(text):
+        raw = (text or "").encode()
+        parts = [raw[i:i + 4096] for i in range(0, len(raw), 4096)]
+        v = (sum(len(bad.compress(p)) for p in parts) - sum(len(good.compress(p)) for p in parts)) / len(raw) if raw else 0.0
+        return 1 / (1 + math.exp(-(slope * v + offset)))
+    texts = [r.text for r in documents.select("text").limit(60).collect()] + [None, "", "é" * 9000]
+    texts += texts[:2]  # repeated rows
+    df = spark.createDataFrame([(i % 60, t, "x", 0.5) for i, t in enumerate(texts)],
+                               "doc_id long, text string, score string, difference double")
+    got = sorted((r.doc_id, round(r.score, 9)) for r in compression_quality.scores(df, model).collect())
+    assert got == sorted((i % 60, round(score(t), 9)) for i, t in enumerate(texts))
+
+
 def test_classifier_edge_rows(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (None, "x"), (3, "é" * 50_000)], "doc_id long, text string")
     labels = spark.createDataFrame([(1, None), (None, 1)], "doc_id long, quality int")
