@@ -48,7 +48,7 @@ from .textbytes import Powers, PrefixHash, byte_codes, column_bytes, mix64, row_
 MAX_EDITS = 0.2        #: edits per item word
 MIN_WORDS = 5
 PART_WORDS = 14        #: longest part; two edits at most
-REPEATS = 24
+REPEATS = 48
 SAMPLES = 2
 STRIDE = 2             #: walk steps per item word
 SEED = 0x5DEECE66D
