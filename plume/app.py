@@ -28,6 +28,7 @@ from .operators import marts as M
 from .operators import posts as P
 from .operators import quality as Q
 from .operators import reconcile as X
+from .schema import RAW_SCHEMA
 from .session import build_session, prepare
 from .sources import readers as RD
 from .streaming import sinks as SK
@@ -148,11 +149,14 @@ def dashboard_panels(spark: SparkSession, out: str, as_of=None) -> dict[str, Dat
     from .operators import serving as S
     from .operators import spikes as K
 
+    nothing = RD.with_event_time(spark.createDataFrame([], RAW_SCHEMA))
+
     def view(name: str) -> DataFrame:
-        return SK.UpdateSink(f"{out}/{name}", list(V.VIEWS[name].keys)).read(spark)
+        v = V.VIEWS[name]
+        return SK.UpdateSink(f"{out}/{name}", list(v.keys)).read(spark, v.build(nothing).schema)
 
     posts = RD.scan_posts(spark, f"{out}/posts")
-    ppm = view("posts_per_minute_by_lang")
+    ppm = view("posts_per_minute_by_lang").unionByName(view("untimed_posts_by_lang"))
     rates = view("lang_post_rate_1m")
     spikes = SK.UpdateSink(f"{out}/lang_spike_detector", V.SPIKE_KEYS).read(spark)
     t5 = view("trending_hashtags_5m")

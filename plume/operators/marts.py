@@ -2,8 +2,9 @@
 history queries of the dashboard.
 
 Scale: every aggregate is partial-then-final on (hour, language) keys; the
-24-row rolling sum runs over the *hourly* rows of each language in slices of a
-year, each with the rows before it that its frames reach.  The distinct-user
+24-row rolling sum runs over the *hourly* rows of each language (at most 8,760
+a year), or over slices of them, each with the rows before it that its frames
+reach.  The distinct-user
 count shuffles on (language, did) pairs after a map-side distinct, never on
 language alone; where a bounded error is enough, sketches per (day, language)
 are kept and merged.
@@ -11,7 +12,7 @@ are kept and merged.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -30,17 +31,15 @@ def hourly(stg: DataFrame) -> DataFrame:
                      .cast("long").alias("long_posts")))
 
 
-def rolling_sum(rows: DataFrame, keys: list[str], order: str, value: str, name: str,
-                frame: int = ROLLING_ROWS, slice_of=None) -> DataFrame:
+def rolling_sum(rows: DataFrame, keys: list[str], order: str, value: str, name: str, slice_of: Column,
+                frame: int = ROLLING_ROWS) -> DataFrame:
     """SUM(value) over the last ``frame`` present rows per key, in slices with a halo.
 
-    ``slice_of`` gives the slice of a row, rising with ``order`` (default: the
-    year).  Frames count present rows, which may lie any time back, so a slice's
+    ``slice_of`` gives the slice of a row, rising with ``order``.  Frames count present rows, which may lie any time back, so a slice's
     halo is the last ``frame - 1`` rows of *all* before it: each slice keeps its
     last rows only, and those are handed on over slices that are too short.
     """
-    own = F.coalesce(F.year(order), F.lit(-1)) if slice_of is None else slice_of  # rows without a time are the oldest
-    sliced = rows.withColumn("_slice", own)
+    sliced = rows.withColumn("_slice", slice_of)
     newest = Window.partitionBy(*keys, "_slice").orderBy(F.col(order).desc())
     tails = sliced.withColumn("_back", F.row_number().over(newest)).filter(F.col("_back") < frame)
     # per key and slice: its number of tail rows, and the next slices until frame - 1 rows lie between
@@ -63,9 +62,20 @@ def rolling_sum(rows: DataFrame, keys: list[str], order: str, value: str, name:
     return both.withColumn(name, F.sum(value).over(w).cast("long")).filter("_own").drop("_slice", "_own")
 
 
-def fct_posts_hourly(stg: DataFrame) -> DataFrame:
-    """Hourly facts + SUM(post_count) over the 24 most recent *present* rows."""
-    return rolling_sum(hourly(stg), ["primary_lang"], "hour_bucket", "post_count", "rolling_24h_count")
+def fct_posts_hourly(stg: DataFrame, slice_by: str | None = None) -> DataFrame:
+    """Hourly facts + SUM(post_count) over the 24 most recent *present* rows.
+
+    A language has at most 8,760 hourly rows a year, so its whole history is one
+    small window partition.  ``slice_by`` ('year', 'month', 'day') cuts it into
+    slices with a halo instead, for finer groups or centuries of them.
+    """
+    rows = hourly(stg)
+    if slice_by is None:
+        w = (Window.partitionBy("primary_lang").orderBy("hour_bucket")
+                   .rowsBetween(-(ROLLING_ROWS - 1), Window.currentRow))
+        return rows.withColumn("rolling_24h_count", F.sum("post_count").over(w).cast("long"))
+    part = F.coalesce(F.unix_date(F.to_date(F.date_trunc(slice_by, "hour_bucket"))), F.lit(-1 << 30))
+    return rolling_sum(rows, ["primary_lang"], "hour_bucket", "post_count", "rolling_24h_count", part)
 
 
 def on_or_after(df: DataFrame, since) -> DataFrame:

@@ -31,7 +31,7 @@ def posts_per_minute_by_lang(raw: DataFrame) -> DataFrame:
     boundary, so the bucket is taken from the source event_time (which
     carries the stream's watermark).  In batch, events without a time form a
     NULL bucket of their own, as in the reference; a stream's window cannot
-    hold them (no watermark passes NULL) and leaves them out.
+    hold them (no watermark passes NULL): ``untimed_posts_by_lang`` is their view.
     """
     df = _ensure_event_time(raw).filter(C.is_create_post()).select(
         "event_time", C.primary_lang("commit.record.langs").alias("lang"))
@@ -43,6 +43,14 @@ def posts_per_minute_by_lang(raw: DataFrame) -> DataFrame:
               .select(F.col("w.start").alias("minute_bucket"), "lang", "post_count"))
 
 
+def untimed_posts_by_lang(raw: DataFrame) -> DataFrame:
+    """The NULL bucket of ``posts_per_minute_by_lang``: a counter per language, also in a stream."""
+    return (raw.filter(C.is_create_post() & F.col("time_us").isNull())
+               .groupBy(C.primary_lang("commit.record.langs").alias("lang"))
+               .agg(F.count(F.lit(1)).alias("post_count"))
+               .select(F.lit(None).cast("timestamp").alias("minute_bucket"), "lang", "post_count"))
+
+
 def posts_per_second(raw: DataFrame) -> DataFrame:
     """COUNT(*) per 1-second tumble over *every* event (no predicate)."""
     df = _ensure_event_time(raw).select("event_time")

@@ -293,6 +293,7 @@ BATCH: dict[str, Builder] = {
     "posts_flat": posts,
     "stg_posts": stg,
     "fct_posts_hourly": lambda s, d: M.fct_posts_hourly(stg(s, d)),
+    "fct_posts_hourly_sliced": lambda s, d: M.fct_posts_hourly(stg(s, d), "day"),
     "dim_languages": lambda s, d: M.dim_languages(stg(s, d)),
     "fct_posts_hourly_incremental": _fct_incremental,
     "dim_languages_incremental": _dim_incremental,

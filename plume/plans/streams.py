@@ -90,6 +90,12 @@ def stream_view(name: str, clock: str = "fast"):
     return build
 
 
+def stream_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts per minute and language, and the posts without a time from the view of their own."""
+    return stream_view("posts_per_minute_by_lang")(spark, sf_dir).unionByName(
+        stream_view("untimed_posts_by_lang")(spark, sf_dir))
+
+
 def _batched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_stream(RD.read_raw_stream(spark, fmt="files",
                                            path=ordered_json_source(spark, sf_dir, "fast"),
@@ -261,7 +267,7 @@ STREAM = {
     "stream_dedupe_posts": stream_dedupe_posts,
     "stream_late_rows": stream_late_rows,
     "stream_posts_flat": stream_posts_flat,
-    "stream_posts_per_minute_by_lang": stream_view("posts_per_minute_by_lang"),
+    "stream_posts_per_minute_by_lang": stream_per_minute,
     "stream_posts_per_second": stream_view("posts_per_second"),
     "stream_lang_post_rate_1m": stream_view("lang_post_rate_1m"),
     "stream_trending_hashtags_5m": stream_view("trending_hashtags_5m"),
@@ -284,6 +290,7 @@ STREAM_ORACLE = {
     "stream_top_hashtags_sketch": "top_hashtags_sketch",
     "stream_late_rows": "posts_per_second",
     "stream_posts_flat": "posts_flat",
+    "stream_posts_per_minute_by_lang": "posts_per_minute_by_lang",
     "stream_posts_per_second": "posts_per_second",
     "stream_lang_post_rate_1m": "lang_post_rate_1m",
     "stream_trending_hashtags_5m": "trending_hashtags_5m",

@@ -73,7 +73,7 @@ class UpdateSink:
     """
 
     def __init__(self, path: str, keys: list[str]):
-        self.path, self.keys = path.rstrip("/"), keys
+        self.path, self.keys, self.schema = path.rstrip("/"), keys, None
 
     def write_batch(self, df: DataFrame, batch_id: int) -> None:
         (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite")
@@ -81,6 +81,7 @@ class UpdateSink:
 
     def start(self, view: DataFrame, checkpoint: str, trigger: str | None = None,
               query_name: str | None = None) -> StreamingQuery:
+        self.schema = view.schema
         w = (view.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
                  .foreachBatch(self.write_batch))
         if query_name:
@@ -88,7 +89,9 @@ class UpdateSink:
         return _trigger(w, trigger).start()
 
     def read(self, spark: SparkSession, schema: T.StructType | None = None) -> DataFrame:
-        """The newest row of every key; with ``schema``, a view that has written nothing yet is empty."""
+        """The newest row of every key; with a schema (given, or of the view that was started), a view
+        that has written nothing yet is empty."""
+        schema = schema or self.schema
         if schema is None:
             versions = spark.read.parquet(self.path)
         else:

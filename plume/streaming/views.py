@@ -59,6 +59,7 @@ def lang_day_sketches_stream(events: DataFrame) -> DataFrame:
 
 VIEWS: dict[str, View] = {
     "posts_per_minute_by_lang": View(R.posts_per_minute_by_lang, ("minute_bucket", "lang")),
+    "untimed_posts_by_lang": View(R.untimed_posts_by_lang, ("minute_bucket", "lang")),
     "posts_per_second": View(R.posts_per_second, ("second_bucket",)),
     "lang_post_rate_1m": View(R.lang_post_rate_1m, ("minute_bucket", "lang")),
     "trending_hashtags_5m": View(H.trending_hashtags_5m, ("bucket_start", "hashtag")),

@@ -121,11 +121,11 @@ def test_cli_stream_runs_continuously_until_stopped(spark):
         mine = [q for q in spark.streams.active if q.id not in before]
         # stateful views also run no-data batches (watermark), so look at all
         # recent progress, not only the last one
-        if len(mine) == 10 and all(any(p.get("numInputRows", 0) > 0 for p in q.recentProgress)
+        if len(mine) == 11 and all(any(p.get("numInputRows", 0) > 0 for p in q.recentProgress)
                                   for q in mine):
             break
         time.sleep(0.5)
-    assert len(mine) == 10         # posts sink + 8 views + spike view
+    assert len(mine) == 11         # posts sink + 9 views + spike view
     for q in mine:
         q.stop()
     t.join(60)

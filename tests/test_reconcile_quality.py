@@ -73,3 +73,95 @@ def test_same_multiset(spark):
     c = spark.createDataFrame([(2,), (1,)], "x int")
     assert X.same_multiset(a, b).first().match is True
     assert X.same_multiset(a, c).first().match is False
+
+
+def test_fingerprint_tells_nulls_orders_and_counts_apart(spark):
+    schema = "a string, b string, c struct<x:int,y:array<string>>"
+    rows = [("x", None, (1, ["p", None])), (None, "x", (1, ["p", None])), ("x", "x", None), ("x", "x", None), ("", None, (None, []))]
+    a = spark.createDataFrame(rows, schema)
+    assert X.same_multiset(a, spark.createDataFrame(rows[::-1], schema).repartition(3)).first().asDict() == \
+        {"sent": 5, "received": 5, "match": True}
+    for changed in ([("x", None, (1, ["p", None]))] * 2 + rows[2:],     # NULL in another column
+                    rows[:3] + [rows[4], rows[4]],                         # another row counted twice
+                    [(*rows[0][:2], (1, ["p"]))] + rows[1:],               # inside a struct
+                    rows[:-1]):
+        got = X.same_multiset(a, spark.createDataFrame(changed, schema)).first()
+        assert got.match is False and got.received == len(changed)
+    empty = a.limit(0)
+    assert X.same_multiset(empty, empty).first().asDict() == {"sent": 0, "received": 0, "match": True}
+
+
+def test_only_buckets_that_differ_are_compared(spark):
+    """The fingerprint shuffles rows of buckets, not of the table; one changed row reopens one or two buckets."""
+    a = spark.range(5000).selectExpr("id", "repeat('wide', 50) AS w")
+    b = a.selectExpr("CASE WHEN id = 77 THEN -1 ELSE id END AS id", "w")
+    both = X.fingerprint(a).join(X.fingerprint(b).selectExpr("_bucket", "n AS n2", "s1 AS t1", "s2 AS t2"), "_bucket", "full")
+    differ = both.filter("NOT (s1 <=> t1 AND s2 <=> t2 AND n <=> n2)").count()
+    assert 1 <= differ <= 2
+    assert X.same_multiset(a, b).first().asDict() == {"sent": 5000, "received": 5000, "match": False}
+
+
+def test_sliced_rolling_sum_reaches_over_short_slices(spark):
+    """Slices of one or two rows: a frame of 24 rows spans many of them."""
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from plume.operators import marts as M
+    start = dt.datetime(2024, 1, 1)
+    rows = [(None, "en", 1000)]
+    for lang, step in (("en", 17), ("de", 5), (None, 40), ("rare", 2000)):
+        rows += [(start + dt.timedelta(hours=step * k), lang, k + 1) for k in range(40)]
+    df = spark.createDataFrame(rows, "hour_bucket timestamp, primary_lang string, post_count long")
+    day = F.coalesce(F.unix_date(F.to_date("hour_bucket")), F.lit(-1 << 30))
+    got = {(r.hour_bucket, r.primary_lang): r.s
+           for r in M.rolling_sum(df, ["primary_lang"], "hour_bucket", "post_count", "s", day).collect()}
+    want = {}
+    for lang in ("en", "de", None, "rare"):
+        own = sorted((r for r in rows if r[1] == lang), key=lambda r: (r[0] is not None, r[0] or start))
+        want.update({(t, lang): sum(n for *_, n in own[max(0, i - 23):i + 1]) for i, (t, _, _) in enumerate(own)})
+    assert got == want
+
+
+def test_spike_slices_see_the_hour_before_midnight(spark):
+    import datetime as dt
+
+    from plume.operators import spikes as K
+    start = dt.datetime(2024, 1, 1, 22, 30)
+    rows = [(start + dt.timedelta(minutes=7 * k), "en", k % 5 + 1) for k in range(40)]
+    rows += [(start + dt.timedelta(minutes=89), "de", 1), (start + dt.timedelta(minutes=149), "de", 9)]
+    df = spark.createDataFrame(rows, "minute_bucket timestamp, lang string, posts_in_minute long")
+    a, b = K.lang_spike_detector(df), K.spike_detector_join(df)
+    assert a.count() == b.count() == 40 and a.exceptAll(b).isEmpty()
+
+
+def test_sketch_of_users_is_within_its_bound(spark):
+    from plume.operators import marts as M
+    stg = spark.range(40_000).selectExpr("concat('u', id % 15000) AS did", "'en' AS primary_lang",
+                                         "timestamp_seconds(1704067200 + id * 40) AS event_time")
+    days = M.lang_day_sketches(stg)
+    assert days.count() > 15
+    row = M.users_within_bound(M.dim_from_sketches(days), M.dim_languages(stg), M.HLL_BOUND).first()
+    assert row.distinct_users == 15_000 and row.total_posts == 40_000 and row.within_bound
+    wrong = M.dim_from_sketches(days.filter("event_date <> date'2024-01-03'"))
+    assert not M.users_within_bound(wrong, M.dim_languages(stg), M.HLL_BOUND).first().within_bound
+
+
+def test_tag_sketches_keep_what_is_frequent(spark):
+    """More tags than a sketch tracks: the heavy ones are in, and a wrong answer is told."""
+    from pyspark.sql import functions as F
+
+    from plume.operators import hashtags as H
+    tags = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 10 < 4 THEN concat('hot', id % 7) ELSE concat('t', id) END AS match",
+        "timestamp_seconds(1704067200 + id % 3600) AS event_time")
+    panes = tags.groupBy("event_time", "match").count().selectExpr(
+        "window(event_time, '5 minutes').start AS bucket_start", "lower(match) AS hashtag", "count")
+    exact = H.rollup_hop(panes.groupBy("bucket_start", "hashtag").agg({"count": "sum"}).withColumnRenamed("sum(count)", "mentions"))
+    sketches = tags.selectExpr("window(event_time, '5 minutes').start AS bucket_start", "match").groupBy("bucket_start").agg(
+        F.expr(f"approx_top_k_accumulate(match, {H.TRACKED})").alias("tags"), F.count("*").alias("mentions"))
+    top = H.top_from_sketches(sketches)
+    rows = H.sketch_agrees(top, exact).collect()
+    assert len(rows) == 23 and all(r.agrees for r in rows)
+    none = top.withColumn("top", F.expr("filter(top, x -> x.item <> 'hot3')"))
+    assert not all(r.agrees for r in H.sketch_agrees(none, exact).collect())
