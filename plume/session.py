@@ -8,6 +8,7 @@ session handed to us, including one built by a caller.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -85,7 +86,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
-    if not root and not spark.sparkContext.master.startswith("local"):
+    if not root and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):  # local-cluster has executors
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="plume-ckpt-")
