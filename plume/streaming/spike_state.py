@@ -67,7 +67,8 @@ class TrailingHour(StatefulProcessor):
         for m, n in new.items():
             held[m] = held.get(m, 0) + n
             self.minutes.updateValue((m,), (held[m],))
-            self.handle.registerTimer((m + LOOKBACK_MIN + 1) * MINUTE_MS)
+        if new:  # by then all minutes held have run out
+            self.handle.registerTimer((max(new) + LOOKBACK_MIN + 1) * MINUTE_MS)
         yield changed_spikes(key[0], held, sorted(new))
         self._clear(held, watermark)
 
