@@ -129,3 +129,12 @@ def round_half_up_ratio(num: Column, den: Column, scale: int = 2) -> Column:
 def preview(text: str | Column, n: int) -> Column:
     """text[:n].replace('\\n', ' '): truncation first, then newline swap."""
     return F.translate(F.substring(c(text), 1, n), "\n", " ")
+
+
+def once(value: Column) -> Column:
+    """``value`` as a column of its own: filters above read it instead of computing it again.
+
+    A filter is pushed through a projection together with the expression it
+    tests; it is not pushed through a generator.
+    """
+    return F.explode(F.array(value))

@@ -1,66 +1,85 @@
 """Streaming twins of the views for ``queries()``.
 
-Each twin writes the fixture's raw events as JSON-lines files under the
-session's checkpoint folder, runs the *streaming* query over them
+Each twin writes the fixture's raw events as compressed JSON-lines files under
+the session's checkpoint folder, runs the *streaming* query over them
 (``availableNow``) into a fresh sink there, and returns the sink read back
-as a batch DataFrame.  The fixture is ordered by time and read in one
-micro-batch, so no row is behind the watermark: each twin must equal its
-batch oracle.
+as a batch DataFrame.  The fixture is read in one micro-batch, or in slices of
+time one after another, so no row is behind the watermark: each twin must equal
+its batch oracle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import columns as C
 from ..operators import hashtags as H
 from ..operators import marts as M
 from ..operators import posts as P
 from ..operators import rates as R
 from ..operators import reconcile as X
 from ..operators import stats as ST
-from ..session import prepare, scratch_path
+from ..session import prepare, scratch_path, settings
 from ..sources import fixtures as FX
 from ..sources import readers as RD
 from ..streaming.restart import land_with_kill, land_with_restart
+from ..streaming.sinks import UpdateSink
 from ..streaming.views import (_append, dedupe_untimed, event_stream, start_landing, start_posts_flat,
                                start_spike_join_pipeline, start_spikes, start_view)
 
 _SOURCES: dict[tuple, str] = {}
 TIMEOUT_S = 600
+SLICES = 8   #: micro-batches of the twins that carry state across batches
+
+
+def _files(spark: SparkSession) -> int:
+    """Files of a source folder: as many as shuffle partitions, eight at least."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def write_json(values: DataFrame, path: str) -> None:
+    """Append events to a folder of JSON-lines files, compressed; the text reader unpacks them."""
+    values.select("value").write.mode("append").option("compression", "gzip").text(path)
 
 
 def json_source(spark: SparkSession, sf_dir: str, clock: str, files: int | None = None) -> str:
     """Folder of JSON-lines files holding the fixture's raw events, written
-    once per (application, tables, clock), in time order across files; as many
-    files as shuffle partitions, eight at least."""
-    files = files or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    once per (application, tables, clock, number of files).  Whole events are
+    not shuffled: the files are in no order of time."""
+    files = files or _files(spark)
     key = (spark.sparkContext.applicationId, sf_dir, clock, files)
     if key not in _SOURCES:
         path = scratch_path(spark, f"raw-json-{clock}")
-        (FX.raw_json(spark, sf_dir, clock)
-           .repartitionByRange(files, "time_us")
-           .sortWithinPartitions("time_us")
-           .select("value")
-           .write.mode("overwrite").text(path))
+        write_json(FX.raw_json(spark, sf_dir, clock, parts=files), path)
         _SOURCES[key] = path
     return _SOURCES[key]
 
 
-def ordered_json_source(spark: SparkSession, sf_dir: str, clock: str, files: int | None = 8) -> str:
-    """The same events, but each time slice written by its own job, one after
-    another: the file source replays files by modification time, so this
-    makes arrival order equal time order across micro-batches."""
+def time_slices(spark: SparkSession, sf_dir: str, clock: str, n: int = SLICES) -> list[Column]:
+    """Conditions on ``time_us`` that part the events into at most n slices of about equal size,
+    earliest first; events without a time are in the first."""
+    t = F.col("time_us")
+    cuts = FX.raw_events(spark, sf_dir, clock, with_documents=False).agg(
+        F.percentile_approx(t, [k / n for k in range(1, n)]).alias("cuts")).first().cuts   # n - 1 numbers
+    bounds = sorted(set(cuts or []))
+    if not bounds:
+        return [F.lit(True)]
+    return [t.isNull() | (t < bounds[0]), *[(t >= lo) & (t < hi) for lo, hi in zip(bounds, bounds[1:])], t >= bounds[-1]]
+
+
+def ordered_json_source(spark: SparkSession, sf_dir: str, clock: str, files: int = SLICES) -> str:
+    """The same events, a file per time slice, each written by its own job, one after
+    another: the file source replays files by modification time, so arrival order
+    equals time order across micro-batches of one file.  For small tables (a file is
+    one task); ``replay`` reads slices of any size."""
     key = ("ordered", spark.sparkContext.applicationId, sf_dir, clock, files)
     if key not in _SOURCES:
-        whole = json_source(spark, sf_dir, clock, files)
-        slices = (spark.read.text(whole)
-                       .select(F.input_file_name().alias("f")).distinct()
-                       .orderBy("f").collect())          # one row per file (<= files)
         path = scratch_path(spark, f"raw-json-ordered-{clock}")
-        for row in slices:
-            spark.read.text(row.f).write.mode("append").text(path)
+        for part in time_slices(spark, sf_dir, clock, files):
+            write_json(FX.raw_json(spark, sf_dir, clock).filter(part).coalesce(1), path)
         _SOURCES[key] = path
     return _SOURCES[key]
 
@@ -96,42 +115,54 @@ def stream_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
         stream_view("untimed_posts_by_lang")(spark, sf_dir))
 
 
-def _batched_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_stream(RD.read_raw_stream(spark, fmt="files",
-                                           path=ordered_json_source(spark, sf_dir, "fast"),
-                                           max_files_per_trigger=1))
+def replay(spark: SparkSession, sf_dir: str, clock: str, parts: list[Column],
+           start: Callable[[DataFrame], tuple[StreamingQuery, UpdateSink]]) -> UpdateSink:
+    """Run a view over parts of the events, each of them one micro-batch however many files it has.
+
+    A part is written as a folder's new files, then the query goes on from its
+    checkpoint and reads them all; the next part is written after that.  As in a
+    run without stops, the batch without data that closes windows comes last only.
+    """
+    path = scratch_path(spark, f"raw-json-parts-{clock}")
+    sink = None
+    for k, part in enumerate(parts, 1):
+        write_json(FX.raw_json(spark, sf_dir, clock, parts=_files(spark)).filter(part), path)
+        with settings(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": str(k == len(parts)).lower()}):
+            q, sink = start(event_stream(RD.read_raw_stream(spark, fmt="files", path=path)))
+            _await(q)
+    return sink
 
 
 def stream_view_batches(name: str):
-    """The view over 8 micro-batches (one file each): state carried across
+    """The view over 8 micro-batches (a time slice each): state carried across
     batches, upserts of the same keys in later batches."""
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         prepare(spark)
-        q, sink = start_view(name, _batched_events(spark, sf_dir),
-                             scratch_path(spark, f"viewb-{name}"),
-                             scratch_path(spark, f"ckptb-{name}"), trigger="availableNow")
-        _await(q)
-        return sink.read(spark)
+        out, checkpoint = scratch_path(spark, f"viewb-{name}"), scratch_path(spark, f"ckptb-{name}")
+        return replay(spark, sf_dir, "fast", time_slices(spark, sf_dir, "fast"),
+                      lambda ev: start_view(name, ev, out, checkpoint, trigger="availableNow")).read(spark)
     return build
 
 
-def _spikes(spark: SparkSession, events: DataFrame) -> DataFrame:
-    q, sink = start_spikes(events, scratch_path(spark, "spikes"), scratch_path(spark, "ckpt-spikes"),
-                           trigger="availableNow")
-    _await(q)
-    return sink.read(spark).select("minute_bucket", "lang", "posts_in_minute", "rolling_hr_avg", "is_spiking")
+SPIKE_COLUMNS = ["minute_bucket", "lang", "posts_in_minute", "rolling_hr_avg", "is_spiking"]
 
 
 def stream_spikes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The spike view from keyed state."""
     prepare(spark)
-    return _spikes(spark, _events(spark, sf_dir, "fast"))
+    q, sink = start_spikes(_events(spark, sf_dir, "fast"), scratch_path(spark, "spikes"),
+                           scratch_path(spark, "ckpt-spikes"), trigger="availableNow")
+    _await(q)
+    return sink.read(spark).select(*SPIKE_COLUMNS)
 
 
 def stream_spikes_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same over 8 micro-batches: counts carried in the state, rows of earlier minutes emitted again."""
     prepare(spark)
-    return _spikes(spark, _batched_events(spark, sf_dir))
+    out, checkpoint = scratch_path(spark, "spikes"), scratch_path(spark, "ckpt-spikes")
+    sink = replay(spark, sf_dir, "fast", time_slices(spark, sf_dir, "fast"),
+                  lambda ev: start_spikes(ev, out, checkpoint, trigger="availableNow"))
+    return sink.read(spark).select(*SPIKE_COLUMNS)
 
 
 def stream_posts_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,20 +207,15 @@ def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     left, so the copies add nothing.
     """
     prepare(spark)
-    events = FX.raw_json(spark, sf_dir, "fast")
-    ends = events.agg(F.min("time_us").alias("lo"), F.max("time_us").alias("hi"))
-    middle = ends.select(C.floor_div(F.col("lo") + F.col("hi"), 2)).scalar()
-    quarter = ends.select(C.floor_div(3 * F.col("lo") + F.col("hi"), 4)).scalar()
+    events = FX.raw_events(spark, sf_dir, "fast", with_documents=False)
+    lo, hi = events.agg(F.min("time_us"), F.max("time_us")).first()   # two numbers
+    if lo is None:
+        lo = hi = 0
+    middle, quarter = (lo + hi) // 2, (3 * lo + hi) // 4
     t = F.col("time_us")
-    path = scratch_path(spark, "raw-json-late")
-    files = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    for part in (t < middle, t.isNull() | (t >= middle), t < quarter):
-        events.filter(part).select("value").repartition(files).write.mode("append").text(path)
-    ev = event_stream(RD.read_raw_stream(spark, fmt="files", path=path, max_files_per_trigger=files))
-    q, sink = start_view("posts_per_second", ev, scratch_path(spark, "view-late"),
-                         scratch_path(spark, "ckpt-late"), trigger="availableNow")
-    _await(q)
-    return sink.read(spark)
+    out, checkpoint = scratch_path(spark, "view-late"), scratch_path(spark, "ckpt-late")
+    return replay(spark, sf_dir, "fast", [t < middle, t.isNull() | (t >= middle), t < quarter],
+                  lambda ev: start_view("posts_per_second", ev, out, checkpoint, trigger="availableNow")).read(spark)
 
 
 JOIN_HOLDBACK = "INTERVAL 70 MINUTES"   #: the join's hour, its watermark delay and the rates' own, rounded up

@@ -20,6 +20,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from ..schema import POSTS_DDL
 
 COMMIT_INTERVAL = "60 seconds"
+PARQUET_CODEC = "zstd"   #: of the landed tables, which hold whole texts
 
 
 def _trigger(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
@@ -54,6 +55,8 @@ def sink_posts(flat: DataFrame, path: str, checkpoint: str, trigger: str | None
         flat = flat.withColumn("event_date", F.to_date("event_time"))
     w = (flat.writeStream.outputMode("append").format(fmt)
              .option("checkpointLocation", checkpoint))
+    if fmt == "parquet":
+        w = w.option("compression", PARQUET_CODEC)
     if partition_by_day:
         w = w.partitionBy("event_date")
     if query_name:

@@ -26,8 +26,9 @@ from ..operators import hashtags as H
 from ..operators import posts as P
 from ..operators import rates as R
 from ..operators import spikes as K
+from ..session import settings
 from ..sources import readers as RD
-from .sinks import UpdateSink, _trigger, sink_posts
+from .sinks import PARQUET_CODEC, UpdateSink, _trigger, sink_posts
 from .spike_state import spike_stream
 
 
@@ -86,7 +87,7 @@ def event_stream(values: DataFrame, watermark: bool = True, dedupe: bool = False
 
 
 def _append(df: DataFrame, path: str, checkpoint: str, trigger: str | None) -> StreamingQuery:
-    w = (df.writeStream.outputMode("append").format("parquet")
+    w = (df.writeStream.outputMode("append").format("parquet").option("compression", PARQUET_CODEC)
            .option("path", path).option("checkpointLocation", checkpoint))
     return _trigger(w, trigger).start()
 
@@ -176,13 +177,15 @@ def start_posts_flat(events: DataFrame, out_path: str, checkpoint: str,
 
 
 SPIKE_KEYS = ["minute_bucket", "lang"]
+SPIKE_PARTITIONS = 16   #: languages are few, and each state partition costs a Python worker per micro-batch
 
 
 def start_spikes(events: DataFrame, out_path: str, checkpoint: str,
                  trigger: str | None = None) -> tuple[StreamingQuery, UpdateSink]:
     """The spike view from keyed state, on update."""
-    sink = UpdateSink(out_path, SPIKE_KEYS)
-    return sink.start(spike_stream(events), checkpoint, trigger), sink
+    sink, spark, key = UpdateSink(out_path, SPIKE_KEYS), events.sparkSession, "spark.sql.shuffle.partitions"
+    with settings(spark, {key: str(min(SPIKE_PARTITIONS, int(spark.conf.get(key))))}):
+        return sink.start(spike_stream(events), checkpoint, trigger), sink
 
 
 # --- the self-join form of the spike view (append mode) ---------------------
