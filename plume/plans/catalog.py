@@ -220,9 +220,14 @@ def _tag_sketches(spark, sf_dir):
 
 
 def _sink_files(spark, sf_dir):
-    """Files and rows of a sink written with a fixed number of files."""
+    """Files and rows of a sink written with a fixed number of files.
+
+    The eight parts are dealt before the documents are attached: a task reads
+    its events and documents, not an eighth of all whole posts.
+    """
+    prepare(spark)
     out = scratch_path(spark, "sink-files") + "/t"
-    posts(spark, sf_dir).repartition(8).write.parquet(out)
+    P.posts_flat(FX.raw_events(spark, sf_dir, "slow", parts=8)).write.parquet(out)
     return Q.sink_file_count(RD.scan_posts(spark, out)).select("parquet_file_count", "rows")
 
 
