@@ -30,6 +30,8 @@ are kept; working columns start with ``_ld_``.
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,15 +49,25 @@ def _key():
     return F.xxhash64("doc_id", "text").alias("_ld_k")
 
 
+@cache
+def _codes() -> tuple[np.ndarray, np.ndarray]:
+    """Per code point its two hash values."""
+    one = mix64(np.arange(1, 0x110001, dtype=np.uint64))
+    return one, mix64(one ^ np.uint64(0xA5A5A5A5A5A5A5A5))
+
+
 class Lines:
     """The lines of some rows as ranges of one code-point sequence, with two 64-bit hashes."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, powers: Powers):
         points = np.frombuffer(data.tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"),
                                np.uint32)
-        before = np.zeros(len(data) + 1, np.int64)  # code points before a byte
-        np.cumsum((data & 0xC0) != 0x80, out=before[1:])
-        rows = before[offsets]
+        if len(points) == len(data):
+            rows = np.asarray(offsets, np.int64)
+        else:
+            before = np.zeros(len(data) + 1, np.int64)  # code points before a byte
+            np.cumsum((data & 0xC0) != 0x80, out=before[1:])
+            rows = before[offsets]
         feeds = np.flatnonzero(points == 10)
         filled = np.flatnonzero(rows[1:] > rows[:-1])
         start = np.sort(np.concatenate([rows[:-1][filled], feeds + 1]))
@@ -68,19 +80,20 @@ class Lines:
         ok = end - start >= MIN_CHARS
         self.start, self.end, self.row, self.number = start[ok], end[ok], self.row[ok], self.number[ok]
         self.points = points
-        codes = mix64(points.astype(np.uint64) + np.uint64(1))
-        self.hash = PrefixHash(codes, powers)
+        first, second = _codes()
+        self.hash = PrefixHash(first[points], powers)
         self.h1 = self.hash.ranges(self.start, self.end)
-        self.h2 = PrefixHash(mix64(codes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), powers).ranges(self.start, self.end)
+        self.h2 = PrefixHash(second[points], powers).ranges(self.start, self.end)
 
-    def stretch_keys(self) -> np.ndarray:
-        """(2 * GAPS, lines): the key per stretch, for the line's length and one less."""
-        out, n = [], self.end - self.start
+    def stretch_keys(self, which: np.ndarray) -> np.ndarray:
+        """(2 * GAPS, lines): the key per stretch of the lines ``which``, for their length and one less."""
+        start, end = self.start[which], self.end[which]
+        out, n = [], end - start
         for length in (n, n - 1):
             for j in range(GAPS):
                 left, right = j * length // GAPS, (GAPS - 1 - j) * length // GAPS
-                a = self.hash.ranges(self.start, self.start + left)
-                b = self.hash.ranges(self.end - right, self.end)
+                a = self.hash.ranges(start, start + left)
+                b = self.hash.ranges(end - right, end)
                 out.append(mix64(a * np.uint64(3) + mix64(b + np.uint64(j)) + length.astype(np.uint64)))
         return np.array(out).reshape(2 * GAPS, len(n))
 
@@ -115,25 +128,13 @@ def _keys(batches):
 
     def emit(x, _):
         _, one = np.unique(x.h1, return_index=True)
-        keys = x.stretch_keys()[:, one]
+        keys = x.stretch_keys(one)
         gap = np.repeat(np.arange(2 * GAPS) % GAPS, len(one)).astype(np.int32)
         return [_signed(keys.ravel()), _signed(np.tile(x.h1[one], 2 * GAPS)), _signed(np.tile(x.h2[one], 2 * GAPS)),
                 pa.array(gap)]
     yield from _scan(batches, emit, schema)
 
 
-def _texts(batches):
-    """A row per line with its text; equal lines of a slice once."""
-    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("line_text", pa.string())])
-
-    def emit(x, _):
-        _, one = np.unique(x.h1, return_index=True)
-        texts = [x.points[s:e].tobytes().decode("utf-32-le", "surrogatepass")
-                 for s, e in zip(x.start[one], x.end[one])]
-        return [_signed(x.h1[one]), _signed(x.h2[one]), pa.array(texts)]
-    yield from _scan(batches, emit, schema)
-
-
 def _variants(batches):
     """Per suspect line its whole hash (at = -1) and its deletion variants in the shared stretches."""
     schema = pa.schema([("variant", pa.int64()), ("at", pa.int32()), ("h1", pa.int64()), ("h2", pa.int64())])
@@ -163,6 +164,17 @@ def _variants(batches):
                 schema=schema)
 
 
+def line_texts(slim: DataFrame, lines: DataFrame) -> DataFrame:
+    """h1, h2 and text of ``lines`` (h1, h2, place), cut out of the documents where they stand."""
+    wanted = staged(lines.groupBy(F.col("place._ld_k").alias("_ld_k2"), F.col("place.doc_id").alias("_ld_id"))
+                    .agg(F.collect_list(F.struct("place.line", "h1", "h2")).alias("wanted")), "line-wanted")
+    here = slim.join(broadcast_if_small(wanted, MAX_BROADCAST_ROWS, "wanted"),
+                     (F.col("_ld_k") == F.col("_ld_k2")) & F.col("doc_id").eqNullSafe(F.col("_ld_id")))
+    return (here.select("wanted", F.explode(F.array(F.split("text", "\n", -1))).alias("cut"))  # a text is cut once
+            .select("cut", F.explode("wanted").alias("w"))
+            .select("w.h1", "w.h2", F.get("cut", F.col("w.line").cast("int")).alias("line_text")))
+
+
 def near_lines(slim: DataFrame, first: DataFrame) -> DataFrame:
     """(h1, h2) of the distinct lines with an earlier line one edit away."""
     line = ["h1", "h2"]
@@ -171,10 +183,10 @@ def near_lines(slim: DataFrame, first: DataFrame) -> DataFrame:
                     .where("lo <> hi").select("key"), "line-keys")
     suspects = staged(keys.join(broadcast_if_small(shared, MAX_BROADCAST_ROWS), "key", "left_semi")
                       .groupBy(*line).agg(F.collect_set("gap").alias("gaps")), "line-suspects")  # GAPS values at most
-    texts = slim.mapInArrow(_texts, "h1 long, h2 long, line_text string")
-    suspects = staged(texts.join(broadcast_if_small(suspects, MAX_BROADCAST_ROWS), line)
-                      .groupBy(*line).agg(F.first("line_text").alias("line_text"), F.first("gaps").alias("gaps"))
-                      .join(first, line), "line-suspect-texts")
+    suspects = staged(suspects.join(first, line), "line-suspect-places")
+    texts = line_texts(slim, suspects)
+    suspects = staged(texts.groupBy(*line).agg(F.first("line_text").alias("line_text")).join(suspects, line),
+                      "line-suspect-texts")
     variants = (suspects.mapInArrow(_variants, "variant long, at int, h1 long, h2 long")
                 .join(suspects.select(*line, "place"), line))
     variants = staged(variants, "line-variants")
