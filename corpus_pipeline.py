@@ -34,13 +34,15 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, compared as they stand in ``documents``.
+    """One document of each group of near-duplicates, compared twice: as they stand in ``documents``, and as they are now.
 
     The line stage has taken the lines that copies share out of all but the
     first of them; their whole texts tell which are copies, so no remnant of one
-    goes on as a document.
+    goes on as a document.  What the line stage left of the others may be
+    near-duplicates that their whole texts were not: texts that differ by lines
+    which stand elsewhere too.
     """
-    return near_dup.drop_copies(docs, table(spark, sf_dir, "documents"))
+    return near_dup.drop_near_dups(near_dup.drop_copies(docs, table(spark, sf_dir, "documents")))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
