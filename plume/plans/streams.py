@@ -122,11 +122,13 @@ def replay(spark: SparkSession, sf_dir: str, clock: str, parts: list[Column],
     A part is written as a folder's new files, then the query goes on from its
     checkpoint and reads them all; the next part is written after that.  As in a
     run without stops, the batch without data that closes windows comes last only.
+    The documents are shuffled once, whatever the number of parts.
     """
-    path = scratch_path(spark, f"raw-json-parts-{clock}")
+    path, files = scratch_path(spark, f"raw-json-parts-{clock}"), min(_files(spark), FX.MAX_BUCKETS)
+    docs = FX.dealt_documents(spark, sf_dir, files)
     sink = None
     for k, part in enumerate(parts, 1):
-        write_json(FX.raw_json(spark, sf_dir, clock, parts=_files(spark)).filter(part), path)
+        write_json(FX.raw_json(spark, sf_dir, clock, parts=files, docs=docs).filter(part), path)
         with settings(spark, {"spark.sql.streaming.noDataMicroBatches.enabled": str(k == len(parts)).lower()}):
             q, sink = start(event_stream(RD.read_raw_stream(spark, fmt="files", path=path)))
             _await(q)

@@ -80,6 +80,28 @@ def test_replay_reads_each_slice_as_one_micro_batch(spark):
     assert got.count() == want.count() and got.exceptAll(want).count() == 0
 
 
+def test_replay_shuffles_the_documents_once(spark, monkeypatch):
+    plans, write = [], streams.write_json
+
+    def note(values, path):
+        plans.append(values._jdf.queryExecution().executedPlan().toString())
+        write(values, path)
+    monkeypatch.setattr(streams, "write_json", note)
+    got = streams.stream_late_rows(spark, SF_SMALL)
+    assert len(plans) == 3
+    for plan in plans:
+        assert plan.count("Exchange hashpartitioning(doc_key") == 1 and "hashpartitioning(doc_id" not in plan
+    want = catalog.BATCH["posts_per_second"](spark, SF_SMALL)
+    assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+def test_events_over_dealt_documents_are_the_same(spark):
+    docs = FX.dealt_documents(spark, SF_SMALL, 5)
+    got, want = FX.raw_json(spark, SF_SMALL, "fast", parts=5, docs=docs), FX.raw_json(spark, SF_SMALL, "fast")
+    assert got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0
+
+
 def test_settings_are_put_back(spark):
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
